@@ -1,10 +1,13 @@
 """Left-join chains and the flat (denormalised) fact.
 
 Broadcasting is only requested behind a size check: ``checked_broadcast``
-counts at most ``max_rows + 1`` rows of the candidate side (a bounded job:
-every partition stops after that many rows). Beyond the bound the side is
-returned unhinted and Spark picks sort-merge / shuffled-hash, with AQE free to
-re-plan from runtime sizes and to split skewed partitions.
+counts the candidate side with a partial aggregate (every partition counts
+locally, one row per partition crosses the network; ``limit(n).count()``
+would instead funnel rows through a single-partition exchange). Beyond the
+bound the side is returned unhinted and Spark picks sort-merge /
+shuffled-hash, with AQE free to re-plan from runtime sizes and to split
+skewed partitions. The check costs one extra evaluation of the (small)
+candidate side and saves shuffling the (large) other side.
 """
 
 from __future__ import annotations
@@ -14,8 +17,8 @@ from pyspark.sql import functions as F
 
 
 def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows."""
+    return df.count() <= max_rows
 
 
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
