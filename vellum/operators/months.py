@@ -112,7 +112,12 @@ def load_contiguous_months(
     """
     keys = list(keys)
     kept = kept_months(df, date_col, year, keys).select(*keys, MONTH_IDX)
-    kept = checked_broadcast(kept, max_broadcast_rows)
+    if keys:
+        kept = checked_broadcast(kept, max_broadcast_rows)
+    else:
+        # Bounded by construction: one row per calendar month from January of
+        # `year` to the last date Spark can hold (< 12 * 10,000 rows, ~1 MB).
+        kept = F.broadcast(kept)
     fact = df.where(_since(date_col, year)).withColumn(MONTH_IDX, month_index(date_col, year, 1))
     return (
         fact.join(kept, on=[*keys, MONTH_IDX], how="left_semi")

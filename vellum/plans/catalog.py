@@ -32,6 +32,7 @@ from vellum.plans import standins as S
 from vellum.session import shared_dir
 from vellum.sources.readers import override_source, preview, read_csv, read_parquet
 from vellum.sinks import write_counted
+from vellum.sources.workbooks import read_workbooks, write_workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -294,6 +295,24 @@ def source_override(spark, sf_dir):
     return jobs.build_motor_coverages(spark)
 
 
+def workbook_folder(spark, sf_dir):
+    """orders written as a folder of workbooks (one per Arrow batch, by the
+    executors), then read back as one typed DataFrame."""
+    o = _t(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderstatus"
+    )
+    folder = shared_dir(spark, "workbooks")
+    write_workbooks(o, folder).agg(F.sum("rows")).collect()
+    contract = {
+        "o_orderkey": "UInt32",
+        "o_custkey": "UInt32",
+        "o_totalprice": "Float64",
+        "o_orderdate": "Date",
+        "o_orderstatus": "String",
+    }
+    return read_workbooks(spark, folder, contract=contract)
+
+
 def query_params(spark, sf_dir):
     c = _t(spark, sf_dir, "customer")
     return spark.sql(
@@ -356,6 +375,7 @@ def _registry() -> dict[str, Query]:
         "source_override": source_override,
         "read_back": read_back,
         "preview": preview_q,
+        "workbook_folder": workbook_folder,
         "query_params": query_params,
         "coverages_motor": coverages_motor,
         "coverages_other": coverages_other,

@@ -215,7 +215,7 @@ def publish(df: DataFrame, path: str, table: str, **kw) -> dict:
 
 
 def publish_premiums(df: DataFrame, path: str, mode: str = "overwrite") -> dict:
-    out = write_months(df, path, "month", mode=mode, cluster_by=["op", "componente", "suplemento"])
+    out = write_months(df, path, "month", mode=mode, cluster_by=["op"])
     return {"rows": out["rows"], "table": PREMIUMS_DATASET}
 
 

@@ -294,6 +294,8 @@ def oracle_sql() -> dict[str, str]:
         "source_override": MOTOR_COVERAGES,
         "read_back": org,
         "preview": f"SELECT * FROM ({org}) ORDER BY cod_organizador, cod_grupo LIMIT 20",
+        "workbook_folder": "SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, "
+        "o_orderstatus FROM orders",
         "query_params": "SELECT c_custkey, c_name, c_acctbal FROM customer "
         "WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 5000.0",
         "coverages_motor": MOTOR_COVERAGES,
