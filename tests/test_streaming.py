@@ -1,0 +1,41 @@
+import datetime as dt
+import os
+import random
+import time
+
+from vellum.operators import runs
+from vellum.session import local_path
+from vellum.streaming.runlog import current_status, track_status
+
+SCHEMA = "process bigint, ts timestamp_ntz, seq bigint, ok boolean"
+
+
+def test_stream_over_several_batches_equals_batch_replay(spark, workdir):
+    rnd = random.Random(11)
+    t0 = dt.datetime(2024, 1, 1)
+    all_rows, seq = [], 0
+    src = workdir("stream-src")
+    os.makedirs(local_path(src))
+    # Four files in time order, each a later slice of the outcomes.
+    for part in range(4):
+        rows = []
+        for p in range(12):
+            for _ in range(rnd.randint(0, 6)):
+                rows.append((p, t0 + dt.timedelta(seconds=seq), seq, rnd.random() > 0.3))
+                seq += 1
+        all_rows += rows
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    base = workdir("stream-state")
+    q = track_status(stream, f"{base}/state", f"{base}/ckpt")
+    q.awaitTermination()
+    assert q.lastProgress is not None
+    batches = spark.read.parquet(f"{base}/state").select("batch_id").distinct().count()
+    assert batches >= 2
+    got = {r.process: (r.status, r.outcomes, r.failures) for r in current_status(spark, f"{base}/state").collect()}
+    want = {
+        r.process: (r.status, r.outcomes, r.failures)
+        for r in runs.lifecycle_status(spark.createDataFrame(all_rows, SCHEMA)).collect()
+    }
+    assert got == want

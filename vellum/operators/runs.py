@@ -20,7 +20,7 @@ number of trues after the last false (or after the start if there is none):
     otherwise:     CYCLE[(k - 1) % 3]          CYCLE = IDLE, RUNNING, SUCCESS
 
 so the final status needs only per-process aggregates. The per-event audit
-needs running counts per process; ``running_counts`` computes them without
+needs running counts per process; ``lifecycle_audit`` computes them without
 putting a hot process in one task (range partitioning + prefix offsets).
 """
 
@@ -59,19 +59,17 @@ def lifecycle_status(
     sits in one task) and one join of the log with the per-process last-false
     mark, broadcast after a size check, else shuffled with AQE skew handling.
     """
-    per_key = log.groupBy(key).agg(
-        F.count(F.lit(1)).alias("outcomes"),
-        F.count_if(~F.col(ok)).cast("bigint").alias("failures"),
-        F.max(F.when(~F.col(ok), _ord(ts, seq))).alias("_last_false"),
-    )
-    marks = checked_broadcast(per_key.select(key, "_last_false"), max_broadcast_keys)
+    marks = log.groupBy(key).agg(F.max(F.when(~F.col(ok), _ord(ts, seq))).alias("_last_false"))
+    marks = checked_broadcast(marks, max_broadcast_keys)
     after = (
         log.join(marks, key)
         .groupBy(key)
         .agg(
+            F.count(F.lit(1)).alias("outcomes"),
+            F.count_if(~F.col(ok)).cast("bigint").alias("failures"),
             F.count_if(
                 F.col(ok) & (F.col("_last_false").isNull() | (_ord(ts, seq) > F.col("_last_false")))
-            ).cast("bigint").alias("_k")
+            ).cast("bigint").alias("_k"),
         )
     )
     k = F.col("_k")
@@ -80,7 +78,7 @@ def lifecycle_status(
         .when(k == 0, F.lit(FAILED))
         .otherwise(_cycle(k - 1))
     )
-    return per_key.join(after, key).select(key, status.alias("status"), "outcomes", "failures")
+    return after.select(key, status.alias("status"), "outcomes", "failures")
 
 
 def _state(f: Column, t: Column, last_t: Column) -> Column:

@@ -302,7 +302,8 @@ def workbook_folder(spark, sf_dir):
         "o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderstatus"
     )
     folder = shared_dir(spark, "workbooks")
-    write_workbooks(o, folder).agg(F.sum("rows")).collect()
+    books = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_workbooks(o, folder, books=books).agg(F.sum("rows")).collect()
     contract = {
         "o_orderkey": "UInt32",
         "o_custkey": "UInt32",

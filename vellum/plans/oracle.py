@@ -305,6 +305,7 @@ def oracle_sql() -> dict[str, str]:
         "LEFT JOIN part p ON CAST(l.l_partkey AS VARCHAR) = CAST(p.p_partkey AS VARCHAR)",
         "run_log_latest": RUN_LOG_LATEST,
         "lifecycle_status": LIFECYCLE_STATUS,
+        "lifecycle_stream": LIFECYCLE_STATUS,
         "lifecycle_audit": LIFECYCLE_AUDIT,
         "run_duration": RUN_DURATION,
         "may_run": MAY_RUN,

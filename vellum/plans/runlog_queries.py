@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from vellum.operators import runs
 from vellum.plans import standins as S
+from vellum.session import shared_dir, table_path
+from vellum.streaming.runlog import current_status, track_status
 
 
 def process_edges(log: DataFrame) -> DataFrame:
@@ -43,10 +45,32 @@ def may_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.may_run(procs, process_edges(log), status)
 
 
+def lifecycle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table consumed as a stream; status tracked incrementally."""
+    path = table_path(sf_dir, "events")
+    schema = spark.read.parquet(path).schema
+    # The file stream source watches a folder: the table's folder, its file only.
+    stream = (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+    ).select(
+        F.col("user_id").alias("process"),
+        "ts",
+        F.col("event_id").alias("seq"),
+        (F.col("event_type") != F.lit("error")).alias("ok"),
+    )
+    base = shared_dir(spark, "runlog-stream")
+    q = track_status(stream, f"{base}/state", f"{base}/checkpoint")
+    q.awaitTermination()
+    return current_status(spark, f"{base}/state")
+
+
 QUERIES = {
     "run_log_latest": run_log_latest,
     "lifecycle_status": lifecycle_status,
     "lifecycle_audit": lifecycle_audit,
     "run_duration": run_duration,
     "may_run": may_run,
+    "lifecycle_stream": lifecycle_stream,
 }

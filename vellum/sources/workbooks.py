@@ -286,9 +286,16 @@ def _arrow_uri(folder: str) -> str:
     return folder
 
 
-def write_workbooks(df: DataFrame, folder: str) -> DataFrame:
+def write_workbooks(df: DataFrame, folder: str, books: int | None = None) -> DataFrame:
     """Lazily write ``df`` as workbooks under ``folder``; returns (path, rows)
-    per written file -- trigger it with an action."""
+    per written file -- trigger it with an action.
+
+    One workbook per Arrow batch of each partition; ``books`` spreads the
+    rows round-robin over that many partitions first (for inputs that arrive
+    in few, large partitions).
+    """
+    if books:
+        df = df.repartition(books)
     header = df.columns
     uri = _arrow_uri(folder)
 

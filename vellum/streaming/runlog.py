@@ -1,0 +1,119 @@
+"""Incremental run status over a stream of outcomes (Structured Streaming).
+
+The status after a sequence of outcomes composes across micro-batches:
+
+* a batch with at least one false fixes the status by itself (trues after
+  its last false decide it, whatever came before);
+* a batch of only trues advances the previous status by its count of trues
+  around the cycle IDLE -> RUNNING -> SUCCESS -> IDLE, where FAILED behaves
+  like SUCCESS (its next true also returns to IDLE).
+
+So each micro-batch is reduced with the batch replay's aggregates (partial on
+every partition: a hot process never lands in one task), and merged with the
+previous state -- one row per process -- in ``foreachBatch``. Every batch
+writes its own version of the state (``batch_id`` partition, dynamic
+overwrite), so a replayed batch after a failure rewrites the same version
+from the same predecessor: exactly-once results on an at-least-once sink.
+
+Assumes a process's outcomes arrive in order across micro-batches (within a
+batch they are ordered by ts, then seq).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from vellum.operators.runs import FAILED, IDLE, RUNNING, SUCCESS, _cycle, lifecycle_status
+
+STATE_SCHEMA = "process bigint, status string, outcomes bigint, failures bigint, batch_id bigint"
+
+
+def _cycle_pos(status: Column) -> Column:
+    return (
+        F.when(status == RUNNING, F.lit(1))
+        .when(status.isin(SUCCESS, FAILED), F.lit(2))
+        .otherwise(F.lit(0))  # IDLE or no previous state
+    )
+
+
+def merge_state(prev: DataFrame, batch: DataFrame, key: str = "process") -> DataFrame:
+    """New state from the previous state and one batch's per-process replay."""
+    p = prev.select(
+        F.col(key), F.col("status").alias("_ps"), F.col("outcomes").alias("_po"), F.col("failures").alias("_pf")
+    )
+    b = batch.select(
+        F.col(key), F.col("status").alias("_bs"), F.col("outcomes").alias("_bo"), F.col("failures").alias("_bf")
+    )
+    j = p.join(b, key, "full_outer")
+    advanced = _cycle(_cycle_pos(F.coalesce(F.col("_ps"), F.lit(IDLE))) + F.col("_bo"))
+    status = (
+        F.when(F.col("_bo").isNull(), F.col("_ps"))
+        .when(F.col("_bf") > 0, F.col("_bs"))
+        .otherwise(advanced)
+    )
+    return j.select(
+        key,
+        status.alias("status"),
+        (F.coalesce(F.col("_po"), F.lit(0)) + F.coalesce(F.col("_bo"), F.lit(0))).cast("bigint").alias("outcomes"),
+        (F.coalesce(F.col("_pf"), F.lit(0)) + F.coalesce(F.col("_bf"), F.lit(0))).cast("bigint").alias("failures"),
+    )
+
+
+def _previous(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame:
+    try:
+        versions = spark.read.parquet(state_dir).where(F.col("batch_id") < batch_id)
+        last = versions.agg(F.max("batch_id")).first()[0]
+    except Exception:  # noqa: BLE001 - no state written yet
+        last = None
+    if last is None:
+        return spark.createDataFrame([], STATE_SCHEMA).drop("batch_id")
+    return spark.read.parquet(state_dir).where(F.col("batch_id") == last).drop("batch_id")
+
+
+def _batch_writer(state_dir: str, key: str, ts: str, seq: str, ok: str):
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        summary = lifecycle_status(batch_df, key, ts, seq, ok)
+        new = merge_state(_previous(spark, state_dir, batch_id), summary, key)
+        (
+            new.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(state_dir)
+        )
+
+    return write
+
+
+def track_status(
+    outcomes: DataFrame,
+    state_dir: str,
+    checkpoint_location: str,
+    *,
+    key: str = "process",
+    ts: str = "ts",
+    seq: str = "seq",
+    ok: str = "ok",
+    available_now: bool = True,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """Start the tracker on a streaming DataFrame of (key, ts, seq, ok)."""
+    w = (
+        outcomes.writeStream.foreachBatch(_batch_writer(state_dir, key, ts, seq, ok))
+        .option("checkpointLocation", checkpoint_location)
+    )
+    if processing_time:
+        w = w.trigger(processingTime=processing_time)
+    elif available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()
+
+
+def current_status(spark: SparkSession, state_dir: str) -> DataFrame:
+    """The latest state version: (process, status, outcomes, failures)."""
+    state = spark.read.parquet(state_dir)
+    last = state.agg(F.max("batch_id").alias("_last"))
+    return state.join(F.broadcast(last), F.col("batch_id") == F.col("_last")).drop("batch_id", "_last")
