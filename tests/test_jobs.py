@@ -177,3 +177,30 @@ def test_reuse_frames_in_joins(spark):
     prem = spark.createDataFrame([(1, 100.0), (2, 200.0), (3, 300.0)], "cod_organizador bigint, prima double")
     flat = prem.join(org, "cod_organizador", "left")
     assert flat.count() == 3 and "nombre" in flat.columns
+
+
+def test_run_datasets_logs_and_blocks_on_failed_dependency(spark, workdir):
+    dates = [dt.date(2025, 1, 15)] * 3 + [dt.date(2025, 2, 10)] * 5
+    sources = {
+        "dims_coberturas_aut": sample_aut(spark, 3),
+        "dims_coberturas_rv": sample_rv(spark, 2),
+        "primas_automotores": premium_rows(spark, dates),
+        **sample_org_sources(spark, 3),
+    }
+    base = workdir("run")
+    res = jobs.run_datasets(spark, sources, f"{base}/t", 2025, f"{base}/log")
+    assert [(r["dataset"], r["ok"]) for r in res] == [
+        ("coberturas_automotores", True),
+        ("coberturas_ramas_varias", True),
+        ("organizadores", True),
+        ("primas_automotores_x_componente", True),
+    ]
+    assert res[3]["total_rows"] == 8 and res[3]["months_processed"] == 2
+    # Break the organizers contract: premiums must not run.
+    bad = dict(sources)
+    bad["SEHINT01"] = sources["SEHINT01"].withColumn("INMATR", F.col("INMATR").cast("string"))
+    res = jobs.run_datasets(spark, bad, f"{base}/t2", 2025, f"{base}/log")
+    assert not res[2]["ok"] and "matricula" in res[2]["error"]
+    assert not res[3]["ok"] and "organizadores" in res[3]["error"]
+    log = spark.read.parquet(f"{base}/log")
+    assert log.count() == 8 and log.where("not ok").count() == 2

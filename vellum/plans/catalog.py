@@ -343,6 +343,21 @@ def reuse_frame(spark, sf_dir):
     return flat_fact(li, cov, "cod_cobertura")
 
 
+def run_datasets(spark, sf_dir):
+    """All four datasets published in order; the run-log table read back."""
+    base = shared_dir(spark, "run")
+    jobs.run_datasets(
+        spark,
+        S.all_sources(spark, sf_dir),
+        f"{base}/targets",
+        PREMIUM_YEAR,
+        f"{base}/run_log",
+        organizers_kw={"type_code": S.ORGANIZER_TYPE_SEGMENT},
+    )
+    log = read_parquet(spark, f"{base}/run_log")
+    return log.select("dataset", "rows", "months", "ok", "error")
+
+
 def _registry() -> dict[str, Query]:
     from vellum.plans import runlog_queries as R
 
@@ -381,6 +396,7 @@ def _registry() -> dict[str, Query]:
         "coverages_motor": coverages_motor,
         "coverages_other": coverages_other,
         "reuse_frame": reuse_frame,
+        "run_datasets": run_datasets,
     }
     q.update(R.QUERIES)
     return q

@@ -214,12 +214,86 @@ def publish(df: DataFrame, path: str, table: str, **kw) -> dict:
     return {"rows": out["rows"], "table": table}
 
 
-def publish_premiums(df: DataFrame, path: str, mode: str = "overwrite") -> dict:
-    out = write_months(df, path, "month", mode=mode, cluster_by=["op"])
-    return {"rows": out["rows"], "table": PREMIUMS_DATASET}
+def publish_premiums(df: DataFrame, path: str, year: int | None = None, mode: str = "overwrite") -> dict:
+    """Partitioned write of the load; ``total_rows``, ``months_processed`` and
+    ``year`` observed in the same job. The kept months are contiguous by
+    construction, so their count is max - min + 1 of the month index."""
+    idx = F.year("month") * 12 + F.month("month")
+    out = write_months(
+        df,
+        path,
+        "month",
+        mode=mode,
+        cluster_by=["op"],
+        metrics=[F.min(idx).alias("_lo"), F.max(idx).alias("_hi")],
+    )
+    months = 0 if out["rows"] == 0 else int(out["_hi"] - out["_lo"] + 1)
+    return {
+        "rows": out["rows"],
+        "total_rows": out["rows"],
+        "months_processed": months,
+        "year": year,
+        "table": PREMIUMS_DATASET,
+    }
 
 
 def publish_skip_empty(df: DataFrame, path: str, table: str, **kw) -> dict:
     out = write_if_nonempty(df, path, **kw)
     out["table"] = table
     return out
+
+
+# ---- a run of all four datasets, recorded in the run-log table -------------
+
+RUN_LOG_SCHEMA = (
+    "dataset string, rows bigint, months bigint, started timestamp, ended timestamp, ok boolean, error string"
+)
+# Dataset order and dependencies (premiums after organizers and
+# motor coverages).
+DATASET_ORDER = [MOTOR_COVERAGES_TABLE, OTHER_COVERAGES_TABLE, ORGANIZERS_TABLE, PREMIUMS_DATASET]
+DEPENDS_ON = {PREMIUMS_DATASET: [ORGANIZERS_TABLE, MOTOR_COVERAGES_TABLE]}
+
+
+def run_datasets(
+    spark: SparkSession,
+    sources: dict[str, DataFrame] | None,
+    target_dir: str,
+    year: int,
+    log_path: str,
+    organizers_kw: dict | None = None,
+) -> list[dict]:
+    """Build and publish the four datasets in dependency order, appending one
+    run-log row per dataset: (dataset, rows, months, started, ended, ok,
+    error). A dataset whose dependencies did not succeed is not run and is
+    logged as failed. Returns the results in order."""
+    import datetime as _dt
+
+    steps = {
+        MOTOR_COVERAGES_TABLE: lambda p: publish(build_motor_coverages(spark, sources), p, MOTOR_COVERAGES_TABLE),
+        OTHER_COVERAGES_TABLE: lambda p: publish_other_coverages(build_other_coverages(spark, sources), p),
+        ORGANIZERS_TABLE: lambda p: publish(
+            build_organizers(spark, sources, **(organizers_kw or {})), p, ORGANIZERS_TABLE
+        ),
+        PREMIUMS_DATASET: lambda p: publish_premiums(build_premiums(spark, year, sources), p, year),
+    }
+    ok_so_far: dict[str, bool] = {}
+    log_rows, results = [], []
+    for name in DATASET_ORDER:
+        started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        blocked = [d for d in DEPENDS_ON.get(name, []) if not ok_so_far.get(d)]
+        res, err = {}, None
+        if blocked:
+            err = "dependencies not successful: " + ", ".join(blocked)
+        else:
+            try:
+                res = steps[name](f"{target_dir.rstrip('/')}/{name}")
+            except Exception as e:  # noqa: BLE001 - recorded in the run log
+                err = f"{type(e).__name__}: {e}"
+        ended = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        ok_so_far[name] = err is None
+        months = res.get("months_processed")
+        log_rows.append((name, res.get("rows"), months, started, ended, err is None, err))
+        results.append({"dataset": name, **res, "ok": err is None, "error": err})
+    # One row per dataset run: the log is created where the runs happen.
+    spark.createDataFrame(log_rows, RUN_LOG_SCHEMA).write.mode("append").parquet(log_path)
+    return results

@@ -240,6 +240,16 @@ SELECT process, ts AS last_ts, seq AS last_seq, ok AS last_ok, runs FROM (
 """
 
 
+RUN_DATASETS = f"""
+SELECT 'coberturas_automotores' AS dataset, count(*) AS rows, NULL::BIGINT AS months, true AS ok,
+  NULL::VARCHAR AS error FROM part
+UNION ALL SELECT 'coberturas_ramas_varias', count(*), NULL, true, NULL FROM supplier
+UNION ALL SELECT 'organizadores', count(*), NULL, true, NULL FROM ({ORGANIZERS})
+UNION ALL SELECT 'primas_automotores_x_componente', total_rows, months_processed, true, NULL
+  FROM ({_month_prefix(1995)})
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     org = ORGANIZERS
     return {
@@ -303,6 +313,7 @@ def oracle_sql() -> dict[str, str]:
         "reuse_frame": "SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_partkey AS VARCHAR) AS cod_cobertura, "
         "p.p_type AS cat_cobertura, p.p_size AS rt FROM lineitem l "
         "LEFT JOIN part p ON CAST(l.l_partkey AS VARCHAR) = CAST(p.p_partkey AS VARCHAR)",
+        "run_datasets": RUN_DATASETS,
         "run_log_latest": RUN_LOG_LATEST,
         "lifecycle_status": LIFECYCLE_STATUS,
         "lifecycle_stream": LIFECYCLE_STATUS,

@@ -32,10 +32,12 @@ def write_counted(
     mode: str = "append",
     partition_by: str | list[str] | None = None,
     options: dict | None = None,
+    metrics: list | None = None,
 ) -> dict:
-    """Write ``df`` and return ``{"rows": n, "table": name}`` from the same job."""
+    """Write ``df`` and return ``{"rows": n, "table": name, ...metrics}`` from
+    the same job (``metrics``: extra aliased aggregate Columns to observe)."""
     obs = Observation("vellum_write")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *(metrics or []))
     w = _writer(observed, fmt, mode, partition_by, options)
     name = table or path
     if fmt == "jdbc":
@@ -46,7 +48,10 @@ def write_counted(
         w.saveAsTable(table)
     else:
         raise ValueError("write_counted needs a path or a table")
-    return {"rows": int(obs.get.get("rows", 0)), "table": name}
+    got = dict(obs.get)
+    out = {"rows": int(got.pop("rows", 0) or 0), "table": name}
+    out.update(got)
+    return out
 
 
 def write_if_nonempty(df: DataFrame, path: str | None = None, **kw) -> dict:
@@ -68,6 +73,7 @@ def write_months(
     month_col: str = "month",
     mode: str = "overwrite",
     cluster_by: list[str] | None = None,
+    metrics: list | None = None,
 ) -> dict:
     """One partitioned write for all months; with dynamic partition overwrite a
     rerun replaces exactly the months it writes (idempotent), ``append``
@@ -81,7 +87,7 @@ def write_months(
     coalesce the range partitions.
     """
     clustered = df.repartitionByRange(month_col, *(cluster_by or []))
-    return write_counted(clustered, path, fmt="parquet", mode=mode, partition_by=month_col)
+    return write_counted(clustered, path, fmt="parquet", mode=mode, partition_by=month_col, metrics=metrics)
 
 
 def jdbc_options(url: str, table: str, driver: str | None = None, **extra) -> dict:
