@@ -71,3 +71,20 @@ def test_contract_report(spark):
     rows = {r["column_name"]: r for r in contract_report(spark, df, C.COBERTURAS_RV_ETL, with_counts=True).collect()}
     assert rows["cod_rama"]["ok"] and rows["cod_rama"]["non_null"] == 1
     assert rows["pormilaje"]["found"] is None and not rows["pormilaje"]["ok"]
+
+
+def test_guarded_try_cast_equals_try_cast(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from vellum.functions.casts import guarded_try_cast
+
+    edge = ["5", " 5 ", "+5", "5.0", ".5", "1e3", "1.5d", "NaN", "-inf", "0x10", "0x1p3", "١٢", "\t7\n", "", "1,5"]
+    rnd = random.Random(7)
+    alpha = "0123456789+-.eEdDfFxXpPnNaIity \t,"
+    vals = edge + ["".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 6))) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    for t in ["bigint", "int", "double", "float", "decimal(12,3)"]:
+        same = guarded_try_cast(F.col("s"), t).eqNullSafe(F.col("s").try_cast(t))
+        assert df.where(~same).count() == 0, t

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.contracts import spark_type, value_range
+from vellum.functions.casts import guarded_try_cast
 
 
 class ContractError(ValueError):
@@ -168,7 +169,8 @@ def cast_to_contract(df: DataFrame, contract: dict[str, str], keep_extra: bool =
     for name, type_name in contract.items():
         target = spark_type(type_name)
         raw = F.col(name)
-        cast = raw.try_cast(target)
+        is_text = isinstance(df.schema[name].dataType, T.StringType)
+        cast = guarded_try_cast(raw, target) if is_text else raw.try_cast(target)
         casts.append(cast.alias(name))
         failures.append(F.when(raw.isNotNull() & cast.isNull(), 1).otherwise(0))
     extra = [F.col(c) for c in df.columns if c not in contract] if keep_extra else []

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.contracts import spark_type
+from vellum.functions.casts import guarded_try_cast
 from vellum.functions.dates import add_months, month_start
 
 # Default ports of the database flavours (fixed values).
@@ -121,7 +122,7 @@ def read_csv(
             c = F.col(f"`{f.name}`")
             if decimal_comma and isinstance(f.dataType, _NUMERIC):
                 c = _decimal_comma_to_number(c)
-            cols.append(c.try_cast(f.dataType).alias(f.name))
+            cols.append(guarded_try_cast(c, f.dataType).alias(f.name))
         return raw.select(*cols)
     if not decimal_comma:
         return reader.option("inferSchema", "true").csv(path)
@@ -140,9 +141,9 @@ def read_csv(
     for name in raw.columns:
         c = F.col(name)
         if stats[f"{name}\u0000any"] and stats[f"{name}\u0000int"] == 0:
-            cols.append(F.trim(c).try_cast("bigint").alias(name))
+            cols.append(guarded_try_cast(F.trim(c), "bigint").alias(name))
         elif stats[f"{name}\u0000any"] and stats[f"{name}\u0000num"] == 0:
-            cols.append(_decimal_comma_to_number(c).try_cast("double").alias(name))
+            cols.append(guarded_try_cast(_decimal_comma_to_number(c), "double").alias(name))
         else:
             cols.append(c)
     return raw.select(*cols)

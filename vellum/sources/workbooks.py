@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.contracts import spark_type
+from vellum.functions.casts import guarded_try_cast
 
 _M = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -135,13 +136,13 @@ def _typed(c, dt: T.DataType):
     if isinstance(dt, T.StringType):
         return c
     if isinstance(dt, T.DateType):
-        serial = c.try_cast("double")
+        serial = guarded_try_cast(c, "double")
         return F.when(serial.isNotNull(), F.date_add(F.lit(_EXCEL_EPOCH), serial.cast("int"))).otherwise(
             c.try_cast("date")
         )
     if isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         return F.when(c.rlike(r"^\s*-?\d+(\.0+)?\s*$"), c.try_cast("double").cast(dt))
-    return c.try_cast(dt)
+    return guarded_try_cast(c, dt)
 
 
 def read_workbooks(
