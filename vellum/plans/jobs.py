@@ -224,7 +224,6 @@ def publish_premiums(df: DataFrame, path: str, year: int | None = None, mode: st
         path,
         "month",
         mode=mode,
-        cluster_by=["op"],
         metrics=[F.min(idx).alias("_lo"), F.max(idx).alias("_hi")],
     )
     months = 0 if out["rows"] == 0 else int(out["_hi"] - out["_lo"] + 1)

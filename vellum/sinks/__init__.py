@@ -79,15 +79,15 @@ def write_months(
     rerun replaces exactly the months it writes (idempotent), ``append``
     reproduces the warehouse's duplicate-on-rerun behaviour.
 
-    Rows are range-partitioned on (month, cluster_by...) first: each task
-    then holds one or a few adjacent months, so the file count is about
-    tasks + months instead of tasks x months, and a month holding a third of
-    the data is split over many tasks by the sampled range bounds (no hash on
-    the month alone, which would put a hot month in one task). AQE may
-    coalesce the range partitions.
+    Rows are rebalanced on the month first (the ``rebalance`` hint): each task
+    then writes one month, so the file count is about months x (month size /
+    advisory partition size) instead of input tasks x months; AQE splits a
+    month holding a third of the data into advisory-sized tasks and coalesces
+    small ones. Unlike a range repartition there is no sampling pass over the
+    fact. ``cluster_by`` adds columns to the rebalance key (finer spreading).
     """
-    clustered = df.repartitionByRange(month_col, *(cluster_by or []))
-    return write_counted(clustered, path, fmt="parquet", mode=mode, partition_by=month_col, metrics=metrics)
+    balanced = df.hint("rebalance", month_col, *(cluster_by or []))
+    return write_counted(balanced, path, fmt="parquet", mode=mode, partition_by=month_col, metrics=metrics)
 
 
 def jdbc_options(url: str, table: str, driver: str | None = None, **extra) -> dict:
