@@ -112,3 +112,30 @@ def test_latest_runs(spark):
     log = log_frame(spark, {7: [True, False, True]})
     r = runs.latest_runs(log, "process", "ts", "seq", ["ok"]).first()
     assert r.last_ok is True and r.runs == 3 and r.last_seq == 2
+
+
+def test_duration_ignores_session_time_zone(spark):
+    rows = [(1, dt.datetime(2024, 3, 31, 1, 30), 0, True), (1, dt.datetime(2024, 3, 31, 3, 30), 1, True)]
+    log = spark.createDataFrame(rows, "process bigint, ts timestamp_ntz, seq bigint, ok boolean")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        r = runs.run_duration(runs.lifecycle_audit(log, partitions=2)).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.status == "SUCCESS" and r.duration_s == 7200.0
+
+
+def test_month_rewrite_is_dynamic_without_session_setting(spark, workdir):
+    from vellum.sinks import write_months
+
+    df = spark.createDataFrame([(dt.date(2025, 1, 1), 1), (dt.date(2025, 2, 1), 2)], "month date, v int")
+    path = workdir("months")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        write_months(df, path)
+        write_months(df.where("v = 2"), path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert spark.read.parquet(path).count() == 2

@@ -189,7 +189,8 @@ def run_duration(audit: DataFrame, key: str = "process", ts: str = "ts", seq: st
     started_ok = F.col("_run").isNotNull() & (F.col("_idle").isNull() | (F.col("_run") > F.col("_idle")))
     started = F.when(started_ok, F.col("_run.ts"))
     ended = F.when(terminal, F.col("_last.ts"))
-    secs = (F.unix_micros(ended.cast("timestamp")) - F.unix_micros(started.cast("timestamp"))) / F.lit(1_000_000.0)
+    # timestamp_diff: independent of the session time zone for timestamp_ntz.
+    secs = F.timestamp_diff("MICROSECOND", started, ended) / F.lit(1_000_000.0)
     return per.select(
         key,
         "status",

@@ -87,7 +87,16 @@ def write_months(
     fact. ``cluster_by`` adds columns to the rebalance key (finer spreading).
     """
     balanced = df.hint("rebalance", month_col, *(cluster_by or []))
-    return write_counted(balanced, path, fmt="parquet", mode=mode, partition_by=month_col, metrics=metrics)
+    return write_counted(
+        balanced,
+        path,
+        fmt="parquet",
+        mode=mode,
+        partition_by=month_col,
+        metrics=metrics,
+        # Per write, so a rerun replaces only its months whatever the session says.
+        options={"partitionOverwriteMode": "dynamic"},
+    )
 
 
 def jdbc_options(url: str, table: str, driver: str | None = None, **extra) -> dict:
