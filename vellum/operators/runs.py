@@ -154,7 +154,9 @@ def lifecycle_audit(
     offs = offs.select(
         "_part", key, "_of", "_ot", F.max(F.col("_sl") + F.col("_ot")).over(prev).alias("_ol")
     )
-    j = local.join(checked_broadcast(offs, 1_000_000), ["_part", key])
+    # No broadcast needed: `local` is already hash-partitioned and sorted on
+    # (_part, key) by its windows, so the join shuffles only the small offsets.
+    j = local.join(offs, ["_part", key])
     f_now = F.col("_lf") + F.col("_of")
     t_now = F.col("_lt") + F.col("_ot")
     l_now = F.coalesce(F.col("_ll") + F.col("_ot"), F.col("_ol"))
