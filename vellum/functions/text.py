@@ -1,12 +1,14 @@
-"""Text normalisation as built-in Column expressions (no UDF).
+r"""Text normalisation as built-in Column expressions (no UDF).
 
 * ``title_case``: first letter of every word upper, the rest lower, where a
   word is a run of letters and digits; any other character ends a word.
   ``initcap`` alone is not enough because blank is its only boundary.
 * ``strip_unicode``: remove Unicode white space at both ends (``trim`` only
   removes blanks).
-* ``collapse_spaces``: every run of Unicode white space becomes one blank,
-  then both ends are stripped.
+* ``collapse_spaces``: every run of white space becomes one blank, then both
+  ends are stripped -- white space as Python's ``re`` ``\s`` reads it
+  (Unicode White_Space plus U+001C..U+001F), the rule the metadata cleaning
+  follows.
 * ``not_equal_collated``: ``<>`` under a collation, so a case-insensitive,
   trailing-blank-insensitive source database can be mirrored.
 
@@ -36,8 +38,9 @@ _WHITE_SPACE_POINTS = [
 ]
 WHITE_SPACE = "".join(chr(c) for c in _WHITE_SPACE_POINTS)
 
-# Java regex: (?U) makes \s the Unicode White_Space class.
-_INNER_SPACE = r"(?U)\s+"
+# Java regex: (?U) makes \s the Unicode White_Space class; Python's \s also
+# takes the four information separators U+001C..U+001F.
+_INNER_SPACE = r"(?U)[\s\x{1C}-\x{1F}]+"
 # Runs of letters/digits, or runs of anything else; joined back they give the
 # original string, so title-casing each run title-cases each word.
 _WORD_OR_GAP = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"

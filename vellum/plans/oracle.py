@@ -25,8 +25,12 @@ def t2(x: str) -> str:
     return f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"
 
 
+# Python's re \s (collapse) also takes U+001C..U+001F.
+_PY_WS = r"[\t\n\x0B\f\r\x{1C}-\x{1F}\x{85}\p{Z}]"
+
+
 def collapse(x: str) -> str:
-    return f"regexp_replace(regexp_replace({x}, '{_WS}+', ' ', 'g'), '^ | $', '', 'g')"
+    return f"regexp_replace(regexp_replace({x}, '{_PY_WS}+', ' ', 'g'), '^ | $', '', 'g')"
 
 
 def norm(x: str) -> str:
