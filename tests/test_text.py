@@ -47,3 +47,8 @@ def test_not_equal_plain_vs_collated(spark):
 def test_accent_insensitive_collation(spark):
     df = spark.createDataFrame([("LIBRÉ",), ("Y",)], "s string")
     assert [r.s for r in df.where(not_equal_collated("s", "libre", CASE_ACCENT_INSENSITIVE)).collect()] == ["Y"]
+
+
+def test_title_case_upper_mapping_and_alphabetic_runs(spark):
+    got = _one(spark, ["ßa straße", "ǆungla", "İSTANBUL", "ⓐbc"], title_case)
+    assert got == ["SSa Straße", "Ǆungla", "İstanbul", "Ⓐbc"]

@@ -1,8 +1,10 @@
 r"""Text normalisation as built-in Column expressions (no UDF).
 
-* ``title_case``: first letter of every word upper, the rest lower, where a
-  word is a run of letters and digits; any other character ends a word.
-  ``initcap`` alone is not enough because blank is its only boundary.
+* ``title_case``: first character of every word upper-cased (full mapping:
+  ``ß`` -> ``SS``), the rest lower-cased, where a word is a run of Unicode
+  Alphabetic or Numeric characters; any other character ends a word.
+  ``initcap`` is not enough: blank is its only boundary, and it applies the
+  title-case mapping (``ǆ`` -> ``ǅ``) rather than the upper-case one.
 * ``strip_unicode``: remove Unicode white space at both ends (``trim`` only
   removes blanks).
 * ``collapse_spaces``: every run of white space becomes one blank, then both
@@ -41,9 +43,10 @@ WHITE_SPACE = "".join(chr(c) for c in _WHITE_SPACE_POINTS)
 # Java regex: (?U) makes \s the Unicode White_Space class; Python's \s also
 # takes the four information separators U+001C..U+001F.
 _INNER_SPACE = r"(?U)[\s\x{1C}-\x{1F}]+"
-# Runs of letters/digits, or runs of anything else; joined back they give the
-# original string, so title-casing each run title-cases each word.
-_WORD_OR_GAP = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
+# Runs of alphanumerics (Unicode Alphabetic or Numeric), or runs of anything
+# else; joined back they give the original string, so casing each run cases
+# each word. Gaps hold no cased characters, so casing them changes nothing.
+_WORD_OR_GAP = r"[\p{IsAlphabetic}\p{N}]+|[^\p{IsAlphabetic}\p{N}]+"
 
 
 def _col(c: Column | str) -> Column:
@@ -52,7 +55,10 @@ def _col(c: Column | str) -> Column:
 
 def title_case(c: Column | str) -> Column:
     pieces = F.regexp_extract_all(_col(c), F.lit(_WORD_OR_GAP), 0)
-    return F.array_join(F.transform(pieces, lambda x: F.initcap(x)), "")
+    cased = F.transform(
+        pieces, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 2**31 - 1)))
+    )
+    return F.array_join(cased, "")
 
 
 def strip_unicode(c: Column | str) -> Column:
