@@ -204,3 +204,15 @@ def test_run_datasets_logs_and_blocks_on_failed_dependency(spark, workdir):
     assert not res[3]["ok"] and "organizadores" in res[3]["error"]
     log = spark.read.parquet(f"{base}/log")
     assert log.count() == 8 and log.where("not ok").count() == 2
+
+
+def test_transform_hook_runs_before_the_contract(spark):
+    def drop_odd(df):
+        return df.where(F.col("or_cobertura") % 2 == 0)
+
+    df = jobs.build_motor_coverages(spark, {"dims_coberturas_aut": sample_aut(spark, 5)}, transform=drop_odd)
+    assert df.count() == 3
+    with pytest.raises(ContractError):
+        jobs.build_motor_coverages(
+            spark, {"dims_coberturas_aut": sample_aut(spark, 2)}, transform=lambda d: d.drop("rt")
+        )

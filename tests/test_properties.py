@@ -5,7 +5,6 @@ import unicodedata
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from vellum.functions.text import WHITE_SPACE, collapse_spaces, normalise_name, strip_unicode, title_case
 

@@ -72,3 +72,15 @@ def test_pre_checks(spark):
     rows = {r.check_name: r.passed for r in pre_checks({"a": a, "b": b}).collect()}
     assert rows == {"a": True, "b": False, "all": False}
     assert all_passed({"a": a}) is True
+
+
+def test_jdbc_options():
+    from vellum.sinks import jdbc_options
+
+    opts = jdbc_options("jdbc:postgresql://h:5432/db", "public.t", driver="org.postgresql.Driver", batchsize=1000)
+    assert opts == {
+        "url": "jdbc:postgresql://h:5432/db",
+        "dbtable": "public.t",
+        "driver": "org.postgresql.Driver",
+        "batchsize": "1000",
+    }

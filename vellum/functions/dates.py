@@ -49,8 +49,3 @@ def month_index(c: Column | str, year: int, month: int = 1) -> Column:
     """Whole months from (year, month) to the month of ``c`` (0 = that month)."""
     col = F.to_date(_col(c))
     return (F.year(col) - F.lit(year)) * 12 + (F.month(col) - F.lit(month))
-
-
-def month_calendar(start: Column, end: Column) -> Column:
-    """Array of month starts from ``start`` to ``end`` inclusive."""
-    return F.sequence(F.trunc(start, "month"), F.trunc(end, "month"), F.expr("interval 1 month"))

@@ -24,7 +24,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.functions.dates import add_months, month_floor, month_index, month_range
+from vellum.functions.dates import month_floor, month_index, month_range
 from vellum.operators.joins import checked_broadcast
 
 MONTH_IDX = "month_idx"
@@ -105,10 +105,11 @@ def load_contiguous_months(
 ) -> DataFrame:
     """Fact rows in the kept months, with ``month`` (first day) added.
 
-    Un-keyed, the kept months are at most one row per calendar month, so the
-    semi-join broadcasts them after a size check. Keyed, the kept pairs are
-    broadcast only when the check passes; otherwise Spark shuffles both sides
-    on (key, month) and AQE may still switch strategies at run time.
+    Un-keyed, the kept months are at most one row per calendar month, a bound
+    that holds by construction, so the semi-join broadcasts them. Keyed, the
+    kept pairs are broadcast only when a row-count check passes; otherwise
+    Spark shuffles both sides on (key, month) and AQE may still switch
+    strategies at run time.
     """
     keys = list(keys)
     kept = kept_months(df, date_col, year, keys).select(*keys, MONTH_IDX)
@@ -124,8 +125,3 @@ def load_contiguous_months(
         .withColumn("month", month_floor(date_col))
         .drop(MONTH_IDX)
     )
-
-
-def month_span(year: int, months: int) -> tuple[_dt.date, _dt.date]:
-    start = _dt.date(year, 1, 1)
-    return start, add_months(start, months)

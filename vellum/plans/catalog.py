@@ -26,12 +26,11 @@ from vellum.operators import contracts as K
 from vellum.operators.checks import pre_checks
 from vellum.operators.distinct import normalise_distinct
 from vellum.operators.joins import flat_fact, left_chain
-from vellum.operators.months import month_counts, month_prefix_by_key, month_prefix_summary
+from vellum.operators.months import month_counts, month_prefix_by_key
 from vellum.plans import jobs
 from vellum.plans import standins as S
 from vellum.session import shared_dir
 from vellum.sources.readers import override_source, preview, read_csv, read_parquet
-from vellum.sinks import write_counted
 from vellum.sources.workbooks import read_workbooks, write_workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -121,28 +121,35 @@ def rename_project(df: DataFrame, renames: dict[str, str]) -> DataFrame:
 
 
 def identity(df: DataFrame) -> DataFrame:
+    """The default transformation step of every job (a job overrides it)."""
     return df
 
 
 # ---- motor coverages -------------------------------------------------------
 
 
-def build_motor_coverages(spark: SparkSession, sources: dict[str, DataFrame] | None = None) -> DataFrame:
+def build_motor_coverages(
+    spark: SparkSession, sources: dict[str, DataFrame] | None = None, transform=identity
+) -> DataFrame:
     raw = source(spark, MOTOR_COVERAGES_SOURCE, sources)
-    return rename_project(raw, MOTOR_COVERAGES_RENAMES).transform(
-        enforce(C.DIM_COBERTURAS_AUT, "coberturas_automotores")
+    return (
+        rename_project(raw, MOTOR_COVERAGES_RENAMES)
+        .transform(transform)
+        .transform(enforce(C.DIM_COBERTURAS_AUT, "coberturas_automotores"))
     )
 
 
 # ---- other-line coverages --------------------------------------------------
 
 
-def build_other_coverages(spark: SparkSession, sources: dict[str, DataFrame] | None = None) -> DataFrame:
+def build_other_coverages(
+    spark: SparkSession, sources: dict[str, DataFrame] | None = None, transform=identity
+) -> DataFrame:
     """Renamed frame; the contract is checked by ``publish_other_coverages``
     only once the frame is known to be non-empty (an empty frame of any types
     is skipped, never rejected)."""
     raw = source(spark, OTHER_COVERAGES_SOURCE, sources)
-    return rename_project(raw, OTHER_COVERAGES_RENAMES)
+    return rename_project(raw, OTHER_COVERAGES_RENAMES).transform(transform)
 
 
 def publish_other_coverages(df: DataFrame, path: str, **kw) -> dict:
@@ -179,9 +186,15 @@ def organizers_frame(
     return normalise_distinct(rename_project(joined, ORGANIZERS_RENAMES), ["nombre", "grupo"])
 
 
-def build_organizers(spark: SparkSession, sources: dict[str, DataFrame] | None = None, **kw) -> DataFrame:
+def build_organizers(
+    spark: SparkSession, sources: dict[str, DataFrame] | None = None, transform=identity, **kw
+) -> DataFrame:
     s, rel, gr = (source(spark, n, sources) for n in ORGANIZERS_SOURCES)
-    return organizers_frame(s, rel, gr, **kw).transform(enforce(C.ORGANIZADORES, "organizadores"))
+    return (
+        organizers_frame(s, rel, gr, **kw)
+        .transform(transform)
+        .transform(enforce(C.ORGANIZADORES, "organizadores"))
+    )
 
 
 # ---- motor premiums --------------------------------------------------------
@@ -194,9 +207,15 @@ def premiums_frame(raw: DataFrame, year: int) -> DataFrame:
     return load_contiguous_months(renamed, "femision", year)
 
 
-def build_premiums(spark: SparkSession, year: int, sources: dict[str, DataFrame] | None = None) -> DataFrame:
+def build_premiums(
+    spark: SparkSession, year: int, sources: dict[str, DataFrame] | None = None, transform=identity
+) -> DataFrame:
     raw = source(spark, PREMIUMS_SOURCE, sources)
-    return premiums_frame(raw, year).transform(enforce(C.PRIMAS_AUTOMOTORES, "primas_automotores"))
+    return (
+        premiums_frame(raw, year)
+        .transform(transform)
+        .transform(enforce(C.PRIMAS_AUTOMOTORES, "primas_automotores"))
+    )
 
 
 def premiums_summary(spark: SparkSession, year: int, sources: dict[str, DataFrame] | None = None) -> DataFrame:

@@ -79,9 +79,6 @@ def local_path(uri: str) -> str:
     return uri
 
 
-def is_local_uri(uri: str) -> bool:
-    return uri.startswith("file:") or uri.startswith("/") or not ("://" in uri)
-
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
