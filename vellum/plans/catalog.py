@@ -30,7 +30,7 @@ from vellum.operators.months import month_counts, month_prefix_by_key
 from vellum.plans import jobs
 from vellum.plans import standins as S
 from vellum.session import shared_dir
-from vellum.sources.readers import override_source, preview, read_csv, read_parquet
+from vellum.sources.readers import override_source, preview, read_csv, read_parquet, read_target
 from vellum.sources.workbooks import read_workbooks, write_workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,9 +158,10 @@ def premiums_load(spark, sf_dir):
 
 
 def read_back(spark, sf_dir):
+    """Organizers appended to a target, then read back from it by SQL."""
     path = shared_dir(spark, "organizers")
     jobs.publish(organizers(spark, sf_dir), path, jobs.ORGANIZERS_TABLE)
-    return read_parquet(spark, path)
+    return read_target(spark, path, "SELECT * FROM {target} WHERE cod_organizador >= :lo", lo=0)
 
 
 def preview_q(spark, sf_dir):

@@ -306,7 +306,7 @@ def oracle_sql() -> dict[str, str]:
         "parquet_scan": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem "
         "WHERE l_shipdate >= DATE '1996-01-01' AND l_shipdate < DATE '1996-07-01'",
         "source_override": MOTOR_COVERAGES,
-        "read_back": org,
+        "read_back": f"SELECT * FROM ({org}) WHERE cod_organizador >= 0",
         "preview": f"SELECT * FROM ({org}) ORDER BY cod_organizador, cod_grupo LIMIT 20",
         "workbook_folder": "SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, "
         "o_orderstatus FROM orders",

@@ -170,6 +170,15 @@ def override_source(spark: SparkSession, relation: str, df: DataFrame) -> None:
     df.createOrReplaceTempView(relation)
 
 
+def read_target(spark: SparkSession, path: str, sql: str | None = None, **args) -> DataFrame:
+    """Read a written target back, optionally through SQL over it: the table
+    is ``{target}`` in ``sql``; named ``:params`` come from ``args``."""
+    target = spark.read.parquet(path)
+    if sql is None:
+        return target
+    return spark.sql(sql, args=args or None, target=target)
+
+
 def preview(spark: SparkSession, table: DataFrame, order_by: list[str], n: int = 20) -> DataFrame:
     """First ``n`` rows of a target table in key order (a top-n, not a sample)."""
     return table.orderBy(*order_by).limit(n)
