@@ -216,3 +216,15 @@ def test_transform_hook_runs_before_the_contract(spark):
         jobs.build_motor_coverages(
             spark, {"dims_coberturas_aut": sample_aut(spark, 2)}, transform=lambda d: d.drop("rt")
         )
+
+
+def test_contract_at_source_and_destination_boundaries(spark, workdir):
+    src = {"dims_coberturas_aut": sample_aut(spark, 3)}
+    raw_contract = {"CodCobertura": "String", "Rt": "UInt16"}
+    assert jobs.build_motor_coverages(spark, src, source_contract=raw_contract).count() == 3
+    with pytest.raises(ContractError, match="source dims_coberturas_aut"):
+        jobs.build_motor_coverages(spark, src, source_contract={"Rt": "UInt32"})
+    df = jobs.build_motor_coverages(spark, src)
+    with pytest.raises(ContractError, match="destination"):
+        jobs.publish(df, workdir("dest"), "t", contract={"extra_col": "String"})
+    assert jobs.publish(df, workdir("dest2"), "t", contract=C.DIM_COBERTURAS_AUT)["rows"] == 3

@@ -108,11 +108,18 @@ PREMIUMS_DATASET = "primas_automotores_x_componente"
 # ---- end of fixed values ---------------------------------------------------
 
 
-def source(spark: SparkSession, name: str, sources: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The relation ``name``: from ``sources`` if given there, else the catalog."""
-    if sources and name in sources:
-        return sources[name]
-    return spark.table(name)
+def source(
+    spark: SparkSession,
+    name: str,
+    sources: dict[str, DataFrame] | None = None,
+    contract: dict[str, str] | None = None,
+) -> DataFrame:
+    """The relation ``name``: from ``sources`` if given there, else the catalog.
+
+    ``contract`` checks the raw source (the first of the three boundaries;
+    None = off, as in the four jobs)."""
+    df = sources[name] if sources and name in sources else spark.table(name)
+    return df.transform(enforce(contract, f"source {name}"))
 
 
 def rename_project(df: DataFrame, renames: dict[str, str]) -> DataFrame:
@@ -129,9 +136,12 @@ def identity(df: DataFrame) -> DataFrame:
 
 
 def build_motor_coverages(
-    spark: SparkSession, sources: dict[str, DataFrame] | None = None, transform=identity
+    spark: SparkSession,
+    sources: dict[str, DataFrame] | None = None,
+    transform=identity,
+    source_contract: dict[str, str] | None = None,
 ) -> DataFrame:
-    raw = source(spark, MOTOR_COVERAGES_SOURCE, sources)
+    raw = source(spark, MOTOR_COVERAGES_SOURCE, sources, source_contract)
     return (
         rename_project(raw, MOTOR_COVERAGES_RENAMES)
         .transform(transform)
@@ -143,12 +153,15 @@ def build_motor_coverages(
 
 
 def build_other_coverages(
-    spark: SparkSession, sources: dict[str, DataFrame] | None = None, transform=identity
+    spark: SparkSession,
+    sources: dict[str, DataFrame] | None = None,
+    transform=identity,
+    source_contract: dict[str, str] | None = None,
 ) -> DataFrame:
     """Renamed frame; the contract is checked by ``publish_other_coverages``
     only once the frame is known to be non-empty (an empty frame of any types
     is skipped, never rejected)."""
-    raw = source(spark, OTHER_COVERAGES_SOURCE, sources)
+    raw = source(spark, OTHER_COVERAGES_SOURCE, sources, source_contract)
     return rename_project(raw, OTHER_COVERAGES_RENAMES).transform(transform)
 
 
@@ -208,9 +221,13 @@ def premiums_frame(raw: DataFrame, year: int) -> DataFrame:
 
 
 def build_premiums(
-    spark: SparkSession, year: int, sources: dict[str, DataFrame] | None = None, transform=identity
+    spark: SparkSession,
+    year: int,
+    sources: dict[str, DataFrame] | None = None,
+    transform=identity,
+    source_contract: dict[str, str] | None = None,
 ) -> DataFrame:
-    raw = source(spark, PREMIUMS_SOURCE, sources)
+    raw = source(spark, PREMIUMS_SOURCE, sources, source_contract)
     return (
         premiums_frame(raw, year)
         .transform(transform)
@@ -227,8 +244,12 @@ def premiums_summary(spark: SparkSession, year: int, sources: dict[str, DataFram
 # ---- writing ---------------------------------------------------------------
 
 
-def publish(df: DataFrame, path: str, table: str, **kw) -> dict:
-    """Append ``df``; ``{"rows", "table"}`` counted in the same job."""
+def publish(df: DataFrame, path: str, table: str, contract: dict[str, str] | None = None, **kw) -> dict:
+    """Append ``df``; ``{"rows", "table"}`` counted in the same job.
+
+    ``contract`` checks the frame right before the write (the third
+    boundary; None = off)."""
+    enforce(contract, f"destination {table}")(df)
     out = write_counted(df, path, **kw)
     return {"rows": out["rows"], "table": table}
 
