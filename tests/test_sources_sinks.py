@@ -84,3 +84,20 @@ def test_jdbc_options():
         "driver": "org.postgresql.Driver",
         "batchsize": "1000",
     }
+
+
+def test_checked_broadcast_bounds_rows_and_bytes(spark, capsys):
+    from vellum.operators.joins import checked_broadcast, measure
+
+    df = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "k bigint, s string")
+    rows, size = measure(df)
+    assert rows == 50 and size >= 50 * 100
+
+    def hinted(d):
+        left = spark.range(5)
+        left.join(d, left.id == d.k).explain(True)
+        return "strategy=broadcast" in capsys.readouterr().out
+
+    assert hinted(checked_broadcast(df, max_rows=100))
+    assert not hinted(checked_broadcast(df, max_rows=100, max_bytes=1000))
+    assert not hinted(checked_broadcast(df, max_rows=10))
