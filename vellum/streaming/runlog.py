@@ -15,6 +15,10 @@ writes its own version of the state (``batch_id`` partition, dynamic
 overwrite), so a replayed batch after a failure rewrites the same version
 from the same predecessor: exactly-once results on an at-least-once sink.
 
+Old versions are removed after each batch (``keep`` most recent retained,
+at least 2, so the predecessor of a replayed batch always exists): the state
+stays one row per process times ``keep``.
+
 Assumes a process's outcomes arrive in order across micro-batches (within a
 batch they are ordered by ts, then seq).
 """
@@ -72,7 +76,31 @@ def _previous(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(state_dir).where(F.col("batch_id") == last).drop("batch_id")
 
 
-def _batch_writer(state_dir: str, key: str, ts: str, seq: str, ok: str):
+def _arrow_uri(path: str) -> str:
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    return path
+
+
+def prune_versions(state_dir: str, keep: int = 2) -> None:
+    """Delete all but the ``keep`` (at least 2) most recent state versions.
+
+    By rank, not by id arithmetic: batch ids need not be contiguous, and the
+    version a replayed batch starts from must survive."""
+    import pyarrow.fs as pafs
+
+    fs, base = pafs.FileSystem.from_uri(_arrow_uri(state_dir))
+    selector = pafs.FileSelector(base, allow_not_found=True)
+    versions = sorted(
+        (int(info.base_name.split("=", 1)[1]), info.path)
+        for info in fs.get_file_info(selector)
+        if info.type == pafs.FileType.Directory and info.base_name.startswith("batch_id=")
+    )
+    for _, path in versions[: -max(2, keep)]:
+        fs.delete_dir(path)
+
+
+def _batch_writer(state_dir: str, key: str, ts: str, seq: str, ok: str, keep: int):
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         summary = lifecycle_status(batch_df, key, ts, seq, ok)
@@ -84,6 +112,7 @@ def _batch_writer(state_dir: str, key: str, ts: str, seq: str, ok: str):
             .partitionBy("batch_id")
             .parquet(state_dir)
         )
+        prune_versions(state_dir, keep)
 
     return write
 
@@ -99,10 +128,11 @@ def track_status(
     ok: str = "ok",
     available_now: bool = True,
     processing_time: str | None = None,
+    keep: int = 2,
 ) -> StreamingQuery:
     """Start the tracker on a streaming DataFrame of (key, ts, seq, ok)."""
     w = (
-        outcomes.writeStream.foreachBatch(_batch_writer(state_dir, key, ts, seq, ok))
+        outcomes.writeStream.foreachBatch(_batch_writer(state_dir, key, ts, seq, ok, keep))
         .option("checkpointLocation", checkpoint_location)
     )
     if processing_time:
