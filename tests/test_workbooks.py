@@ -4,7 +4,7 @@ import os
 import zipfile
 
 from vellum.session import local_path
-from vellum.sources.workbooks import iter_first_sheet, read_workbooks, workbook_bytes, write_workbooks
+from vellum.sources.workbooks import iter_sheet_rows, read_workbooks, workbook_bytes, write_workbooks
 
 
 def _shared_strings_book() -> bytes:
@@ -45,8 +45,11 @@ def _shared_strings_book() -> bytes:
 
 
 def test_parse_shared_strings_first_sheet():
-    rows = list(iter_first_sheet(_shared_strings_book()))
+    rows = list(iter_sheet_rows(_shared_strings_book()))
     assert rows == [["name", "qty"], ["Juan", "1.5"], [None, "7"]]
+    assert list(iter_sheet_rows(_shared_strings_book(), "Data")) == rows
+    assert list(iter_sheet_rows(_shared_strings_book(), 2)) == []
+    assert list(iter_sheet_rows(_shared_strings_book(), "Other")) == []
 
 
 def test_folder_of_three_workbooks(spark, workdir):

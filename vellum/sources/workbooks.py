@@ -54,26 +54,36 @@ def _text_of(elem) -> str:
     return "".join(t.text or "" for t in elem.iter(f"{_M}t"))
 
 
-def _first_sheet_path(z: zipfile.ZipFile) -> str:
+def _sheet_path(z: zipfile.ZipFile, sheet: str | int | None = None) -> str:
+    """Zip path of a sheet: the first (None), by 1-based position, or by name."""
     wb = ET.fromstring(z.read("xl/workbook.xml"))
-    sheet = wb.find(f"{_M}sheets/{_M}sheet")
-    rid = sheet.get(f"{_R}id")
+    sheets = wb.findall(f"{_M}sheets/{_M}sheet")
+    if sheet is None:
+        chosen = sheets[0] if sheets else None
+    elif isinstance(sheet, int):
+        chosen = sheets[sheet - 1] if 0 < sheet <= len(sheets) else None
+    else:
+        chosen = next((sh for sh in sheets if sh.get("name") == sheet), None)
+    if chosen is None:
+        raise ValueError(f"workbook has no sheet {sheet!r}")
+    rid = chosen.get(f"{_R}id")
     rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
     for rel in rels.iter(f"{_PR}Relationship"):
         if rel.get("Id") == rid:
             target = rel.get("Target")
             return target.lstrip("/") if target.startswith("/") else "xl/" + target
-    raise ValueError("workbook without a first sheet")
+    raise ValueError(f"workbook sheet {sheet!r} has no part")
 
 
-def iter_first_sheet(content: bytes) -> Iterator[list[str | None]]:
-    """Rows of the first sheet as lists of cell text (None for empty cells)."""
+def iter_sheet_rows(content: bytes, sheet: str | int | None = None) -> Iterator[list[str | None]]:
+    """Rows of a sheet (default: the first) as lists of cell text (None for
+    empty cells)."""
     z = zipfile.ZipFile(io.BytesIO(content))
     shared: list[str] = []
     if "xl/sharedStrings.xml" in z.namelist():
         for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_M}si"):
             shared.append(_text_of(si))
-    with z.open(_first_sheet_path(z)) as fh:
+    with z.open(_sheet_path(z, sheet)) as fh:
         for _, elem in ET.iterparse(fh):
             if elem.tag != f"{_M}row":
                 continue
@@ -100,12 +110,12 @@ def iter_first_sheet(content: bytes) -> Iterator[list[str | None]]:
             elem.clear()
 
 
-def _parse_batches(columns: list[str]):
+def _parse_batches(columns: list[str], sheet: str | int | None = None):
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = {"_file": [], "_row": [], **{c: [] for c in columns}}
             for path, content in zip(pdf["path"], pdf["content"]):
-                rows = iter_first_sheet(bytes(content))
+                rows = iter_sheet_rows(bytes(content), sheet)
                 header = next(rows, None)
                 if header is None:
                     continue
@@ -123,13 +133,16 @@ def _parse_batches(columns: list[str]):
     return parse
 
 
-def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        heads = []
-        for content in pdf["content"]:
-            first = next(iter_first_sheet(bytes(content)), None) or []
-            heads.append([h for h in first if h is not None])
-        yield pd.DataFrame({"header": heads})
+def _headers(sheet: str | int | None = None):
+    def heads_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            heads = []
+            for content in pdf["content"]:
+                first = next(iter_sheet_rows(bytes(content), sheet), None) or []
+                heads.append([h for h in first if h is not None])
+            yield pd.DataFrame({"header": heads})
+
+    return heads_of
 
 
 def _typed(c, dt: T.DataType):
@@ -153,11 +166,14 @@ def read_workbooks(
     contract: dict[str, str] | None = None,
     glob: str = "*.xlsx",
     with_source: bool = False,
+    sheet: str | int | None = None,
 ) -> DataFrame:
     """All workbooks under ``path`` as one DataFrame.
 
-    Columns: ``contract`` (typed), else ``columns`` (text), else the union of
-    the headers found (one small distinct pass over the files' first rows).
+    ``sheet``: the sheet to read in every workbook -- None for the first, a
+    1-based position, or a name. Columns: ``contract`` (typed), else
+    ``columns`` (text), else the union of the headers found (one small
+    distinct pass over the files' header rows).
     """
     files = (
         spark.read.format("binaryFile")
@@ -170,13 +186,13 @@ def read_workbooks(
         columns = list(contract)
     if columns is None:
         seen: list[str] = []
-        for row in files.mapInPandas(_headers, "header array<string>").distinct().collect():
+        for row in files.mapInPandas(_headers(sheet), "header array<string>").distinct().collect():
             for h in row.header:
                 if h not in seen:
                     seen.append(h)
         columns = seen
     schema = "_file string, _row bigint" + "".join(f", `{c}` string" for c in columns)
-    text = files.mapInPandas(_parse_batches(columns), schema)
+    text = files.mapInPandas(_parse_batches(columns, sheet), schema)
     if contract is not None:
         typed = [_typed(F.col(f"`{c}`"), spark_type(t)).alias(c) for c, t in contract.items()]
     else:
