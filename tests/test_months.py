@@ -53,3 +53,21 @@ def test_month_slice_and_counts_on_timestamps(spark):
     assert month_slice(df, "d", 2025, 3).count() == 1
     got = {r.month: r.rows for r in month_counts(df, "d").collect()}
     assert got == {dt.date(2025, 3, 1): 1, dt.date(2025, 4, 1): 1}
+
+
+def test_next_month_equals_day5_plus_30_days():
+    from vellum.functions.dates import next_month
+
+    for y in (1900, 1999, 2000, 2024, 2025, 2100):
+        for m in range(1, 13):
+            d = dt.date(y, m, 5) + dt.timedelta(days=30)
+            assert next_month(y, m) == (d.year, d.month)
+
+
+def test_month_range_across_year_end(spark):
+    from vellum.functions.dates import month_range
+
+    df = spark.createDataFrame(
+        [(dt.date(2025, 12, 31),), (dt.date(2026, 1, 1),), (dt.date(2026, 2, 28),), (dt.date(2026, 3, 1),)], "d date"
+    )
+    assert df.where(month_range("d", 2025, 12, 3)).count() == 3
