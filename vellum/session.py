@@ -50,18 +50,24 @@ def build_session(
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting one only if it is unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         # Local runs and tests only: a cluster names a shared folder itself.
         configured = tempfile.mkdtemp(prefix="vellum-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir()
+    spark.conf.set("spark.checkpoint.dir", configured)
+    return configured
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
