@@ -291,7 +291,9 @@ def source_override(spark, sf_dir):
         "At": "Int32",
         "Ap": "Int32",
     }
-    override_source(spark, jobs.MOTOR_COVERAGES_SOURCE, read_csv(spark, path, decimal_comma=False, contract=schema_contract))
+    csv_copy = read_csv(spark, path, decimal_comma=False, contract=schema_contract)
+    override_source(spark, jobs.MOTOR_COVERAGES_SOURCE, csv_copy)
+    # No sources given: the job resolves its relation by name, i.e. the override.
     return jobs.build_motor_coverages(spark)
 
 
