@@ -26,6 +26,7 @@ putting a hot process in one task (range partitioning + prefix offsets).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,7 +121,11 @@ def lifecycle_audit(
     base = log.select(key, ts, seq, ok)
     ranged = base.repartitionByRange(p, key, ts, seq).withColumn("_part", F.spark_partition_id())
     if checkpoint:
-        ranged = ranged.checkpoint(eager=True)
+        # Persist first: writing a reliable checkpoint otherwise recomputes
+        # its input in a second job.
+        cached = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+        ranged = cached.checkpoint(eager=True)
+        cached.unpersist()
 
     is_f = (~F.col(ok)).cast("int")
     w_in = Window.partitionBy("_part", key).orderBy(ts, seq)
