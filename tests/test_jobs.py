@@ -228,3 +228,19 @@ def test_contract_at_source_and_destination_boundaries(spark, workdir):
     with pytest.raises(ContractError, match="destination"):
         jobs.publish(df, workdir("dest"), "t", contract={"extra_col": "String"})
     assert jobs.publish(df, workdir("dest2"), "t", contract=C.DIM_COBERTURAS_AUT)["rows"] == 3
+
+
+def test_premiums_from_a_file_override_loads_contiguous_months(spark, workdir):
+    from vellum.sources.readers import override_source, read_csv
+
+    dates = [dt.date(2025, 1, 15)] * 3 + [dt.date(2025, 2, 10)] * 5 + [dt.date(2025, 4, 1)] * 2
+    path = workdir("premiums-csv")
+    premium_rows(spark, dates).write.option("header", "true").csv(path)
+    contract = {k: C.PRIMAS_AUTOMOTORES[v] for k, v in jobs.PREMIUMS_RENAMES.items()}
+    override_source(spark, jobs.PREMIUMS_SOURCE, read_csv(spark, path, decimal_comma=False, contract=contract))
+    try:
+        r = jobs.premiums_summary(spark, 2025).first()
+        assert (r.total_rows, r.months_processed) == (8, 2)
+        assert jobs.build_premiums(spark, 2025).count() == 8
+    finally:
+        spark.catalog.dropTempView(jobs.PREMIUMS_SOURCE)
