@@ -53,3 +53,24 @@ def test_prune_keeps_most_recent_versions_by_rank(spark, workdir):
     prune_versions(state, keep=2)
     left = sorted(r.batch_id for r in spark.read.parquet(state).select("batch_id").distinct().collect())
     assert left == [8, 9]
+
+
+def test_late_outcomes_are_kept_apart_not_applied(spark, workdir):
+    from vellum.streaming.runlog import late_outcomes
+
+    t0 = dt.datetime(2024, 1, 1)
+    first = [(1, t0 + dt.timedelta(minutes=m), m, True) for m in (10, 11)]  # RUNNING, SUCCESS
+    second = [(1, t0 + dt.timedelta(minutes=5), 5, False), (1, t0 + dt.timedelta(minutes=12), 12, True)]
+    src = workdir("late-src")
+    os.makedirs(local_path(src))
+    for rows in (first, second):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    base = workdir("late-state")
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    track_status(stream, f"{base}/state", f"{base}/ckpt").awaitTermination()
+    r = current_status(spark, f"{base}/state").first()
+    # On-time outcomes T, T, T: IDLE -> RUNNING -> SUCCESS -> IDLE.
+    assert (r.status, r.outcomes, r.failures) == ("IDLE", 3, 0)
+    late = late_outcomes(spark, f"{base}/state").collect()
+    assert [(x.seq, x.ok) for x in late] == [(5, False)]

@@ -19,19 +19,22 @@ Old versions are removed after each batch (``keep`` most recent retained,
 at least 2, so the predecessor of a replayed batch always exists): the state
 stays one row per process times ``keep``.
 
-Assumes a process's outcomes arrive in order across micro-batches (within a
-batch they are ordered by ts, then seq).
+Within a batch, outcomes are ordered by ts, then seq. Across batches, the
+state remembers each process's last applied (ts, seq): an outcome at or
+before it arrived late. Applying it would rewrite history the state has
+already folded, so it is not applied; it is kept, whole, in the ``late``
+table next to the state (with its batch id) for a batch replay to pick up.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vellum.operators.runs import FAILED, IDLE, RUNNING, SUCCESS, _cycle, lifecycle_status
-
-STATE_SCHEMA = "process bigint, status string, outcomes bigint, failures bigint, batch_id bigint"
+from vellum.operators.joins import checked_broadcast
+from vellum.operators.runs import FAILED, IDLE, RUNNING, SUCCESS, _cycle, _ord, lifecycle_status
 
 
 def _cycle_pos(status: Column) -> Column:
@@ -43,12 +46,22 @@ def _cycle_pos(status: Column) -> Column:
 
 
 def merge_state(prev: DataFrame, batch: DataFrame, key: str = "process") -> DataFrame:
-    """New state from the previous state and one batch's per-process replay."""
+    """New state from the previous state and one batch's per-process replay.
+
+    Both carry ``last`` (the last applied (ts, seq)) when tracked."""
     p = prev.select(
-        F.col(key), F.col("status").alias("_ps"), F.col("outcomes").alias("_po"), F.col("failures").alias("_pf")
+        F.col(key),
+        F.col("status").alias("_ps"),
+        F.col("outcomes").alias("_po"),
+        F.col("failures").alias("_pf"),
+        F.col("last").alias("_pl"),
     )
     b = batch.select(
-        F.col(key), F.col("status").alias("_bs"), F.col("outcomes").alias("_bo"), F.col("failures").alias("_bf")
+        F.col(key),
+        F.col("status").alias("_bs"),
+        F.col("outcomes").alias("_bo"),
+        F.col("failures").alias("_bf"),
+        F.col("last").alias("_bl"),
     )
     j = p.join(b, key, "full_outer")
     advanced = _cycle(_cycle_pos(F.coalesce(F.col("_ps"), F.lit(IDLE))) + F.col("_bo"))
@@ -62,17 +75,34 @@ def merge_state(prev: DataFrame, batch: DataFrame, key: str = "process") -> Data
         status.alias("status"),
         (F.coalesce(F.col("_po"), F.lit(0)) + F.coalesce(F.col("_bo"), F.lit(0))).cast("bigint").alias("outcomes"),
         (F.coalesce(F.col("_pf"), F.lit(0)) + F.coalesce(F.col("_bf"), F.lit(0))).cast("bigint").alias("failures"),
+        F.coalesce(F.col("_bl"), F.col("_pl")).alias("last"),
     )
 
 
-def _previous(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame:
+def _empty_state(spark: SparkSession, key_type, ts_type, seq_type) -> DataFrame:
+    from pyspark.sql import types as T
+
+    last = T.StructType([T.StructField("ts", ts_type), T.StructField("seq", seq_type)])
+    schema = T.StructType(
+        [
+            T.StructField("process", key_type),
+            T.StructField("status", T.StringType()),
+            T.StructField("outcomes", T.LongType()),
+            T.StructField("failures", T.LongType()),
+            T.StructField("last", last),
+        ]
+    )
+    return spark.createDataFrame([], schema)
+
+
+def _previous(spark: SparkSession, state_dir: str, batch_id: int, empty: DataFrame) -> DataFrame:
     try:
         versions = spark.read.parquet(state_dir).where(F.col("batch_id") < batch_id)
         last = versions.agg(F.max("batch_id")).first()[0]
     except Exception:  # noqa: BLE001 - no state written yet
         last = None
     if last is None:
-        return spark.createDataFrame([], STATE_SCHEMA).drop("batch_id")
+        return empty
     return spark.read.parquet(state_dir).where(F.col("batch_id") == last).drop("batch_id")
 
 
@@ -103,15 +133,41 @@ def prune_versions(state_dir: str, keep: int = 2) -> None:
 def _batch_writer(state_dir: str, key: str, ts: str, seq: str, ok: str, keep: int):
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        summary = lifecycle_status(batch_df, key, ts, seq, ok)
-        new = merge_state(_previous(spark, state_dir, batch_id), summary, key)
-        (
-            new.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(state_dir)
+        sch = batch_df.schema
+        empty = _empty_state(spark, sch[key].dataType, sch[ts].dataType, sch[seq].dataType)
+        prev = _previous(spark, state_dir, batch_id, empty).withColumnRenamed(key, "process")
+        marks = checked_broadcast(
+            prev.select(F.col("process").alias(key), F.col("last").alias("_prev_last")), 1_000_000
+        )
+        tagged = (
+            batch_df.join(marks, key, "left")
+            .withColumn("_late", F.coalesce(_ord(ts, seq) <= F.col("_prev_last"), F.lit(False)))
+            .persist(StorageLevel.MEMORY_AND_DISK)
         )
+        try:
+            late = tagged.where("_late").drop("_late", "_prev_last")
+            if not late.isEmpty():
+                (
+                    late.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                    .write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .partitionBy("batch_id")
+                    .parquet(_late_dir(state_dir))
+                )
+            on_time = tagged.where(~F.col("_late")).drop("_late", "_prev_last")
+            replay = lifecycle_status(on_time, key, ts, seq, ok)
+            lasts = on_time.groupBy(key).agg(F.max(_ord(ts, seq)).alias("last"))
+            summary = replay.join(lasts, key).withColumnRenamed(key, "process")
+            new = merge_state(prev, summary, "process").withColumnRenamed("process", key)
+            (
+                new.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id")
+                .parquet(state_dir)
+            )
+        finally:
+            tagged.unpersist()
         prune_versions(state_dir, keep)
 
     return write
@@ -146,4 +202,19 @@ def current_status(spark: SparkSession, state_dir: str) -> DataFrame:
     """The latest state version: (process, status, outcomes, failures)."""
     state = spark.read.parquet(state_dir)
     last = state.agg(F.max("batch_id").alias("_last"))
-    return state.join(F.broadcast(last), F.col("batch_id") == F.col("_last")).drop("batch_id", "_last")
+    return state.join(F.broadcast(last), F.col("batch_id") == F.col("_last")).drop("batch_id", "_last", "last")
+
+
+def _late_dir(state_dir: str) -> str:
+    return state_dir.rstrip("/") + "_late"
+
+
+def late_outcomes(spark: SparkSession, state_dir: str) -> DataFrame | None:
+    """Outcomes that arrived after later ones of their process were applied
+    (None when there were none)."""
+    import pyarrow.fs as pafs
+
+    fs, base = pafs.FileSystem.from_uri(_arrow_uri(_late_dir(state_dir)))
+    if fs.get_file_info(base).type != pafs.FileType.Directory:
+        return None
+    return spark.read.parquet(_late_dir(state_dir))
