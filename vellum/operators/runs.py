@@ -53,8 +53,10 @@ def lifecycle_status(
     seq: str = "seq",
     ok: str = "ok",
     max_broadcast_keys: int = 1_000_000,
+    with_last: bool = False,
 ) -> DataFrame:
-    """Final status per process: ``(key, status, outcomes, failures)``.
+    """Final status per process: ``(key, status, outcomes, failures)``, plus
+    ``last`` (the last (ts, seq)) when ``with_last``.
 
     Two aggregations (both partial on every partition, so a hot process never
     sits in one task) and one join of the log with the per-process last-false
@@ -71,6 +73,7 @@ def lifecycle_status(
             F.count_if(
                 F.col(ok) & (F.col("_last_false").isNull() | (_ord(ts, seq) > F.col("_last_false")))
             ).cast("bigint").alias("_k"),
+            *([F.max(_ord(ts, seq)).alias("last")] if with_last else []),
         )
     )
     k = F.col("_k")
@@ -79,7 +82,7 @@ def lifecycle_status(
         .when(k == 0, F.lit(FAILED))
         .otherwise(_cycle(k - 1))
     )
-    return after.select(key, status.alias("status"), "outcomes", "failures")
+    return after.select(key, status.alias("status"), "outcomes", "failures", *(["last"] if with_last else []))
 
 
 def _state(f: Column, t: Column, last_t: Column) -> Column:

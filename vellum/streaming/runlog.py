@@ -155,9 +155,8 @@ def _batch_writer(state_dir: str, key: str, ts: str, seq: str, ok: str, keep: in
                     .parquet(_late_dir(state_dir))
                 )
             on_time = tagged.where(~F.col("_late")).drop("_late", "_prev_last")
-            replay = lifecycle_status(on_time, key, ts, seq, ok)
-            lasts = on_time.groupBy(key).agg(F.max(_ord(ts, seq)).alias("last"))
-            summary = replay.join(lasts, key).withColumnRenamed(key, "process")
+            replay = lifecycle_status(on_time, key, ts, seq, ok, with_last=True)
+            summary = replay.withColumnRenamed(key, "process")
             new = merge_state(prev, summary, "process").withColumnRenamed("process", key)
             (
                 new.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
