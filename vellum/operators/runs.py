@@ -227,9 +227,15 @@ def may_run(processes: DataFrame, edges: DataFrame, status: DataFrame, key: str
 def latest_runs(log: DataFrame, key: str, ts: str, seq: str, cols: list[str]) -> DataFrame:
     """Per key, the latest row's ``cols`` (ordered by ts, then seq)."""
     o = _ord(ts, seq)
-    return log.groupBy(key).agg(
+    per = log.groupBy(key).agg(
         F.max(o).alias("_last"),
         *[F.max_by(F.col(c), o).alias(f"last_{c}") for c in cols],
         F.count(F.lit(1)).alias("runs"),
-    ).select(key, F.col("_last.ts").alias("last_ts"), F.col("_last.seq").alias("last_seq"),
-             *[f"last_{c}" for c in cols], "runs")
+    )
+    return per.select(
+        key,
+        F.col("_last.ts").alias("last_ts"),
+        F.col("_last.seq").alias("last_seq"),
+        *[f"last_{c}" for c in cols],
+        "runs",
+    )
