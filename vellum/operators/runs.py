@@ -119,10 +119,15 @@ def lifecycle_audit(
     offsets from the slices before it. The ranged copy is checkpointed to the
     shared checkpoint folder: partition ids are frozen and lineage is cut.
     """
-    spark = log.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = log.select(key, ts, seq, ok)
-    ranged = base.repartitionByRange(p, key, ts, seq).withColumn("_part", F.spark_partition_id())
+    # Without an explicit count AQE sizes the range partitions, merging only
+    # adjacent ones, so every partition stays one contiguous (key, ts, seq)
+    # range -- what the slice offsets rely on.
+    if partitions:
+        ranged = base.repartitionByRange(partitions, key, ts, seq)
+    else:
+        ranged = base.repartitionByRange(key, ts, seq)
+    ranged = ranged.withColumn("_part", F.spark_partition_id())
     if checkpoint:
         # Persist first: writing a reliable checkpoint otherwise recomputes
         # its input in a second job.
