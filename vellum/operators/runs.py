@@ -116,7 +116,7 @@ def lifecycle_audit(
     holding a third of the log spreads over many partitions. Each partition's
     slice of a process is scanned locally (window over (partition, key)); the
     slice totals -- at most (#partitions + #keys) rows -- give each slice its
-    offsets from the slices before it. The ranged copy is checkpointed to the
+    offsets from the slices before it. The slice scan is checkpointed to the
     shared checkpoint folder: partition ids are frozen and lineage is cut.
     """
     base = log.select(key, ts, seq, ok)
@@ -128,12 +128,6 @@ def lifecycle_audit(
     else:
         ranged = base.repartitionByRange(key, ts, seq)
     ranged = ranged.withColumn("_part", F.spark_partition_id())
-    if checkpoint:
-        # Persist first: writing a reliable checkpoint otherwise recomputes
-        # its input in a second job.
-        cached = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-        ranged = cached.checkpoint(eager=True)
-        cached.unpersist()
 
     is_f = (~F.col(ok)).cast("int")
     w_in = Window.partitionBy("_part", key).orderBy(ts, seq)
@@ -150,6 +144,15 @@ def lifecycle_audit(
         F.max(F.when(~F.col(ok), F.col("_lt"))).over(upto).alias("_ll"),
         F.max(F.when(~F.col(ok), F.col("_lt"))).over(before).alias("_ll_prev"),
     )
+    if checkpoint:
+        # One reliable checkpoint freezes the partition ids together with the
+        # slice-local running values (the windows then run once for both
+        # uses below), keeps the (_part, key) hash partitioning for them, and
+        # cuts the lineage. Persisted first: writing a reliable checkpoint
+        # otherwise recomputes its input in a second job.
+        cached = local.persist(StorageLevel.MEMORY_AND_DISK)
+        local = cached.checkpoint(eager=True)
+        cached.unpersist()
     slices = local.groupBy("_part", key).agg(
         F.max("_lf").alias("_sf"),
         F.max("_lt").alias("_st"),
