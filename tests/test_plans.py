@@ -28,10 +28,10 @@ def test_projection_is_pruned_at_the_scan(plan):
     assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in plan("month_counts")
 
 
-def test_unkeyed_month_prefix_has_no_window(plan):
+def test_month_prefix_scans_the_fact_once(plan):
     p = plan("month_prefix")
-    assert "Window" not in p and "NestedLoop" not in p
-    assert "Subquery" in p
+    scans = [line for line in p.splitlines() if line.startswith("(") and "Scan parquet" in line]
+    assert len(scans) == 1 and "NestedLoop" not in p and "Subquery" not in p
 
 
 def test_status_replay_has_no_window_and_aggregates_partially(plan):

@@ -8,12 +8,10 @@ loop is one plan:
 1. one scan filtered by ``d >= first of January`` (pushed to the scan);
 2. a partial aggregate to one row per (key, month) -- the only data that
    crosses the first shuffle, whatever the fact size or key skew;
-3. the unbroken run that starts at January: keyed, gaps-and-islands over the
-   month rows (month index minus its rank within the key is 0 exactly for
-   that run); un-keyed, the months below the first missing month index (the
-   smallest non-negative integer not present: 0, or some index + 1), found
-   with an anti-join and used as a scalar subquery -- no single-partition
-   window;
+3. gaps-and-islands over those month rows: month index minus its rank is 0
+   exactly for the unbroken run that starts at January (un-keyed, this window
+   has no partition key but sees at most one row per calendar month, so the
+   fact is still scanned once -- a first-gap scalar subquery would rescan it);
 4. a left-semi join of the fact with the kept (key, month) pairs.
 
 Step 3 sees at most (#keys x #months in the data's span) rows; un-keyed, it
@@ -70,18 +68,9 @@ def kept_months(df: DataFrame, date_col: str, year: int, keys: list[str] | tuple
         .groupBy(*keys, MONTH_IDX)
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    if keys:
-        # At most one row per month of the span per key (bounded after step 2).
-        w = Window.partitionBy(*keys).orderBy(MONTH_IDX)
-        kept = counts.withColumn("_rn", F.row_number().over(w) - 1).where(F.col(MONTH_IDX) == F.col("_rn")).drop("_rn")
-    else:
-        present = counts.select(F.col(MONTH_IDX).alias("_i"))
-        after = counts.select((F.col(MONTH_IDX) + 1).alias("_i"))
-        first_gap_after = after.join(present, "_i", "left_anti").agg(F.min("_i")).scalar()
-        first_month = counts.agg(F.min(MONTH_IDX)).scalar()
-        # No January -> nothing is kept; else stop at the first missing month.
-        limit = F.when(first_month == 0, first_gap_after).otherwise(F.lit(0))
-        kept = counts.where(F.col(MONTH_IDX) < limit)
+    # At most one row per month of the span per key (bounded after step 2).
+    w = Window.partitionBy(*keys).orderBy(MONTH_IDX) if keys else Window.orderBy(MONTH_IDX)
+    kept = counts.withColumn("_rn", F.row_number().over(w) - 1).where(F.col(MONTH_IDX) == F.col("_rn")).drop("_rn")
     start = _dt.date(year, 1, 1)
     return kept.withColumn("month", F.add_months(F.lit(start), F.col(MONTH_IDX).cast("int")))
 
