@@ -8,7 +8,8 @@ are then applied with column expressions (``try_cast``; Excel day serials for
 date columns), so the typing step stays in the JVM.
 
 A workbook holds at most 1,048,576 rows by the format's own limit, so one
-file is a bounded unit of work for one task.
+file is a bounded unit of work for one task; its rows are streamed from the
+sheet XML and handed back in chunks of 100,000, so a task holds one chunk.
 
 ``write_workbooks`` is the inverse, used to derive workbook folders from
 tables: every Arrow batch of every partition becomes one workbook, written
@@ -110,16 +111,23 @@ def iter_sheet_rows(content: bytes, sheet: str | int | None = None) -> Iterator[
             elem.clear()
 
 
+_CHUNK_ROWS = 100_000
+
+
 def _parse_batches(columns: list[str], sheet: str | int | None = None):
+    """Rows of each file, yielded in chunks of at most ``_CHUNK_ROWS`` so a
+    task never holds more than one chunk of parsed cells."""
+    names = ["_file", "_row", *columns]
+
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = {"_file": [], "_row": [], **{c: [] for c in columns}}
             for path, content in zip(pdf["path"], pdf["content"]):
                 rows = iter_sheet_rows(bytes(content), sheet)
                 header = next(rows, None)
                 if header is None:
                     continue
                 pos = {name: i for i, name in enumerate(header) if name is not None}
+                out = {n: [] for n in names}
                 for n, row in enumerate(rows, start=1):
                     if not any(v not in (None, "") for v in row):
                         continue
@@ -128,7 +136,11 @@ def _parse_batches(columns: list[str], sheet: str | int | None = None):
                     for c in columns:
                         i = pos.get(c)
                         out[c].append(row[i] if i is not None and i < len(row) else None)
-            yield pd.DataFrame(out, columns=["_file", "_row", *columns])
+                    if len(out["_row"]) >= _CHUNK_ROWS:
+                        yield pd.DataFrame(out, columns=names)
+                        out = {n: [] for n in names}
+                if out["_row"]:
+                    yield pd.DataFrame(out, columns=names)
 
     return parse
 
