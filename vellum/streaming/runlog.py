@@ -185,7 +185,11 @@ def track_status(
     processing_time: str | None = None,
     keep: int = 2,
 ) -> StreamingQuery:
-    """Start the tracker on a streaming DataFrame of (key, ts, seq, ok)."""
+    """Start the tracker on a streaming DataFrame of (key, ts, seq, ok).
+
+    Size micro-batches on the source (``maxFilesPerTrigger`` /
+    ``maxBytesPerTrigger`` / ``maxOffsetsPerTrigger``): each batch is
+    persisted (memory and disk) while it is tagged, replayed and merged."""
     w = (
         outcomes.writeStream.foreachBatch(_batch_writer(state_dir, key, ts, seq, ok, keep))
         .option("checkpointLocation", checkpoint_location)
