@@ -1,0 +1,28 @@
+"""Source readers: JDBC, CSV (decimal comma), Parquet, folders of workbooks."""
+
+from vellum.sources.readers import (
+    jdbc_url,
+    month_predicates,
+    override_source,
+    preview,
+    read_csv,
+    read_jdbc,
+    read_parquet,
+    read_source,
+    read_target,
+)
+from vellum.sources.workbooks import read_workbooks, write_workbooks
+
+__all__ = [
+    "jdbc_url",
+    "month_predicates",
+    "override_source",
+    "preview",
+    "read_csv",
+    "read_jdbc",
+    "read_parquet",
+    "read_source",
+    "read_target",
+    "read_workbooks",
+    "write_workbooks",
+]

@@ -1,0 +1,5 @@
+"""Structured Streaming: incremental run status over an outcome stream."""
+
+from vellum.streaming.runlog import current_status, late_outcomes, merge_state, track_status
+
+__all__ = ["current_status", "late_outcomes", "merge_state", "track_status"]
