@@ -5,6 +5,7 @@ outcomes as half the table, so it holds a third of all rows), then runs
 
 * ``naive``: running counts with a window over the whole process, and
 * ``vellum``: ``operators.runs.lifecycle_audit`` (range partitions + offsets),
+* ``status``: ``operators.runs.lifecycle_status`` (partial aggregates),
 
 each to completion, and reports, per stage, the largest and the median number
 of shuffle records read by one task (from ``SparkListenerTaskEnd`` events).
@@ -26,7 +27,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from vellum.operators.runs import lifecycle_audit  # noqa: E402
+from vellum.operators.runs import lifecycle_audit, lifecycle_status  # noqa: E402
 from vellum.plans import standins as S  # noqa: E402
 from vellum.session import build_session  # noqa: E402
 
@@ -94,13 +95,14 @@ def main():
     log = spark.read.parquet(skewed_path)
     total = log.count()
     hot = log.where("process = -1").count()
-    for name, build in (("naive", naive_audit), ("vellum", lifecycle_audit)):
+    builds = (("naive", naive_audit), ("vellum", lifecycle_audit), ("status", lifecycle_status))
+    for name, build in builds:
         spark.sparkContext.setJobGroup(name, name)
         build(log).write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobGroup("done", "done")
     spark.stop()
     print(f"rows {total}, hot process rows {hot} ({hot / total:.0%}), event log in {log_dir}")
-    for name in ("naive", "vellum"):
+    for name, _ in builds:
         for sid, reads in sorted(task_reads(log_dir, name).items()):
             print(
                 f"{name:7s} stage {sid:3d}: tasks {len(reads):3d}  max task reads {max(reads):7d}"
