@@ -129,20 +129,22 @@ def read_csv(
 
     raw = reader.csv(path)
     int_pat, num_pat = r"^\s*-?\d+\s*$", r"^\s*-?(\d{1,3}(\.\d{3})+|\d+)(,\d+)?\s*$"
+    # One aggregation: per column, how many non-empty values are not numbers
+    # / not integers, and how many are non-empty at all.
     probes = []
-    for name in raw.columns:
-        c = F.col(name)
+    for i, name in enumerate(raw.columns):
+        c = F.col(f"`{name}`")
         present = c.isNotNull() & (F.trim(c) != "")
-        probes.append(F.count_if(present & ~c.rlike(num_pat)).alias(f"{name}\u0000num"))
-        probes.append(F.count_if(present & ~c.rlike(int_pat)).alias(f"{name}\u0000int"))
-        probes.append(F.count_if(present).alias(f"{name}\u0000any"))
+        probes.append(F.count_if(present & ~c.rlike(num_pat)).alias(f"num{i}"))
+        probes.append(F.count_if(present & ~c.rlike(int_pat)).alias(f"int{i}"))
+        probes.append(F.count_if(present).alias(f"any{i}"))
     stats = raw.agg(*probes).first().asDict()
     cols = []
-    for name in raw.columns:
-        c = F.col(name)
-        if stats[f"{name}\u0000any"] and stats[f"{name}\u0000int"] == 0:
+    for i, name in enumerate(raw.columns):
+        c = F.col(f"`{name}`")
+        if stats[f"any{i}"] and stats[f"int{i}"] == 0:
             cols.append(guarded_try_cast(F.trim(c), "bigint").alias(name))
-        elif stats[f"{name}\u0000any"] and stats[f"{name}\u0000num"] == 0:
+        elif stats[f"any{i}"] and stats[f"num{i}"] == 0:
             cols.append(guarded_try_cast(_decimal_comma_to_number(c), "double").alias(name))
         else:
             cols.append(c)
