@@ -101,3 +101,20 @@ def test_checked_broadcast_bounds_rows_and_bytes(spark, capsys):
     assert hinted(checked_broadcast(df, max_rows=100))
     assert not hinted(checked_broadcast(df, max_rows=100, max_bytes=1000))
     assert not hinted(checked_broadcast(df, max_rows=10))
+
+
+def test_read_source_dispatch(spark, workdir):
+    import pytest as _pytest
+
+    from vellum.sources.workbooks import write_workbooks
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, s string")
+    pq = workdir("dispatch-pq")
+    df.write.parquet(pq)
+    assert read_source(spark, "parquet", path=pq).count() == 2
+    books = workdir("dispatch-xlsx")
+    write_workbooks(df, books).collect()
+    got = read_source(spark, "excel", path=books, contract={"id": "UInt32", "s": "String"})
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a"), (2, "b")]
+    with _pytest.raises(ValueError):
+        read_source(spark, "clickhouse")
