@@ -19,7 +19,9 @@ number of trues after the last false (or after the start if there is none):
     k == 0:        FAILED (the last outcome was false)
     otherwise:     CYCLE[(k - 1) % 3]          CYCLE = IDLE, RUNNING, SUCCESS
 
-so the final status needs only per-process aggregates. The per-event audit
+so the final status needs only per-process aggregates. Outcomes are
+non-NULL booleans, as the transition table's flag is (a NULL would be
+counted without moving the state). The per-event audit
 needs running counts per process; ``lifecycle_audit`` computes them without
 putting a hot process in one task (range partitioning + prefix offsets).
 """
