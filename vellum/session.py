@@ -24,6 +24,8 @@ _DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # A rerun of a month-partitioned load replaces only the months it writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Reliable checkpoints leave the shared folder once no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
