@@ -118,3 +118,11 @@ def test_read_source_dispatch(spark, workdir):
     assert sorted(tuple(r) for r in got.collect()) == [(1, "a"), (2, "b")]
     with _pytest.raises(ValueError):
         read_source(spark, "clickhouse")
+
+
+def test_measure_counts_nested_values(spark):
+    from vellum.operators.joins import measure
+
+    df = spark.createDataFrame([(1, ["x" * 50, "y"], {"k": "v" * 30})], "id bigint, a array<string>, m map<string,string>")
+    rows, size = measure(df)
+    assert rows == 1 and size >= 50 + 30
