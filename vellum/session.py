@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +30,9 @@ _DEFAULT_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "vellum",
@@ -47,6 +51,7 @@ def build_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -63,7 +68,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             return current
         configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Local runs and tests only: a cluster names a shared folder itself.
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is unset: on a cluster name a folder there that all executors share"
+            )
+        # Local runs and tests only: driver and executor threads share this machine.
         configured = tempfile.mkdtemp(prefix="vellum-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(configured)
@@ -81,6 +91,27 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/vellum-" + name + "-" + uuid.uuid4().hex[:12]
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package, once per Spark application.
+
+    The package's modules go into a small zip that Spark itself hands to every
+    executor (``addPyFile``); where workers already have the package, as with
+    an installed wheel, the copy is the same code.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="vellum-zip-"), "vellum_package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def local_path(uri: str) -> str:
     """Strip a ``file:`` scheme for the few stdlib helpers that need a path."""
     if uri.startswith("file://"):
