@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import topk
+from vellum.llm import topk, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_arc_to_warc": warc.op6_arc_to_warc,
         "op8_exact_topk": topk.op8_exact_topk,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_arc_to_warc": warc.ORACLE_SQL,
         "op8_exact_topk": topk.ORACLE_SQL,
     }
