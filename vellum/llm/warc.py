@@ -63,7 +63,7 @@ def _open(path: str, mode: str) -> BinaryIO:
     if mode == "r":
         return fs.open_input_file(where)
     fs.create_dir(where.rsplit("/", 1)[0], recursive=True)
-    return fs.open_output_stream(where)
+    return fs.open_output_stream(where, compression=None)
 
 
 # --- ARC ---------------------------------------------------------------------
