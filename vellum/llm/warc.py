@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import checkpointed, prepare
+from vellum.llm.common import checkpointed, prepare, session_partitions
 from vellum.session import local_path, shared_dir
 
 #: Field order of the url record line, by the version that a file declares (fixed by the format).
@@ -296,6 +296,8 @@ def arc_to_warc(manifest: DataFrame, smallest: int = SMALLEST_REVISIT) -> DataFr
     spark = manifest.sparkSession
     folder = shared_dir(spark, "warc")
     decisions = decide(checkpointed(scan_arc(manifest)), smallest)
+    # Few bytes here, but whole files of work: an explicit width keeps the files on separate tasks.
+    decisions = decisions.repartition(2 * session_partitions(spark), "path")
     return checkpointed(decisions.groupBy("path").applyInPandas(_converter(folder), "path string"))
 
 
