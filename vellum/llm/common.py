@@ -12,10 +12,21 @@ from pyspark.sql import functions as F
 from vellum.session import ensure_checkpoint_dir, ship_package
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_RECORDS = 1000
+
+
 def prepare(spark: SparkSession) -> None:
-    """Make the package importable on the workers and know the shared folder."""
+    """Make the package importable on the workers, know the shared folder, bound Arrow batches.
+
+    A batch of whole documents is handed to a Python worker at once. Where the
+    session has Spark's default of 10,000 records a batch, 1,000 are taken, so
+    that batches of long texts stay small; a session's own value is left.
+    """
     ship_package(spark)
     ensure_checkpoint_dir(spark)
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_RECORDS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

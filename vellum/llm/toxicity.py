@@ -75,40 +75,42 @@ def codepoints(flat: np.ndarray) -> np.ndarray:
     return np.frombuffer(low.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
 
 
-def slices(column: pa.Array, limit: int = SLICE, overlap: int = max(ORDERS) - 1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(codepoints, row numbers) of the column in slices of about ``limit``.
+def slices(column: pa.Array, limit: int = SLICE, overlap: int = max(ORDERS) - 1) -> Iterator[tuple[int, int, list]]:
+    """(first row, end row, [(codepoints, row numbers)]) of the column in slices of about ``limit`` bytes.
 
-    A row longer than a slice goes out in parts that share ``overlap`` codepoints.
+    A row longer than that comes alone, in parts that share ``overlap`` codepoints.
     """
     flat, offsets = utf8_rows(column)
     for a, b in row_slices(offsets, limit):
-        codes = codepoints(flat[offsets[a] : offsets[b]])
+        part = flat[offsets[a] : offsets[b]]
+        codes = codepoints(part)
         if b - a == 1:
-            rows = np.full(len(codes), a, np.int64)
+            rows = np.full(len(codes), a, np.int32)
         else:
             # Codepoints per row: bytes that do not continue a character.
-            starts = (flat[offsets[a] : offsets[b]] & 0xC0) != 0x80
-            per_row = np.add.reduceat(np.append(starts, 0), (offsets[a:b] - offsets[a])) * (np.diff(offsets[a : b + 1]) > 0)
-            rows = np.repeat(np.arange(a, b), per_row)
-        step = 4 * limit
-        for at in range(0, max(1, len(codes)), step):
-            yield codes[at : at + step + overlap], rows[at : at + step + overlap]
+            before = np.append(0, np.cumsum((part & 0xC0) != 0x80))
+            rows = np.repeat(np.arange(a, b, dtype=np.int32), np.diff(before[offsets[a : b + 1] - offsets[a]]))
+        step = limit if b - a == 1 else max(1, len(codes))
+        yield a, b, [(codes[i : i + step + overlap], rows[i : i + step + overlap]) for i in range(0, len(codes), step)]
 
 
 def distinct_features(column: pa.Array, lookup: np.ndarray | None, orders=ORDERS, bits: int = BITS):
-    """Distinct (row, hashed n-gram) pairs; with ``lookup`` only n-grams whose entry is not negative, as entries."""
-    n = len(column)
-    keys = []
-    for codes, rows in slices(column):
-        for order in orders:
-            h, r = ngram_hashes(codes, rows, order, bits)
-            if lookup is not None:
-                at = lookup[h]
-                hit = np.flatnonzero(at >= 0)
-                h, r = at[hit], r[hit]
-            keys.append(np.unique(r.astype(np.int64) << 32 | h.astype(np.int64)))
-    key = np.unique(np.concatenate(keys)) if keys and n else np.zeros(0, np.int64)
-    return key >> 32, (key & 0xFFFFFFFF).astype(np.int64)
+    """Per slice of rows its distinct (row, hashed n-gram) pairs, by row.
+
+    With ``lookup`` only n-grams whose entry is not negative, as entries.
+    """
+    for _, _, parts in slices(column):
+        keys = [np.zeros(0, np.int64)]
+        for codes, rows in parts:
+            for order in orders:
+                h, r = ngram_hashes(codes, rows, order, bits)
+                if lookup is not None:
+                    at = lookup[h]
+                    hit = np.flatnonzero(at >= 0)
+                    h, r = at[hit], r[hit]
+                keys.append(np.unique(r.astype(np.int64) << 32 | h.astype(np.int64)))
+        key = np.unique(np.concatenate(keys))
+        yield key >> 32, key & 0xFFFFFFFF
 
 
 @dataclass
@@ -127,8 +129,9 @@ class ToxicityModel:
         return out
 
     def scores(self, column: pa.Array, lookup: np.ndarray) -> np.ndarray:
-        rows, at = distinct_features(column, lookup, self.orders, self.bits)
-        total = np.bincount(rows, self.weights[at], len(column)) if len(rows) else np.zeros(len(column))
+        total = np.zeros(len(column))
+        for rows, at in distinct_features(column, lookup, self.orders, self.bits):
+            np.add.at(total, rows, self.weights[at])
         return 1.0 / (1.0 + np.exp(-np.clip(self.intercept + total, -500, 500)))
 
 
@@ -137,9 +140,8 @@ def _class_counts(bits: int, orders):
         counts = np.zeros((2, 1 << bits), np.int64)
         for b in batches:
             y = np.asarray(b.column("_y").to_numpy(zero_copy_only=False), np.int64)
-            rows, h = distinct_features(b.column("text"), None, orders, bits)
-            for c in (0, 1):
-                counts[c] += np.bincount(h[y[rows] == c], minlength=1 << bits)
+            for rows, h in distinct_features(b.column("text"), None, orders, bits):
+                np.add.at(counts, (y[rows], h), 1)
         at = np.flatnonzero(counts.sum(0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(at.astype(np.int32)), pa.array(counts[0, at]), pa.array(counts[1, at])], names=["h", "n0", "n1"]
@@ -153,7 +155,8 @@ def _vectors(hashes: np.ndarray, ratios: np.ndarray, bits: int, orders):
         lookup = np.full(1 << bits, -1, np.int32)
         lookup[hashes] = np.arange(len(hashes))
         for pdf in batches:
-            rows, at = distinct_features(pa.array(pdf["text"], pa.string()), lookup, orders, bits)
+            found = [*distinct_features(pa.array(pdf["text"], pa.string()), lookup, orders, bits)]
+            rows, at = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found, strict=True) if found else ([], [])))
             cut = np.searchsorted(rows, np.arange(len(pdf) + 1))
             held = [at[a:b].astype(np.int32) for a, b in zip(cut[:-1], cut[1:], strict=True)]
             yield pd.DataFrame({"label": pdf["_y"], "held": held, "values": [ratios[h] for h in held]})
@@ -178,7 +181,7 @@ def fit(
     """Learn the classifier from at most ``sample`` labelled rows."""
     prepare(docs.sparkSession)
     rows = training_sample(docs, labels, label, sample, id_col).select(F.col(text_col).alias("text"), "_y")
-    rows = checkpointed(rows.coalesce(8))
+    rows = checkpointed(rows)
     n, positive = rows.agg(F.count("*"), F.sum("_y")).first()
     positive = float(positive or 0.0)
     prior = math.log((positive + 1) / (n - positive + 1))
