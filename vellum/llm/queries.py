@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import bpe, quality, topk, toxicity, warc
+from vellum.llm import bpe, embeddings, quality, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity_nbsvm": toxicity.op1_toxicity_nbsvm,
         "op4_byte_bpe": bpe.op4_byte_bpe,
+        "op5_embedding_dedup": embeddings.op5_embedding_dedup,
         "op6_arc_to_warc": warc.op6_arc_to_warc,
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_exact_topk": topk.op8_exact_topk,
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_embedding_dedup": embeddings.ORACLE_SQL,
         "op6_arc_to_warc": warc.ORACLE_SQL,
         "op8_exact_topk": topk.ORACLE_SQL,
     }
