@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.llm.common import concat_ranges, prepare, row_slices, table, utf8_rows
+from vellum.llm.hashing import slice_hashes
 
 SLICE = 1 << 20
 BLOCK = 128
@@ -149,30 +150,6 @@ def piece_starts(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 # --- slices and their hashes ---------------------------------------------------
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-_BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            step = np.full(n, base, np.uint64)
-            step[0] = 1
-            _POWERS[i] = np.cumprod(step)
-    return _POWERS[0][:n], _POWERS[1][:n]
-
-
-def slice_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of each byte slice, from one running sum."""
-    up, down = _powers(len(flat) + 1)
-    total = np.zeros(len(flat) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[flat] * up[: len(flat)], out=total[1:])
-    h = (total[ends] - total[starts]) * down[starts]
-    h ^= (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return h
-
-
 def distinct_slices(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(a representative of each distinct piece, the representative's number for every piece)."""
     ends = np.append(starts[1:], len(flat))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import bpe, embeddings, quality, topk, toxicity, warc
+from vellum.llm import bpe, embeddings, minhash, quality, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_arc_to_warc": warc.op6_arc_to_warc,
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_exact_topk": topk.op8_exact_topk,
+        "op9_minhash_forest": minhash.op9_minhash_forest,
     }
 
 
@@ -25,4 +26,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_embedding_dedup": embeddings.ORACLE_SQL,
         "op6_arc_to_warc": warc.ORACLE_SQL,
         "op8_exact_topk": topk.ORACLE_SQL,
+        "op9_minhash_forest": minhash.ORACLE_SQL,
     }
