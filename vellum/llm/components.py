@@ -8,12 +8,40 @@ driver. Each round's table is checkpointed, so lost executors cost no rounds.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.common import checkpointed
 
 
+def forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (left id, right id) that connect what a boolean link matrix connects, at most one fewer than its points."""
+    a_done, b_done = np.zeros(len(left), bool), np.zeros(len(right), bool)
+    src, dst = [], []
+    for start in range(len(left)):
+        if a_done[start]:
+            continue
+        a_done[start] = True
+        wave = np.array([start])
+        while len(wave):
+            reach = links[wave].any(0) & ~b_done
+            new_b = np.flatnonzero(reach)
+            if not len(new_b):
+                break
+            via = wave[links[np.ix_(wave, new_b)].argmax(0)]
+            src.append(left[via])
+            dst.append(right[new_b])
+            b_done[new_b] = True
+            back = links[:, new_b].any(1) & ~a_done
+            wave = np.flatnonzero(back)
+            src.append(left[wave])
+            dst.append(right[new_b[links[np.ix_(wave, new_b)].argmax(1)]])
+            a_done[wave] = True
+    empty = np.zeros(0, np.int64)
+    return np.concatenate([empty, *src]), np.concatenate([empty, *dst])
+
+
 def _smallest(edges: DataFrame) -> DataFrame:
     """(u, m): the smallest neighbour of u, written once so that a hub's rows can be split in the join."""
     return checkpointed(edges.groupBy("u").agg(F.min("v").alias("m")))

@@ -16,9 +16,9 @@
    components.
 5. The exact way for the rest: a region that was too large for all its pairs,
    or was cut by a partition's border, can still hold links between different
-   components. There, members outside the region's largest component are joined
-   with the region's members of other components; pairs whose signatures allow
-   the similarity are confirmed on full sets too.
+   components. There, members outside the region's largest component are compared
+   with all members of the region, in pairs of blocks: one product of the blocks'
+   full sets gives all shared counts, and a forest of the links goes out, no pairs.
 
 What remains is MinHash's own chance: a pair at similarity 0.8 shares no prefix
 of 3 hashes in any of 16 trees with probability 1e-5, one at 0.9 with 1e-9.
@@ -32,7 +32,6 @@ its row is not kept; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,13 +41,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import checkpointed, prepare, session_partitions, table
-from vellum.llm.components import connected_components
+from vellum.llm.common import checkpointed, concat_ranges, prepare, session_partitions, table
+from vellum.llm.components import connected_components, forest
 from vellum.llm.hashing import mixed, shingle_sets
 
 TREES, DEPTH, LEAST_DEPTH = 16, 6, 3
 LEAF = 16
 NEIGHBOURS = 2
+BLOCK = 256
 PERCENT = 80
 
 
@@ -249,6 +249,61 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return checkpointed(joined.mapInArrow(_confirm(percent), "a long, b long"))
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many members each left set shares with each right set.
+
+    Members that only few sets hold are paired off directly; common ones go
+    into dense products, a few thousand members at a time.
+    """
+    sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+    values, code = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    row = [np.repeat(np.arange(len(s)), s) for s in sizes]
+    code = [code[: len(row[0])], code[len(row[0]) :]]
+    held = [np.bincount(c, minlength=len(values)) for c in code]
+    dense = held[0] * held[1] > 256
+    out = np.zeros((len(left), len(right)), np.int64)
+    # Rare members: every (left row, right row) that holds one.
+    order = np.argsort(code[1], kind="stable")
+    rare = np.flatnonzero(~dense[code[0]] & (held[1][code[0]] > 0))
+    first = np.cumsum(held[1]) - held[1]
+    for at in range(0, len(rare), 1 << 14):
+        part = rare[at : at + (1 << 14)]
+        n = held[1][code[0][part]]
+        np.add.at(out, (np.repeat(row[0][part], n), row[1][order[concat_ranges(first[code[0][part]], n)]]), 1)
+    # Common members: 0/1 matrices.
+    common = np.flatnonzero(dense)
+    place = np.full(len(values), -1)
+    place[common] = np.arange(len(common))
+    for at in range(0, len(common), 4096):
+        m = []
+        for r, c, s in zip(row, code, sizes, strict=True):
+            x = np.zeros((len(s), min(4096, len(common) - at)), np.float32)
+            k = place[c] - at
+            hit = (place[c] >= at) & (k < x.shape[1])
+            x[r[hit], k[hit]] = 1
+            m.append(x)
+        out += np.rint(m[0] @ m[1].T).astype(np.int64)
+    return out
+
+
+def _links_between(percent: int):
+    """Links between a block of a region's outsiders and a block of its members, as a forest."""
+
+    def run(outside: pd.DataFrame, inside: pd.DataFrame) -> pd.DataFrame:
+        a = b = np.zeros(0, np.int64)
+        if len(outside) and len(inside):
+            left = [np.frombuffer(x, np.uint64) for x in outside["members"]]
+            right = [np.frombuffer(x, np.uint64) for x in inside["members"]]
+            shared = shared_counts(left, right)
+            n, m = (np.array([len(x) for x in side]) for side in (left, right))
+            linked = 100 * shared >= percent * (n[:, None] + m[None, :] - shared)
+            linked &= outside["comp"].to_numpy()[:, None] != inside["comp"].to_numpy()[None, :]
+            a, b = forest(linked, outside["cid"].to_numpy(np.int64), inside["cid"].to_numpy(np.int64))
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return run
+
+
 def near_duplicates(
     df: DataFrame,
     shingle: int = 5,
@@ -260,6 +315,7 @@ def near_duplicates(
     least_depth: int = LEAST_DEPTH,
     leaf: int = LEAF,
     near: int = NEIGHBOURS,
+    block: int = BLOCK,
 ) -> DataFrame:
     """One row per document: doc_id, tk (xxhash64 of its text), n_shingles, component_id, kept.
 
@@ -307,26 +363,26 @@ def near_duplicates(
     member_comp = checkpointed(member_comp)
     major = (
         member_comp.groupBy("tree", "region", "comp").agg(F.count("*").alias("c"))
-        .groupBy("tree", "region").agg(F.max_by("comp", F.struct("c", "comp")).alias("major"), F.count("*").alias("comps"))
-        .where("comps > 1").drop("comps")
+        .groupBy("tree", "region")
+        .agg(F.max_by("comp", F.struct("c", "comp")).alias("major"), F.sum("c").alias("size"), F.max("c").alias("inside"), F.count("*").alias("comps"))
+        .where("comps > 1")
+        .select("tree", "region", "major", F.ceil((F.col("size") - F.col("inside")) / block).cast("int").alias("lefts"),
+                F.ceil(F.col("size") / block).cast("int").alias("rights"))
     )
     major = checkpointed(major)
-    rest = member_comp.join(major, ["tree", "region"]).join(classes.select("cid", F.col("sig")), "cid")
-    rest = checkpointed(rest)
-    rate = percent / 100
-    least_equal = max(1, math.floor(hashes * (rate - 5 * math.sqrt(rate * (1 - rate) / hashes))))
-    left = rest.where("comp <> major").toDF(*[f"l_{c}" for c in rest.columns])
-    equal = _equal_hashes(F.col("l_sig"), F.col("sig"), hashes)
-    more = left.join(
-        rest,
-        (F.col("l_tree") == F.col("tree")) & (F.col("l_region") == F.col("region")) & (F.col("l_comp") != F.col("comp"))
-        & ((F.col("comp") == F.col("major")) | (F.col("l_cid") < F.col("cid")))
-        & (100 * F.least("l_n", "n") >= percent * F.greatest("l_n", "n")) & (equal >= least_equal),
-    )
-    more = more.select(F.least("l_cid", "cid").alias("a"), F.greatest("l_cid", "cid").alias("b")).distinct()
-    more = checkpointed(more.join(pairs, ["a", "b"], "left_anti"))
+    rest = member_comp.join(major, ["tree", "region"]).join(sets, "cid").withColumn("at", F.xxhash64("cid", F.lit(1)))
+    unit = ["tree", "region", "i", "j"]
+    outside = rest.where("comp <> major").withColumn("i", F.pmod("at", "lefts")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("rights") - 1)))
+    inside = rest.withColumn("j", F.pmod("at", "rights")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)))
+    names = [*unit, "cid", "comp", "members"]
+    sides = [
+        side.select("tree", "region", F.col("i").cast("int"), F.col("j").cast("int"), "cid", "comp", "members").toDF(*names)
+        .repartition(2 * session_partitions(spark), *unit).groupBy(*unit)
+        for side in (outside, inside)
+    ]
+    more = checkpointed(sides[0].cogroup(sides[1]).applyInPandas(_links_between(percent), "a long, b long").distinct())
     if not more.isEmpty():
-        comp = connected_components(links.unionByName(confirmed(more, sets, percent)))
+        comp = connected_components(links.unionByName(more))
     # Back to classes, then to documents.
     placed = classes.join(comp, classes["cid"] == comp["node"], "left").withColumn("comp", F.coalesce("component", "cid"))
     placed = checkpointed(placed.select("n", "f1", "f2", "least_id", "comp"))
@@ -338,15 +394,6 @@ def near_duplicates(
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def _equal_hashes(a, b, hashes: int):
-    """How many of two signatures' hashes agree, as a column expression on the binary signatures."""
-    out = F.lit(0)
-    at = lambda c, k: F.substring(c, 4 * k + 1, 4)
-    for k in range(hashes):
-        out = out + (at(a, k) == at(b, k)).cast("int")
-    return out
-
-
 def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents at 0.8 of their 4-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4).drop("tk")
