@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import bpe, embeddings, minhash, packing, quality, topk, toxicity, warc
+from vellum.llm import bpe, embeddings, minhash, packing, pii, quality, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity_nbsvm": toxicity.op1_toxicity_nbsvm,
+        "op2_pii_feistel": pii.op2_pii_feistel,
         "op3_best_fit_packing": packing.op3_best_fit_packing,
         "op4_byte_bpe": bpe.op4_byte_bpe,
         "op5_embedding_dedup": embeddings.op5_embedding_dedup,
