@@ -35,9 +35,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
+ROWS_A_PARTITION = 100_000
+
+
+def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder.
+
+    ``rows``: about how many there are, of a few bytes each; the table then gets
+    as many partitions as they need, not as many as the session's shuffles have.
+    """
     prepare(df.sparkSession)
+    if rows is not None:
+        needed = 1 + rows // ROWS_A_PARTITION
+        if needed < session_partitions(df.sparkSession):
+            df = df.coalesce(needed)
     return df.checkpoint(eager=True)
 
 

@@ -42,9 +42,9 @@ def forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.n
     return np.concatenate([empty, *src]), np.concatenate([empty, *dst])
 
 
-def _smallest(edges: DataFrame) -> DataFrame:
+def _smallest(edges: DataFrame, rows: int) -> DataFrame:
     """(u, m): the smallest neighbour of u, written once so that a hub's rows can be split in the join."""
-    return checkpointed(edges.groupBy("u").agg(F.min("v").alias("m")))
+    return checkpointed(edges.groupBy("u").agg(F.min("v").alias("m")), rows)
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -60,13 +60,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     e = checkpointed(e)
     state = _state(e)
     while state[0]:
+        rows = 2 * state[0]
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        m = _smallest(both)
+        m = _smallest(both, rows)
         hung = both.join(m, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        e = checkpointed(hung.distinct())
-        m = _smallest(e)
+        e = checkpointed(hung.distinct(), rows)
+        m = _smallest(e, rows)
         hung = e.join(m, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = checkpointed(hung.unionByName(m.select("u", F.col("m").alias("v"))).distinct())
+        e = checkpointed(hung.unionByName(m.select("u", F.col("m").alias("v"))).distinct(), rows)
         before, state = state, _state(e)
         if state == before:
             break

@@ -342,8 +342,9 @@ def near_duplicates(
     # Partitions' border rows of one region are neighbours in order too.
     border = found.where("kind = 2").withColumn("before", F.lag("a").over(Window.partitionBy("tree", "region").orderBy("b")))
     border = border.where("before <> a").select(F.least("a", "before").alias("a"), F.greatest("a", "before").alias("b"))
-    pairs = checkpointed(found.where("kind = 0").select("a", "b").unionByName(border).distinct())
-    open_regions = checkpointed(found.where("kind = 1").select("tree", "region").distinct())
+    n_found = found.count()
+    pairs = checkpointed(found.where("kind = 0").select("a", "b").unionByName(border).distinct(), n_found)
+    open_regions = checkpointed(found.where("kind = 1").select("tree", "region").distinct(), n_found)
     # Members of open regions, with what the exact way needs.
     width = 4 * least_depth
     members = orders.select("tree", F.substring("key", 1, width).alias("region"), "cid", "n").join(open_regions, ["tree", "region"])
@@ -355,7 +356,7 @@ def near_duplicates(
     texts = texts.join(wanted.hint("shuffle_hash"), F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("tk")))
     sets = checkpointed(texts.select("cid", "text").mapInArrow(_sets(shingle), "cid long, members binary").dropDuplicates(["cid"]))
     links = confirmed(pairs, sets, percent)
-    comp = connected_components(links)
+    comp = checkpointed(connected_components(links), 2 * n_found)
     # The exact way for the rest.
     member_comp = members.join(comp, members["cid"] == comp["node"], "left").select(
         "tree", "region", "cid", "n", F.coalesce("component", "cid").alias("comp")
@@ -369,7 +370,7 @@ def near_duplicates(
         .select("tree", "region", "major", F.ceil((F.col("size") - F.col("inside")) / block).cast("int").alias("lefts"),
                 F.ceil(F.col("size") / block).cast("int").alias("rights"))
     )
-    major = checkpointed(major)
+    major = checkpointed(major, n_found)
     rest = member_comp.join(major, ["tree", "region"]).join(sets, "cid").withColumn("at", F.xxhash64("cid", F.lit(1)))
     unit = ["tree", "region", "i", "j"]
     outside = rest.where("comp <> major").withColumn("i", F.pmod("at", "lefts")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("rights") - 1)))
@@ -380,9 +381,11 @@ def near_duplicates(
         .repartition(2 * session_partitions(spark), *unit).groupBy(*unit)
         for side in (outside, inside)
     ]
-    more = checkpointed(sides[0].cogroup(sides[1]).applyInPandas(_links_between(percent), "a long, b long").distinct())
+    more = checkpointed(sides[0].cogroup(sides[1]).applyInPandas(_links_between(percent), "a long, b long").distinct(), n_found)
     if not more.isEmpty():
-        comp = connected_components(links.unionByName(more))
+        # The components so far are stars already; only what joins them is new.
+        stars = comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        comp = connected_components(stars.unionByName(more))
     # Back to classes, then to documents.
     placed = classes.join(comp, classes["cid"] == comp["node"], "left").withColumn("comp", F.coalesce("component", "cid"))
     placed = checkpointed(placed.select("n", "f1", "f2", "least_id", "comp"))
