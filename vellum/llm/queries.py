@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import bpe, embeddings, minhash, packing, pii, quality, topk, toxicity, warc
+from vellum.llm import bpe, embeddings, licenses, minhash, packing, pii, quality, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_exact_topk": topk.op8_exact_topk,
         "op9_minhash_forest": minhash.op9_minhash_forest,
+        "op10_license_scan": licenses.op10_license_scan,
     }
 
 
@@ -29,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_arc_to_warc": warc.ORACLE_SQL,
         "op8_exact_topk": topk.ORACLE_SQL,
         "op9_minhash_forest": minhash.ORACLE_SQL,
+        "op10_license_scan": licenses.ORACLE_SQL,
     }
