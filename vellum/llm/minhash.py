@@ -317,7 +317,9 @@ def near_duplicates(
     near: int = NEIGHBOURS,
     block: int = BLOCK,
 ) -> DataFrame:
-    """One row per document: doc_id, tk (xxhash64 of its text), n_shingles, component_id, kept.
+    """One row per document: doc_id, tk (xxhash64 of its text), n_shingles, component_id, kept, group_id.
+
+    group_id numbers the components; it is NULL for documents without words.
 
     Documents are linked at ``100 * shared >= percent * union`` of their distinct shingles.
     """
@@ -390,16 +392,39 @@ def near_duplicates(
     placed = classes.join(comp, classes["cid"] == comp["node"], "left").withColumn("comp", F.coalesce("component", "cid"))
     placed = checkpointed(placed.select("n", "f1", "f2", "least_id", "comp"))
     smallest = checkpointed(placed.groupBy("comp").agg(F.min("least_id").alias("component_id")))
-    placed = checkpointed(placed.join(smallest, "comp").select("n", "f1", "f2", "component_id"))
-    linked = filled.join(placed, ["n", "f1", "f2"]).select("doc_id", "tk", F.col("n").alias("n_shingles"), "component_id")
-    alone = docs.where("n = 0").select("doc_id", "tk", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    placed = checkpointed(placed.join(smallest, "comp").select("n", "f1", "f2", "component_id", F.col("comp").alias("group_id")))
+    columns = ["doc_id", "tk", F.col("n").alias("n_shingles")]
+    linked = filled.join(placed, ["n", "f1", "f2"]).select(*columns, "component_id", "group_id")
+    alone = docs.where("n = 0").select(*columns, F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group_id"))
     out = linked.unionByName(alone)
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return out.select("doc_id", "tk", "n_shingles", "component_id", kept.alias("kept"), "group_id")
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``df`` that stay when one document of each near-duplicate group does.
+
+    Of a group the smallest known id stays, of rows that repeat it one; documents without words all stay.
+    """
+    found = checkpointed(near_duplicates(df, id_col=id_col, text_col=text_col, **how))
+    copies = found.where("group_id IS NOT NULL").groupBy("group_id", "doc_id", "tk").agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tk", "copies")).alias("f")
+    stay = copies.groupBy("group_id").agg(first).select(F.col("f.doc_id").alias("_d"), F.col("f.tk").alias("_t"), F.col("f.copies").alias("_c"))
+    wordless = found.where("group_id IS NULL").select(F.col("doc_id").alias("_d"), F.col("tk").alias("_t")).distinct()
+    stay = checkpointed(stay.unionByName(wordless.withColumn("_c", F.lit(1).cast("long"))))
+    # Positional names, so that no column of the input can clash with ours.
+    plain = df.toDF(*[f"_k{i}" for i in range(len(df.columns))])
+    the_id, the_text = F.col(f"_k{df.columns.index(id_col)}"), F.col(f"_k{df.columns.index(text_col)}")
+    same = the_id.cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(the_text) == F.col("_t"))
+    rows = plain.join(stay.hint("shuffle_hash"), same)
+    if not stay.where("_c > 1").isEmpty():
+        rows = rows.where("_c = 1").unionByName(rows.where("_c > 1").dropDuplicates(["_d", "_t"]))
+    return rows.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(df.columns)])
 
 
 def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents at 0.8 of their 4-word shingles."""
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4).drop("tk")
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4).drop("tk", "group_id")
 
 
 ORACLE_SQL = """

@@ -137,8 +137,8 @@ def path_rules(debug_string: str) -> list[Rule]:
     return list(dict.fromkeys(rules))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, id_col: str = "doc_id") -> DataFrame:
-    """The sampled labelled rows of ``docs``, with ``_y``; no label outside the training part is read.
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(text, _y) of the sampled labelled rows of ``docs``; no label outside the training part is read.
 
     The sample's ids are bounded by ``sample``, so they are broadcast and the
     documents are not shuffled.
@@ -150,7 +150,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int,
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(sample)
     )
-    return docs.join(F.broadcast(ids), docs[id_col] == F.col("_id"))
+    texts = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("text"))
+    return texts.join(F.broadcast(ids), F.col("_d") == F.col("_id")).select("text", "_y")
 
 
 def fit(
@@ -166,7 +167,7 @@ def fit(
 ) -> RuleModel:
     """Learn the rule ensemble from at most ``sample`` labelled rows."""
     prepare(docs.sparkSession)
-    rows = with_statistics(training_sample(docs, labels, label, sample, id_col), text_col, [F.col("_y")])
+    rows = with_statistics(training_sample(docs, labels, label, sample, id_col, text_col), "text", [F.col("_y")])
     rows = rows.select(F.col("_k0").alias("label"), "_s").withColumn(
         "features", array_to_vector(F.array(*[F.col(f"_s.{n}") for n in STATISTICS]))
     )

@@ -180,8 +180,7 @@ def fit(
 ) -> ToxicityModel:
     """Learn the classifier from at most ``sample`` labelled rows."""
     prepare(docs.sparkSession)
-    rows = training_sample(docs, labels, label, sample, id_col).select(F.col(text_col).alias("text"), "_y")
-    rows = checkpointed(rows)
+    rows = checkpointed(training_sample(docs, labels, label, sample, id_col, text_col))
     n, positive = rows.agg(F.count("*"), F.sum("_y")).first()
     positive = float(positive or 0.0)
     prior = math.log((positive + 1) / (n - positive + 1))
