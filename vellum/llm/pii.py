@@ -12,8 +12,9 @@ text (in a domain of more than one), and ``restore`` undoes it with the key.
 
 Kinds: payment cards (brand prefix, Luhn), IBANs (mod 97), US social security
 numbers, phone numbers (+1 and other international ones), IPv4 addresses, calendar
-dates (1900 to 2099; ISO, numeric day-first or month-first, English month names;
-one domain for all notations), the local parts of e-mail addresses, and long
+dates (1900 to 2099; ISO, numeric, English month names; one domain for all
+notations but month-first numbers, which only days after the 12th tell apart and
+which are permuted among such dates), the local parts of e-mail addresses, and long
 hexadecimal secrets behind token, key, secret or password. Numbers that fail
 their validation are left alone.
 
@@ -24,6 +25,7 @@ columns are kept, whatever their names; texts of any length are scanned whole.
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import math
@@ -204,13 +206,46 @@ def iso_date(text: str) -> Format | None:
     return _date(y, m, d, lambda t: f"{t.year}{sep}{t.month:02d}{sep}{t.day:02d}")
 
 
+def _month_first_rank(t: datetime.date) -> int:
+    """How many dates from the first day on have a day after the 12th and come before ``t``."""
+    months = (t.year - 1900) * 12 + t.month - 1
+    return _LATE_DAYS[months] + t.day - 13
+
+
+def _late_days() -> list[int]:
+    """Days after the 12th in all months before the n-th month since January 1900."""
+    out = [0]
+    for n in range(200 * 12):
+        year, month = 1900 + n // 12, n % 12 + 1
+        following = datetime.date(year + month // 12, month % 12 + 1, 1)
+        out.append(out[-1] + (following - datetime.timedelta(days=1)).day - 12)
+    return out
+
+
+_LATE_DAYS = _late_days()
+
+
 def numeric_date(text: str) -> Format | None:
-    """Day first; month first only where day first is no date."""
+    """Day first; month first only where day first is no date, that is for days after the 12th."""
     sep = re.search(r"\D", text)[0]
     a, b, y = text.split(sep)
     pad = 2 if len(a) == 2 and len(b) == 2 else 1
     day_first = _date(int(y), int(b), int(a), lambda t: f"{t.day:0{pad}d}{sep}{t.month:0{pad}d}{sep}{t.year}")
-    return day_first or _date(int(y), int(a), int(b), lambda t: f"{t.month:0{pad}d}{sep}{t.day:0{pad}d}{sep}{t.year}")
+    if day_first:
+        return day_first
+    try:
+        date = datetime.date(int(y), int(a), int(b))
+    except ValueError:
+        return None
+    if not 0 <= date.toordinal() - FIRST_DAY < DAYS:
+        return None
+
+    def write(x: int) -> str:
+        # Permuted among the dates that this notation can be told by.
+        month = bisect.bisect_right(_LATE_DAYS, x) - 1
+        return f"{month % 12 + 1:0{pad}d}{sep}{x - _LATE_DAYS[month] + 13:02d}{sep}{1900 + month // 12}"
+
+    return "month first", _LATE_DAYS[-1], _month_first_rank(date), write
 
 
 def named_date(text: str) -> Format | None:

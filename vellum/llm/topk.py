@@ -11,8 +11,8 @@ merged by a ranked window, whose limit Spark applies before the shuffle too.
 Defined results: vectors that are NULL, or hold a NULL or non-finite
 component, take no part, neither as query nor as candidate. An empty vector
 takes part with score 0. Missing trailing components count as 0. Ties go to
-the smaller id; repeated ids are separate candidate rows, but never match a
-query of the same id; rows with a NULL id take no part. An empty table gives
+the smaller id; rows that repeat an id are queries and candidates of their own,
+but never match a query of the same id; rows with a NULL id take no part. An empty table gives
 no rows. Other columns are ignored. Sums are 64-bit.
 """
 
@@ -74,17 +74,17 @@ def select(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 def _search_block(k: int):
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        found: list[tuple[np.ndarray, ...]] = []
         if len(queries) and len(rows):
             ids = rows["_id"].to_numpy(np.int64)
             lists = postings(list(rows["_w"]))
-            for qid, w in zip(queries["_id"], queries["_w"], strict=True):
+            for qid, row, w in zip(queries["_id"], queries["_row"], queries["_w"], strict=True):
                 scores = accumulate(np.asarray(w, np.int64), lists, len(ids))
                 other = np.flatnonzero(ids != qid)
                 best = other[select(scores[other], ids[other], k)]
-                found.append((np.full(len(best), qid, np.int64), ids[best], scores[best]))
-        cat = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3)]
-        return pd.DataFrame({"query_id": cat[0], "vec_id": cat[1], "score": cat[2]})
+                found.append((np.full(len(best), qid), np.full(len(best), row), ids[best], scores[best]))
+        cat = [np.concatenate([np.zeros(0, np.int64), *(f[i] for f in found)]).astype(np.int64) for i in range(4)]
+        return pd.DataFrame({"query_id": cat[0], "_row": cat[1], "vec_id": cat[2], "score": cat[3]})
 
     return run
 
@@ -109,6 +109,7 @@ def exact_top_k(
         F.col(id_col).cast("long").alias("_id"),
         integer_weights(F.col(vector_col), scale).alias("_w"),
         F.coalesce(is_query, F.lit(False)).alias("_q"),
+        F.monotonically_increasing_id().alias("_row"),
     ).where("_id IS NOT NULL AND _w IS NOT NULL")
     rows = checkpointed(rows)
     counts = rows.agg(F.count("*"), F.count_if("_q")).first()
@@ -117,16 +118,16 @@ def exact_top_k(
     # Every pair of blocks is one group: the query set against all rows, in blocks.
     cand = rows.select("_id", "_w", F.pmod(F.xxhash64("_id"), F.lit(n_cand)).cast("int").alias("_cb"))
     cand = cand.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))))
-    query = rows.where("_q").select("_id", "_w", F.pmod(F.xxhash64("_id"), F.lit(n_query)).cast("int").alias("_qb"))
+    query = rows.where("_q").select("_id", "_row", "_w", F.pmod(F.xxhash64("_id"), F.lit(n_query)).cast("int").alias("_qb"))
     query = query.withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(n_cand - 1))))
     width = max(session_partitions(spark), min(n_cand * n_query, 20_000))
     best = (
         query.repartition(width, "_qb", "_cb")
         .groupBy("_qb", "_cb")
         .cogroup(cand.repartition(width, "_qb", "_cb").groupBy("_qb", "_cb"))
-        .applyInPandas(_search_block(k), "query_id long, vec_id long, score long")
+        .applyInPandas(_search_block(k), "query_id long, _row long, vec_id long, score long")
     )
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    order = Window.partitionBy("query_id", "_row").orderBy(F.col("score").desc(), F.col("vec_id"))
     return (
         best.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
