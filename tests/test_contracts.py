@@ -4,11 +4,11 @@ from vellum import contracts as C
 from vellum.operators.contracts import (
     ContractError,
     cast_to_contract,
+    contract_gaps,
     contract_report,
     domain_violations,
-    schema_problems,
+    require_contract,
     split_by_domain,
-    validate_minimum_schema,
 )
 
 
@@ -31,25 +31,25 @@ def test_missing_and_wrong_type_reported_together_extra_ok(spark):
     contract = {"a": "UInt32", "b": "String", "c": "Date"}
     df = spark.createDataFrame([(1, 2, "x")], "a bigint, b int, extra string")
     with pytest.raises(ContractError) as e:
-        validate_minimum_schema(df, contract, "ctx")
+        require_contract(df, contract, "ctx")
     msg = str(e.value)
-    assert "'b'" in msg and "'c'" in msg and "extra" not in msg
-    assert len(e.value.problems) == 2
+    assert "b is int" in msg and "c is absent" in msg and "extra" not in msg
+    assert [(g.column, g.wanted, g.found) for g in e.value.gaps] == [("b", "string", "int"), ("c", "date", None)]
 
 
 def test_none_contract_disables(spark):
     df = spark.createDataFrame([(1,)], "a int")
-    assert schema_problems(df, None) == []
+    assert contract_gaps(df.schema, None) == [] and require_contract(df, None, "ctx") is df
 
 
 def test_names_are_case_sensitive(spark):
     df = spark.createDataFrame([(1,)], "A bigint")
-    assert schema_problems(df, {"a": "UInt32"}) == ["required column 'a' not found"]
+    assert [(g.column, g.found) for g in contract_gaps(df.schema, {"a": "UInt32"})] == [("a", None)]
 
 
 def test_no_widening(spark):
     df = spark.createDataFrame([(1.0,)], "pormilaje double")
-    assert len(schema_problems(df, {"pormilaje": "Float32"})) == 1
+    assert len(contract_gaps(df.schema, {"pormilaje": "Float32"})) == 1
 
 
 def test_domain_violations(spark):

@@ -17,6 +17,43 @@ def plan(spark, capsys):
     return _plan
 
 
+def scans(text: str) -> int:
+    return sum(1 for line in text.splitlines() if line.startswith("(") and "Scan parquet" in line)
+
+
+@pytest.fixture()
+def without_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_run_log_plans_without_broadcast(plan, without_broadcast):
+    status = plan("lifecycle_status")
+    assert scans(status) == 2 and "Broadcast" not in status
+    duration = plan("run_duration")
+    assert scans(duration) == 3 and "Window" not in duration and "rangepartitioning" not in duration
+    # The audit's log was exchanged by range and for the windows before its checkpoint; what is left is no exchange of rows.
+    audit = plan("lifecycle_audit")
+    assert "SortMergeJoin" not in audit and "BroadcastHashJoin" in audit and scans(audit) == 0
+    # Processes and edges come from the status table, not from the log.
+    assert scans(plan("may_run")) == 0
+
+
+def test_premiums_load_has_no_join(spark, capsys):
+    from vellum.plans import jobs, standins
+
+    capsys.readouterr()
+    jobs.build_premiums(spark, 1995, {jobs.PREMIUMS_SOURCE: standins.premium_source(spark, SF)}).explain("formatted")
+    p = capsys.readouterr().out
+    assert "Join" not in p and "Subquery" in p
+
+
+def test_pre_checks_read_each_check_once(plan):
+    assert scans(plan("pre_checks")) == 3
+
+
 def test_month_range_reaches_the_scan(plan):
     p = plan("month_slice")
     assert "GreaterThanOrEqual(o_orderdate,1998-03-01T00:00)" in p
@@ -40,9 +77,9 @@ def test_status_replay_has_no_window_and_aggregates_partially(plan):
     assert "partial_count" in p
 
 
-def test_flat_fact_broadcasts_the_checked_dimension(plan):
+def test_flat_fact_reads_each_side_once(plan):
     p = plan("flat_fact")
-    assert "BroadcastHashJoin LeftOuter BuildRight" in p
+    assert scans(p) == 5 and "LeftOuter" in p
 
 
 def test_organizers_shuffles_at_most_twice(plan):

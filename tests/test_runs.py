@@ -68,8 +68,7 @@ def test_lifecycle_cases(spark):
 
 def test_duration_cases(spark):
     seqs = {0: [True, True], 1: [True, False], 2: [True]}
-    audit = runs.lifecycle_audit(log_frame(spark, seqs), partitions=2)
-    got = {r.process: r.duration_s for r in runs.run_duration(audit).collect()}
+    got = {r.process: r.duration_s for r in runs.run_duration(log_frame(spark, seqs)).collect()}
     assert got[0] == 60.0 and got[1] == 60.0 and got[2] is None
 
 
@@ -86,7 +85,7 @@ def test_random_logs_match_literal_fold(spark, partitions):
     trails = {}
     for r in audit.orderBy("process", "ts", "seq").collect():
         trails.setdefault(r.process, []).append((r.from_state, r.to_state))
-    durations = {r.process: r.duration_s for r in runs.run_duration(audit).collect()}
+    durations = {r.process: r.duration_s for r in runs.run_duration(log).collect()}
     for p, outcomes in seqs.items():
         stamped = [(T0 + dt.timedelta(minutes=i), ok) for i, ok in enumerate(outcomes)]
         trail, final, dur = fold(stamped)
@@ -95,6 +94,16 @@ def test_random_logs_match_literal_fold(spark, partitions):
         assert durations[p] == dur, p
 
 
+def test_durations_of_all_short_logs(spark):
+    import itertools
+
+    seqs = {i: list(c) for i, c in enumerate(c for n in range(1, 9) for c in itertools.product([True, False], repeat=n))}
+    got = {r.process: r for r in runs.run_duration(log_frame(spark, seqs)).collect()}
+    for p, outcomes in seqs.items():
+        _, final, dur = fold([(T0 + dt.timedelta(minutes=i), ok) for i, ok in enumerate(outcomes)])
+        assert (got[p].status, got[p].duration_s) == (final, dur), outcomes
+
+
 def test_may_run(spark):
     processes = spark.createDataFrame([(i,) for i in range(6)], "process bigint")
     status = spark.createDataFrame(
@@ -120,7 +129,7 @@ def test_duration_ignores_session_time_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
     try:
-        r = runs.run_duration(runs.lifecycle_audit(log, partitions=2)).first()
+        r = runs.run_duration(log).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r.status == "SUCCESS" and r.duration_s == 7200.0

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from vellum.operators.checks import all_passed, pre_checks
 from vellum.session import local_path
-from vellum.sinks import write_counted, write_if_nonempty
+from vellum.sinks import write_counted, write_months
 from vellum.sources.readers import jdbc_url, month_predicates, read_csv, read_source
 
 
@@ -44,12 +44,6 @@ def test_write_counted_and_append(spark, workdir):
     assert spark.read.parquet(path).count() == 20
 
 
-def test_write_if_nonempty(spark, workdir):
-    empty = spark.range(0)
-    res = write_if_nonempty(empty, workdir("skip"))
-    assert res["rows"] == 0 and res["written"] is False
-
-
 def test_csv_sink_round_trip(spark, workdir):
     df = spark.range(5).withColumn("name", F.concat(F.lit("n"), F.col("id")))
     path = workdir("csv-sink")
@@ -86,27 +80,10 @@ def test_jdbc_options():
     }
 
 
-def test_checked_broadcast_bounds_rows_and_bytes(spark, capsys):
-    from vellum.operators.joins import checked_broadcast, measure
-
-    df = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "k bigint, s string")
-    rows, size = measure(df)
-    assert rows == 50 and size >= 50 * 100
-
-    def hinted(d):
-        left = spark.range(5)
-        left.join(d, left.id == d.k).explain(True)
-        return "strategy=broadcast" in capsys.readouterr().out
-
-    assert hinted(checked_broadcast(df, max_rows=100))
-    assert not hinted(checked_broadcast(df, max_rows=100, max_bytes=1000))
-    assert not hinted(checked_broadcast(df, max_rows=10))
-
-
 def test_read_source_dispatch(spark, workdir):
     import pytest as _pytest
 
-    from vellum.sources.workbooks import write_workbooks
+    from vellum.plans.workbook_files import write_workbooks
 
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, s string")
     pq = workdir("dispatch-pq")
@@ -120,9 +97,67 @@ def test_read_source_dispatch(spark, workdir):
         read_source(spark, "clickhouse")
 
 
-def test_measure_counts_nested_values(spark):
-    from vellum.operators.joins import measure
+def test_csv_quotes_and_line_breaks(spark, workdir):
+    path = workdir("csv-quotes")
+    _write_text(path, 'a,b\n1,"say ""hi"", ok"\n2,"x\ny"\n3,plain\n')
+    rows = read_csv(spark, path, contract={"a": "UInt32", "b": "String"}).orderBy("a").collect()
+    assert [tuple(r) for r in rows] == [(1, 'say "hi", ok'), (2, "x\ny"), (3, "plain")]
+    assert sorted(tuple(r) for r in read_csv(spark, path).collect()) == [tuple(r) for r in rows]
+
+
+def test_csv_without_header_is_named_by_position(spark, workdir):
+    path = workdir("csv-position")
+    _write_text(path, "1;1,5;x\n2;;y\n")
+    df = read_csv(spark, path, separator=";", header=False, contract={"k": "UInt32", "v": "Float64", "s": "String"})
+    assert df.columns == ["k", "v", "s"]
+    assert sorted(tuple(r) for r in df.collect()) == [(1, 1.5, "x"), (2, None, "y")]
+
+
+def test_numbers_that_are_not_in_the_comma_form_are_null_and_counted(spark, workdir):
+    path = workdir("csv-dots")
+    _write_text(path, "v;i\n1.5;1.5\n1234.56;7\n1.234,5;1.234\n-2,25;x\n;\n12.34,5;\n")
+    df = read_csv(spark, path, separator=";", contract={"v": "Float64", "i": "UInt32"}, with_failures=True)
+    got = sorted((tuple(r) for r in df.collect()), key=str)
+    assert got == sorted([(None, None, 2), (None, 7, 1), (1234.5, 1234, 0), (-2.25, None, 1), (None, None, 0), (None, None, 1)], key=str)
+    # Without a contract such a column stays text.
+    assert dict(read_csv(spark, path, separator=";").dtypes)["v"] == "string"
+
+
+def test_a_rerun_with_fewer_months_removes_the_later_ones(spark, workdir):
+    import datetime as dt
+
+    path = workdir("stale")
+    df = spark.createDataFrame([(dt.date(2024, 12, 1), 0), (dt.date(2025, 1, 1), 1), (dt.date(2025, 2, 1), 2), (dt.date(2025, 3, 1), 3)], "month date, v int")
+    months = lambda: sorted(r.v for r in spark.read.parquet(path).collect())
+    write_months(df, path)
+    write_months(df.where("v IN (1, 2)"), path, since=dt.date(2025, 1, 1))
+    assert months() == [0, 1, 2]
+    assert write_months(df.where("v = 1"), path, since=dt.date(2025, 1, 1), rebalance=False)["rows"] == 1
+    assert months() == [0, 1]
+    write_months(df.limit(0), path, since=dt.date(2025, 1, 1))
+    assert months() == [0]
+
+
+def test_year_defaults_to_the_current_one(spark):
+    import datetime as dt
+
+    from vellum.plans import jobs
+
+    year = dt.date.today().year
+    raw = spark.createDataFrame([(dt.date(year, 1, 5), 1), (dt.date(year, 3, 5), 2)], "FEmision date, Op bigint")
+    missing = [c for c in jobs.PREMIUMS_RENAMES if c not in raw.columns]
+    raw = raw.select("*", *[F.lit(None).cast("string").alias(c) for c in missing])
+    row = jobs.premiums_summary(spark, sources={jobs.PREMIUMS_SOURCE: raw}).first()
+    assert (row.total_rows, row.months_processed, row.year) == (1, 1, year)
+
+
+def test_organizers_take_a_source_contract(spark):
+    import pytest as _pytest
+
+    from vellum.operators.contracts import ContractError
+    from vellum.plans import jobs, standins
 
-    df = spark.createDataFrame([(1, ["x" * 50, "y"], {"k": "v" * 30})], "id bigint, a array<string>, m map<string,string>")
-    rows, size = measure(df)
-    assert rows == 1 and size >= 50 + 30
+    sources = standins.organizer_sources(spark, "/root/testdata/sf0.001")
+    jobs.build_organizers(spark, sources, source_contract={"ININNA": "UInt32"}, type_code="AUTOMOBILE")
+    with _pytest.raises(ContractError):
+        jobs.build_organizers(spark, sources, source_contract={"ININNA": "String"}, type_code="AUTOMOBILE")

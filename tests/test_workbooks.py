@@ -4,7 +4,8 @@ import os
 import zipfile
 
 from vellum.session import local_path
-from vellum.sources.workbooks import iter_sheet_rows, read_workbooks, workbook_bytes, write_workbooks
+from vellum.plans.workbook_files import workbook_bytes, write_workbooks
+from vellum.sources.workbooks import iter_sheet_rows, read_workbooks
 
 
 def _shared_strings_book() -> bytes:
@@ -30,7 +31,7 @@ def _shared_strings_book() -> bytes:
         z.writestr(
             "xl/sharedStrings.xml",
             f'<sst xmlns="{main}"><si><t>name</t></si><si><t>qty</t></si>'
-            "<si><r><t>Ju</t></r><r><t>an</t></r></si></sst>",
+            "<si><r><t>Ju</t></r><r><t>an</t></r><rPh sb=\"0\" eb=\"2\"><t>KANA</t></rPh></si></sst>",
         )
         z.writestr(
             "xl/worksheets/sheet1.xml",
@@ -70,8 +71,33 @@ def test_folder_of_three_workbooks(spark, workdir):
     assert got[0] == ("c00", 0.25, dt.date(2025, 1, 1))
     # Header discovery across files when no columns are given.
     text = read_workbooks(spark, folder)
-    assert set(text.columns) == {"code", "amount", "issued", "name", "qty"}
-    assert text.count() == 14
+    assert text.columns == ["code", "amount", "issued", "name", "qty"]
+    assert dict(text.dtypes) == {"code": "string", "amount": "double", "issued": "date", "name": "string", "qty": "double"}
+    assert text.count() == 14 and text.where("issued = '2025-01-01'").count() == 1
+
+
+def test_repeated_or_empty_header_names_are_refused(spark, workdir):
+    import pytest
+
+    for i, header in enumerate((["a", "b", "a"], ["a", None, "c"])):
+        folder = workdir(f"books-bad{i}")
+        os.makedirs(local_path(folder))
+        with open(os.path.join(local_path(folder), "b.xlsx"), "wb") as f:
+            f.write(workbook_bytes(header, [(1, 2, 3)]))
+        for kw in ({}, {"contract": {"a": "UInt32"}}):
+            with pytest.raises(Exception, match="repeated or empty names"):
+                read_workbooks(spark, folder, **kw).collect()
+
+
+def test_types_and_times_without_a_contract(spark, workdir):
+    folder = workdir("books-types")
+    os.makedirs(local_path(folder))
+    rows = [(1, 0.5, True, dt.datetime(2024, 2, 29, 13, 30, 5), "x", None), (2, 3, False, dt.datetime(1999, 12, 31), "7", None)]
+    with open(os.path.join(local_path(folder), "b.xlsx"), "wb") as f:
+        f.write(workbook_bytes(["i", "d", "b", "t", "s", "n"], rows))
+    df = read_workbooks(spark, folder)
+    assert dict(df.dtypes) == {"i": "bigint", "d": "double", "b": "boolean", "t": "timestamp_ntz", "s": "string", "n": "string"}
+    assert sorted(tuple(r) for r in df.collect()) == rows
 
 
 def test_write_then_read_round_trip(spark, workdir):

@@ -4,14 +4,15 @@ from vellum.operators.checks import all_passed, pre_checks
 from vellum.operators.contracts import (
     ContractError,
     cast_to_contract,
+    contract_gaps,
     contract_report,
     domain_violations,
     enforce,
+    require_contract,
     split_by_domain,
-    validate_minimum_schema,
 )
 from vellum.operators.distinct import normalise_columns, normalise_distinct
-from vellum.operators.joins import checked_broadcast, flat_fact, left_chain
+from vellum.operators.joins import flat_fact, left_chain
 from vellum.operators.months import (
     kept_months,
     load_contiguous_months,
@@ -26,7 +27,7 @@ __all__ = [
     "ContractError",
     "all_passed",
     "cast_to_contract",
-    "checked_broadcast",
+    "contract_gaps",
     "contract_report",
     "domain_violations",
     "enforce",
@@ -45,7 +46,7 @@ __all__ = [
     "normalise_columns",
     "normalise_distinct",
     "pre_checks",
+    "require_contract",
     "run_duration",
     "split_by_domain",
-    "validate_minimum_schema",
 ]

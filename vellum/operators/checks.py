@@ -23,8 +23,10 @@ def _one_check(name: str, df: DataFrame) -> DataFrame:
 
 def pre_checks(checks: dict[str, DataFrame]) -> DataFrame:
     rows = reduce(DataFrame.unionByName, [_one_check(n, df) for n, df in checks.items()])
-    overall = rows.agg(F.lit("all").alias("check_name"), F.bool_and("passed").alias("passed"))
-    return rows.unionByName(overall)
+    # Grouping sets: every check's row and the verdict over all come from one reading of the checks.
+    return rows.rollup("check_name").agg(F.bool_and("passed").alias("passed"), F.grouping("check_name").alias("_g")).select(
+        F.when(F.col("_g") == 1, F.lit("all")).otherwise(F.col("check_name")).alias("check_name"), "passed"
+    )
 
 
 def all_passed(checks: dict[str, DataFrame]) -> bool:

@@ -13,61 +13,62 @@ partial on every partition, so their cost is one scan and a tiny shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.contracts import spark_type, value_range
+from vellum.contracts import spark_type, to_struct, value_range
 from vellum.functions.casts import guarded_try_cast
 
 
-class ContractError(ValueError):
-    """The frame does not satisfy its declared contract."""
+@dataclass(frozen=True)
+class Gap:
+    """One way in which a schema falls short of a contract; ``found`` is None for an absent column."""
+
+    column: str
+    declared: str
+    wanted: str
+    found: str | None
+
+    def __str__(self) -> str:
+        state = "is absent" if self.found is None else f"is {self.found}"
+        return f"{self.column} {state}, wanted {self.wanted} (declared {self.declared})"
 
-    def __init__(self, context: str, problems: list[str]):
-        self.context = context
-        self.problems = list(problems)
-        lines = "\n".join(f"  - {p}" for p in problems)
-        super().__init__(f"[{context}] minimum schema not met:\n{lines}")
 
+class ContractError(ValueError):
+    """A frame falls short of its contract; ``gaps`` says how."""
 
-def _type_label(dt: T.DataType) -> str:
-    return dt.simpleString()
+    def __init__(self, where: str, gaps: list[Gap]):
+        self.where, self.gaps = where, list(gaps)
+        super().__init__(f"{where}: {len(self.gaps)} contract gap(s): " + "; ".join(map(str, self.gaps)))
 
 
-def schema_problems(df: DataFrame, contract: dict[str, str] | None) -> list[str]:
-    """All contract violations of ``df``'s schema, in contract order."""
-    if contract is None:
+def contract_gaps(schema: T.StructType, contract: dict[str, str] | None) -> list[Gap]:
+    """What the contract's struct has and the schema has not, as (name, type) pairs, in contract order."""
+    if not contract:
         return []
-    actual = {f.name: f.dataType for f in df.schema.fields}
-    problems = []
-    for name, type_name in contract.items():
-        expected = spark_type(type_name)
-        if name not in actual:
-            problems.append(f"required column '{name}' not found")
-        elif actual[name] != expected:
-            problems.append(
-                f"column '{name}': expected {_type_label(expected)} ({type_name}), "
-                f"found {_type_label(actual[name])}"
-            )
-    return problems
+    have = dict(schema_types(schema))
+    wanted = schema_types(to_struct(contract))
+    lacking = set(wanted) - set(have.items())
+    return [Gap(n, contract[n], t, have.get(n)) for n, t in wanted if (n, t) in lacking]
 
 
-def validate_minimum_schema(df: DataFrame, contract: dict[str, str] | None, context: str) -> None:
-    problems = schema_problems(df, contract)
-    if problems:
-        raise ContractError(context, problems)
+def schema_types(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
 
-def enforce(contract: dict[str, str] | None, context: str) -> Callable[[DataFrame], DataFrame]:
-    """A ``DataFrame.transform`` step that checks the contract and passes through."""
+def require_contract(df: DataFrame, contract: dict[str, str] | None, where: str) -> DataFrame:
+    """``df`` itself, or ``ContractError`` with every gap at once."""
+    if gaps := contract_gaps(df.schema, contract):
+        raise ContractError(where, gaps)
+    return df
 
-    def _step(df: DataFrame) -> DataFrame:
-        validate_minimum_schema(df, contract, context)
-        return df
 
-    return _step
+def enforce(contract: dict[str, str] | None, where: str) -> Callable[[DataFrame], DataFrame]:
+    """``require_contract`` as a step for ``DataFrame.transform``."""
+    return lambda df: require_contract(df, contract, where)
 
 
 def contract_report(
@@ -82,8 +83,8 @@ def contract_report(
     actual = {f.name: f.dataType for f in df.schema.fields}
     rows = []
     for name, type_name in contract.items():
-        expected = _type_label(spark_type(type_name))
-        found = _type_label(actual[name]) if name in actual else None
+        expected = spark_type(type_name).simpleString()
+        found = actual[name].simpleString() if name in actual else None
         rows.append((name, expected, found, found == expected))
     schema = "column_name string, expected string, found string, ok boolean"
     report = spark.createDataFrame(rows, schema)
@@ -163,7 +164,7 @@ def cast_to_contract(df: DataFrame, contract: dict[str, str], keep_extra: bool =
     """
     missing = [c for c in contract if c not in df.columns]
     if missing:
-        raise ContractError("cast_to_contract", [f"required column '{c}' not found" for c in missing])
+        raise ContractError("cast_to_contract", [Gap(c, contract[c], spark_type(contract[c]).simpleString(), None) for c in missing])
     casts = []
     failures = []
     for name, type_name in contract.items():

@@ -1,78 +1,14 @@
 """Left-join chains and the flat (denormalised) fact.
 
-Broadcasting is only requested behind a size check: ``checked_broadcast``
-measures the candidate side with one partial aggregate -- its row count and
-its bytes (fixed-width columns by type, strings and binaries by their actual
-``octet_length``) -- so every partition measures locally and one row per
-partition crosses the network (``limit(n).count()`` would instead funnel rows
-through a single-partition exchange). Only when both the row and the byte
-bound hold is the broadcast hinted; beyond them the side is returned unhinted
-and Spark picks sort-merge / shuffled-hash, with AQE free to re-plan from
-runtime sizes and to split skewed partitions. The check costs one extra
-evaluation of the (small) candidate side and saves shuffling the (large)
-other side.
+Plain joins without hints: nothing runs while a plan is built, and each side
+is read once. Adaptive execution turns a join into a broadcast when the real
+shuffle size of a side turns out small, and splits skewed partitions of the
+others.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-DEFAULT_MAX_BROADCAST_BYTES = 128 * 1024 * 1024
-
-_FIXED_WIDTH = {
-    T.BooleanType: 1,
-    T.ByteType: 1,
-    T.ShortType: 2,
-    T.IntegerType: 4,
-    T.FloatType: 4,
-    T.DateType: 4,
-    T.LongType: 8,
-    T.DoubleType: 8,
-    T.TimestampType: 8,
-    T.TimestampNTZType: 8,
-    T.DecimalType: 16,
-}
-
-
-def _row_bytes(df: DataFrame):
-    """(fixed bytes per row, Column summing the variable bytes of a row)."""
-    fixed, variable = 8, []  # 8: per-row overhead
-    for f in df.schema.fields:
-        width = next((w for t, w in _FIXED_WIDTH.items() if isinstance(f.dataType, t)), None)
-        if width is not None:
-            fixed += width
-        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            fixed += 8
-            variable.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
-        else:  # nested values: measured through their JSON text
-            fixed += 8
-            variable.append(F.coalesce(F.octet_length(F.to_json(F.col(f"`{f.name}`"))), F.lit(0)))
-    total = F.lit(0).cast("bigint")
-    for v in variable:
-        total = total + v
-    return fixed, total
-
-
-def measure(df: DataFrame) -> tuple[int, int]:
-    """(rows, approximate bytes) of ``df`` in one partial aggregation."""
-    fixed, variable = _row_bytes(df)
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(variable), F.lit(0)).alias("v")).first()
-    return int(r["n"]), int(r["n"]) * fixed + int(r["v"])
-
-
-def size_bound_holds(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes."""
-    rows, size = measure(df)
-    return rows <= max_rows and size <= max_bytes
-
-
-def checked_broadcast(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """``F.broadcast(df)`` if it is within ``max_rows`` and ``max_bytes``, else ``df``."""
-    if max_rows > 0 and size_bound_holds(df, max_rows, max_bytes):
-        return F.broadcast(df)
-    return df
 
 
 def left_chain(base: DataFrame, steps: list[tuple[DataFrame, str, str]]) -> DataFrame:
@@ -88,11 +24,6 @@ def left_chain(base: DataFrame, steps: list[tuple[DataFrame, str, str]]) -> Data
     return out
 
 
-def flat_fact(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    max_broadcast_rows: int = 1_000_000,
-) -> DataFrame:
+def flat_fact(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """``fact ⟕ dim`` on a shared key name, one key column in the result."""
-    return fact.join(checked_broadcast(dim, max_broadcast_rows), on=key, how="left")
+    return fact.join(dim, on=key, how="left")

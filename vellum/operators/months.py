@@ -12,11 +12,12 @@ loop is one plan:
    exactly for the unbroken run that starts at January (un-keyed, this window
    has no partition key but sees at most one row per calendar month, so the
    fact is still scanned once -- a first-gap scalar subquery would rescan it);
-4. a left-semi join of the fact with the kept (key, month) pairs.
+4. un-keyed, a filter by the end of that run (a scalar); keyed, a left-semi
+   join of the fact with the kept (key, month) pairs.
 
 Step 3 sees at most (#keys x #months in the data's span) rows; un-keyed, it
-is one row per month. Step 4 joins on (key, month), so a hot key's rows are
-spread over its months instead of landing in one task.
+is one row per month. A keyed step 4 joins on (key, month), so a hot key's
+rows are spread over its months instead of landing in one task.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions.dates import month_floor, month_index, month_range
-from vellum.operators.joins import checked_broadcast
 
 MONTH_IDX = "month_idx"
 
@@ -94,32 +94,25 @@ def month_prefix_by_key(df: DataFrame, date_col: str, year: int, keys: list[str]
     )
 
 
-def load_contiguous_months(
-    df: DataFrame,
-    date_col: str,
-    year: int,
-    keys: list[str] | tuple = (),
-    max_broadcast_rows: int = 100_000,
-) -> DataFrame:
+def kept_until(df: DataFrame, date_col: str, year: int) -> DataFrame:
+    """One row ``until``: the first day after the unbroken run of months; NULL when January is empty."""
+    last = F.max(MONTH_IDX).cast("int")
+    return kept_months(df, date_col, year).agg(F.add_months(F.lit(_dt.date(year, 1, 1)), last + 1).alias("until"))
+
+
+def load_contiguous_months(df: DataFrame, date_col: str, year: int, keys: list[str] | tuple = ()) -> DataFrame:
     """Fact rows in the kept months, with ``month`` (first day) added.
 
-    Un-keyed, the kept months are at most one row per calendar month, a bound
-    that holds by construction, so the semi-join broadcasts them. Keyed, the
-    kept pairs are broadcast only when a row-count check passes; otherwise
-    Spark shuffles both sides on (key, month) and AQE may still switch
-    strategies at run time.
+    Un-keyed, the kept months are an interval from January on, so the rows are
+    those before its end: a one-row scalar, no join. Keyed, every key has its
+    own end; the kept (key, month) pairs are joined, and a hot key's rows are
+    spread over its months.
     """
     keys = list(keys)
-    kept = kept_months(df, date_col, year, keys).select(*keys, MONTH_IDX)
-    if keys:
-        kept = checked_broadcast(kept, max_broadcast_rows)
+    since = df.where(_since(date_col, year))
+    if not keys:
+        rows = since.where(F.col(date_col) < kept_until(df, date_col, year).scalar())
     else:
-        # Bounded by construction: one row per calendar month from January of
-        # `year` to the last date Spark can hold (< 12 * 10,000 rows, ~1 MB).
-        kept = F.broadcast(kept)
-    fact = df.where(_since(date_col, year)).withColumn(MONTH_IDX, month_index(date_col, year, 1))
-    return (
-        fact.join(kept, on=[*keys, MONTH_IDX], how="left_semi")
-        .withColumn("month", month_floor(date_col))
-        .drop(MONTH_IDX)
-    )
+        kept = kept_months(df, date_col, year, keys).select(*keys, MONTH_IDX)
+        rows = since.withColumn(MONTH_IDX, month_index(date_col, year, 1)).join(kept, on=[*keys, MONTH_IDX], how="left_semi").drop(MONTH_IDX)
+    return rows.withColumn("month", month_floor(date_col))

@@ -28,12 +28,9 @@ putting a hot process in one task (range partitioning + prefix offsets).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.operators.joins import checked_broadcast
-
 IDLE, RUNNING, SUCCESS, FAILED = "IDLE", "RUNNING", "SUCCESS", "FAILED"
 CYCLE = (IDLE, RUNNING, SUCCESS)
 
@@ -54,18 +51,15 @@ def lifecycle_status(
     ts: str = "ts",
     seq: str = "seq",
     ok: str = "ok",
-    max_broadcast_keys: int = 1_000_000,
-    with_last: bool = False,
 ) -> DataFrame:
-    """Final status per process: ``(key, status, outcomes, failures)``, plus
-    ``last`` (the last (ts, seq)) when ``with_last``.
+    """Final status per process: ``(key, status, outcomes, failures)``.
 
-    Two aggregations (both partial on every partition, so a hot process never
-    sits in one task) and one join of the log with the per-process last-false
-    mark, broadcast after a size check, else shuffled with AQE skew handling.
+    Two aggregations, both partial on every partition, and one join of the log
+    with the last-false mark of each process: two readings of the log. There is
+    no hint and no measuring; adaptive execution broadcasts the marks when their
+    real size is small.
     """
     marks = log.groupBy(key).agg(F.max(F.when(~F.col(ok), _ord(ts, seq))).alias("_last_false"))
-    marks = checked_broadcast(marks, max_broadcast_keys)
     after = (
         log.join(marks, key)
         .groupBy(key)
@@ -75,7 +69,6 @@ def lifecycle_status(
             F.count_if(
                 F.col(ok) & (F.col("_last_false").isNull() | (_ord(ts, seq) > F.col("_last_false")))
             ).cast("bigint").alias("_k"),
-            *([F.max(_ord(ts, seq)).alias("last")] if with_last else []),
         )
     )
     k = F.col("_k")
@@ -84,7 +77,7 @@ def lifecycle_status(
         .when(k == 0, F.lit(FAILED))
         .otherwise(_cycle(k - 1))
     )
-    return after.select(key, status.alias("status"), "outcomes", "failures", *(["last"] if with_last else []))
+    return after.select(key, status.alias("status"), "outcomes", "failures")
 
 
 def _state(f: Column, t: Column, last_t: Column) -> Column:
@@ -120,6 +113,10 @@ def lifecycle_audit(
     slice totals -- at most (#partitions + #keys) rows -- give each slice its
     offsets from the slices before it. The slice scan is checkpointed to the
     shared checkpoint folder: partition ids are frozen and lineage is cut.
+    In all the log is exchanged twice, by range and by (partition, key) for the
+    windows: ranges are contiguous, so only the first process of a partition can
+    have begun before it, and the offsets that matter are at most one row per
+    partition, which are broadcast.
     """
     base = log.select(key, ts, seq, ok)
     # Without an explicit count AQE sizes the range partitions, merging only
@@ -147,14 +144,9 @@ def lifecycle_audit(
         F.max(F.when(~F.col(ok), F.col("_lt"))).over(before).alias("_ll_prev"),
     )
     if checkpoint:
-        # One reliable checkpoint freezes the partition ids together with the
-        # slice-local running values (the windows then run once for both
-        # uses below), keeps the (_part, key) hash partitioning for them, and
-        # cuts the lineage. Persisted first: writing a reliable checkpoint
-        # otherwise recomputes its input in a second job.
-        cached = local.persist(StorageLevel.MEMORY_AND_DISK)
-        local = cached.checkpoint(eager=True)
-        cached.unpersist()
+        # Freezes the partition ids together with the slice-local running
+        # values, so that the windows run once for both uses below.
+        local = local.checkpoint(eager=True)
     slices = local.groupBy("_part", key).agg(
         F.max("_lf").alias("_sf"),
         F.max("_lt").alias("_st"),
@@ -172,9 +164,9 @@ def lifecycle_audit(
     offs = offs.select(
         "_part", key, "_of", "_ot", F.max(F.col("_sl") + F.col("_ot")).over(prev).alias("_ol")
     )
-    # No broadcast needed: `local` is already hash-partitioned and sorted on
-    # (_part, key) by its windows, so the join shuffles only the small offsets.
-    j = local.join(offs, ["_part", key])
+    # Only a process that began in an earlier partition has offsets: one row per partition at most.
+    continued = offs.where((F.col("_of") > 0) | (F.col("_ot") > 0))
+    j = local.join(F.broadcast(continued), ["_part", key], "left").fillna(0, ["_of", "_ot"])
     f_now = F.col("_lf") + F.col("_of")
     t_now = F.col("_lt") + F.col("_ot")
     l_now = F.coalesce(F.col("_ll") + F.col("_ot"), F.col("_ol"))
@@ -191,32 +183,41 @@ def lifecycle_audit(
     )
 
 
-def run_duration(audit: DataFrame, key: str = "process", ts: str = "ts", seq: str = "seq") -> DataFrame:
+def run_duration(log: DataFrame, key: str = "process", ts: str = "ts", seq: str = "seq", ok: str = "ok") -> DataFrame:
     """Per process: ``(key, status, started, ended, duration_s)``.
 
-    started = time of the last entry into RUNNING unless a return to IDLE came
-    after it; ended = time of the last outcome (the final status is terminal
-    only if that outcome entered SUCCESS or FAILED). Partial aggregates only.
+    Only the end of a process's outcomes matters: the last true, the last false
+    before it, and the number of trues in between (the last run of trues). That
+    run leads to RUNNING (started by its last true), SUCCESS (started by the true
+    before) or IDLE (not started); closing falses turn each into FAILED and keep
+    the start. ended is the time of the last outcome, if the status is terminal.
+    Three partial aggregations, the later two over the log joined with one mark
+    per process; no order of the whole log is made.
     """
-    o = _ord(ts, seq)
-    per = audit.groupBy(key).agg(
-        F.max_by(F.col("to_state"), o).alias("status"),
-        F.max(o).alias("_last"),
-        F.max(F.when(F.col("to_state") == RUNNING, o)).alias("_run"),
-        F.max(F.when(F.col("to_state") == IDLE, o)).alias("_idle"),
+    o, yes = _ord(ts, seq), F.col(ok)
+    ends = log.groupBy(key).agg(F.max(o).alias("_last"), F.max(F.when(yes, o)).alias("_true"))
+    near = log.join(ends, key).groupBy(key).agg(
+        F.any_value("_last").alias("_last"),
+        F.any_value("_true").alias("_true"),
+        F.max(F.when(~yes & (o < F.col("_true")), o)).alias("_false"),
+        F.max(F.when(yes & (o < F.col("_true")), o)).alias("_before"),
+    )
+    run = log.join(near, key).groupBy(key).agg(
+        *[F.any_value(c).alias(c) for c in ("_last", "_true", "_false", "_before")],
+        F.count_if(yes & (F.col("_false").isNull() | (o > F.col("_false")))).alias("_n"),
     )
-    terminal = F.col("status").isin(SUCCESS, FAILED)
-    started_ok = F.col("_run").isNotNull() & (F.col("_idle").isNull() | (F.col("_run") > F.col("_idle")))
-    started = F.when(started_ok, F.col("_run.ts"))
+    reached = F.when(F.col("_true").isNull(), F.lit(IDLE)).otherwise(
+        _cycle(F.when(F.col("_false").isNull(), F.col("_n")).otherwise(F.col("_n") - 1))
+    )
+    failed = F.col("_true").isNull() | (F.col("_true") < F.col("_last"))
+    status = F.when(failed, F.lit(FAILED)).otherwise(reached)
+    started = F.when(reached == RUNNING, F.col("_true.ts")).when(reached == SUCCESS, F.col("_before.ts"))
+    terminal = status.isin(SUCCESS, FAILED)
     ended = F.when(terminal, F.col("_last.ts"))
     # timestamp_diff: independent of the session time zone for timestamp_ntz.
     secs = F.timestamp_diff("MICROSECOND", started, ended) / F.lit(1_000_000.0)
-    return per.select(
-        key,
-        "status",
-        started.alias("started"),
-        ended.alias("ended"),
-        F.when(terminal & started_ok, secs).alias("duration_s"),
+    return run.select(
+        key, status.alias("status"), started.alias("started"), ended.alias("ended"), F.when(terminal, secs).alias("duration_s")
     )
 
 

@@ -31,7 +31,8 @@ from vellum.plans import jobs
 from vellum.plans import standins as S
 from vellum.session import shared_dir
 from vellum.sources.readers import override_source, preview, read_csv, read_parquet, read_target
-from vellum.sources.workbooks import read_workbooks, write_workbooks
+from vellum.plans.workbook_files import write_workbooks
+from vellum.sources.workbooks import read_workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,7 +153,7 @@ def skip_empty(spark, sf_dir):
 def premiums_load(spark, sf_dir):
     df = jobs.build_premiums(spark, PREMIUM_YEAR, {"primas_automotores": S.premium_source(spark, sf_dir)})
     path = shared_dir(spark, "premiums")
-    jobs.publish_premiums(df, path)
+    jobs.publish_premiums(df, path, PREMIUM_YEAR)
     back = read_parquet(spark, path)
     return back.select("op", "femision", "cod_organizador", "prima_neta_componente", "month")
 
@@ -279,18 +280,8 @@ def source_override(spark, sf_dir):
     src = S.motor_coverage_source(spark, sf_dir)
     path = shared_dir(spark, "csv-coverages")
     src.write.mode("overwrite").option("header", "true").csv(path)
-    schema_contract = {
-        "CodCobertura": "String",
-        "OrCobertura": "UInt32",
-        "CatCobertura": "String",
-        "OrCatCobertura": "UInt32",
-        "Rt": "Int32",
-        "Rp": "Int32",
-        "It": "Int32",
-        "Ip": "Int32",
-        "At": "Int32",
-        "Ap": "Int32",
-    }
+    # The source's columns are the contract's under their old names.
+    schema_contract = {old: C.DIM_COBERTURAS_AUT[new] for old, new in jobs.MOTOR_COVERAGES_RENAMES.items()}
     csv_copy = read_csv(spark, path, decimal_comma=False, contract=schema_contract)
     override_source(spark, jobs.MOTOR_COVERAGES_SOURCE, csv_copy)
     # No sources given: the job resolves its relation by name, i.e. the override.
@@ -361,6 +352,7 @@ def run_datasets(spark, sf_dir):
 
 
 def _registry() -> dict[str, Query]:
+    from vellum.plans import edge_queries as E
     from vellum.plans import runlog_queries as R
 
     q: dict[str, Query] = {
@@ -401,6 +393,7 @@ def _registry() -> dict[str, Query]:
         "run_datasets": run_datasets,
     }
     q.update(R.QUERIES)
+    q.update(E.QUERIES)
     return q
 
 

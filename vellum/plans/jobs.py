@@ -10,6 +10,8 @@ optimises the whole composition.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from vellum.operators.contracts import enforce
 from vellum.operators.distinct import normalise_distinct
 from vellum.operators.joins import left_chain
 from vellum.operators.months import load_contiguous_months, month_prefix_summary
-from vellum.sinks import write_counted, write_if_nonempty, write_months
+from vellum.sinks import write_counted, write_months
 
 # ---- fixed values: source relations and column renames of the four jobs ----
 
@@ -200,9 +202,16 @@ def organizers_frame(
 
 
 def build_organizers(
-    spark: SparkSession, sources: dict[str, DataFrame] | None = None, transform=identity, **kw
+    spark: SparkSession,
+    sources: dict[str, DataFrame] | None = None,
+    transform=identity,
+    source_contract: dict[str, str] | None = None,
+    **kw,
 ) -> DataFrame:
-    s, rel, gr = (source(spark, n, sources) for n in ORGANIZERS_SOURCES)
+    """``source_contract`` is that of the organizers' own relation, the job's main source."""
+    main, *others = ORGANIZERS_SOURCES
+    s = source(spark, main, sources, source_contract)
+    rel, gr = (source(spark, n, sources) for n in others)
     return (
         organizers_frame(s, rel, gr, **kw)
         .transform(transform)
@@ -213,6 +222,10 @@ def build_organizers(
 # ---- motor premiums --------------------------------------------------------
 
 
+def load_year(year: int | None) -> int:
+    return datetime.date.today().year if year is None else year
+
+
 def premiums_frame(raw: DataFrame, year: int) -> DataFrame:
     """Renamed premiums of the unbroken run of months from January of ``year``,
     with ``month`` (first day) for the partitioned write."""
@@ -222,21 +235,23 @@ def premiums_frame(raw: DataFrame, year: int) -> DataFrame:
 
 def build_premiums(
     spark: SparkSession,
-    year: int,
+    year: int | None = None,
     sources: dict[str, DataFrame] | None = None,
     transform=identity,
     source_contract: dict[str, str] | None = None,
 ) -> DataFrame:
+    """Premiums of the unbroken run of months from January of ``year`` (the current one by default)."""
     raw = source(spark, PREMIUMS_SOURCE, sources, source_contract)
     return (
-        premiums_frame(raw, year)
+        premiums_frame(raw, load_year(year))
         .transform(transform)
         .transform(enforce(C.PRIMAS_AUTOMOTORES, "primas_automotores"))
     )
 
 
-def premiums_summary(spark: SparkSession, year: int, sources: dict[str, DataFrame] | None = None) -> DataFrame:
+def premiums_summary(spark: SparkSession, year: int | None = None, sources: dict[str, DataFrame] | None = None) -> DataFrame:
     """``(total_rows, months_processed, year)`` of the load, one row."""
+    year = load_year(year)
     renamed = rename_project(source(spark, PREMIUMS_SOURCE, sources), PREMIUMS_RENAMES)
     return month_prefix_summary(renamed, "femision", year)
 
@@ -257,7 +272,9 @@ def publish(df: DataFrame, path: str, table: str, contract: dict[str, str] | Non
 def publish_premiums(df: DataFrame, path: str, year: int | None = None, mode: str = "overwrite") -> dict:
     """Partitioned write of the load; ``total_rows``, ``months_processed`` and
     ``year`` observed in the same job. The kept months are contiguous by
-    construction, so their count is max - min + 1 of the month index."""
+    construction, so their count is max - min + 1 of the month index. A rerun
+    that overwrites leaves no later month of an earlier run behind."""
+    year = load_year(year)
     idx = F.year("month") * 12 + F.month("month")
     out = write_months(
         df,
@@ -265,6 +282,7 @@ def publish_premiums(df: DataFrame, path: str, year: int | None = None, mode: st
         "month",
         mode=mode,
         metrics=[F.min(idx).alias("_lo"), F.max(idx).alias("_hi")],
+        since=datetime.date(year, 1, 1),
     )
     months = 0 if out["rows"] == 0 else int(out["_hi"] - out["_lo"] + 1)
     return {
@@ -276,12 +294,6 @@ def publish_premiums(df: DataFrame, path: str, year: int | None = None, mode: st
     }
 
 
-def publish_skip_empty(df: DataFrame, path: str, table: str, **kw) -> dict:
-    out = write_if_nonempty(df, path, **kw)
-    out["table"] = table
-    return out
-
-
 # ---- a run of all four datasets, recorded in the run-log table -------------
 
 RUN_LOG_SCHEMA = (
@@ -297,7 +309,7 @@ def run_datasets(
     spark: SparkSession,
     sources: dict[str, DataFrame] | None,
     target_dir: str,
-    year: int,
+    year: int | None,
     log_path: str,
     organizers_kw: dict | None = None,
 ) -> list[dict]:
@@ -305,8 +317,6 @@ def run_datasets(
     run-log row per dataset: (dataset, rows, months, started, ended, ok,
     error). A dataset whose dependencies did not succeed is not run and is
     logged as failed. Returns the results in order."""
-    import datetime as _dt
-
     steps = {
         MOTOR_COVERAGES_TABLE: lambda p: publish(build_motor_coverages(spark, sources), p, MOTOR_COVERAGES_TABLE),
         OTHER_COVERAGES_TABLE: lambda p: publish_other_coverages(build_other_coverages(spark, sources), p),
@@ -318,7 +328,7 @@ def run_datasets(
     ok_so_far: dict[str, bool] = {}
     log_rows, results = [], []
     for name in DATASET_ORDER:
-        started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        started = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
         blocked = [d for d in DEPENDS_ON.get(name, []) if not ok_so_far.get(d)]
         res, err = {}, None
         if blocked:
@@ -328,7 +338,7 @@ def run_datasets(
                 res = steps[name](f"{target_dir.rstrip('/')}/{name}")
             except Exception as e:  # noqa: BLE001 - recorded in the run log
                 err = f"{type(e).__name__}: {e}"
-        ended = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        ended = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
         ok_so_far[name] = err is None
         months = res.get("months_processed")
         log_rows.append((name, res.get("rows"), months, started, ended, err is None, err))

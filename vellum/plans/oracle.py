@@ -6,9 +6,6 @@ returns the same column names and types as the Spark query.
 
 from __future__ import annotations
 
-from vellum import contracts as C
-from vellum.contracts import spark_type, value_range
-
 # Title case / strip / collapse in DuckDB (RE2): \s there is ASCII only, so
 # Unicode white space is spelt out: \t \n \v \f \r, U+0085 and \p{Z}.
 _WS = r"[\t\n\x0B\f\r\x{85}\p{Z}]"
@@ -130,7 +127,7 @@ r AS (SELECT *, row_number() OVER ({part}ORDER BY idx) - 1 AS rn FROM m),
 kept AS (SELECT * FROM r WHERE idx = rn)"""
 
 
-def _month_prefix(year: int) -> str:
+def month_prefix_sql(year: int) -> str:
     return f"""WITH {_month_runs(year)}
 SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS total_rows, count(*) AS months_processed, {year} AS year
 FROM kept"""
@@ -150,19 +147,6 @@ FROM kept GROUP BY o_custkey
 """
 
 
-def _contract_report(contract: dict[str, str]) -> str:
-    parts = []
-    for name, type_name in contract.items():
-        label = spark_type(type_name).simpleString()
-        rng = value_range(type_name)
-        bad = f"count(*) FILTER (WHERE {name} < {rng[0]} OR {name} > {rng[1]})" if rng else "CAST(0 AS BIGINT)"
-        parts.append(
-            f"SELECT '{name}' AS column_name, '{label}' AS expected, '{label}' AS found, true AS ok, "
-            f"count({name}) AS non_null, {bad} AS out_of_domain FROM org"
-        )
-    return f"WITH org AS ({ORGANIZERS})\n" + "\nUNION ALL\n".join(parts)
-
-
 _EXISTS = {
     "orders_in_1998": "SELECT 1 FROM orders WHERE o_orderdate >= DATE '1998-01-01' AND o_orderdate < DATE '1999-01-01'",
     "automobile_customers": "SELECT 1 FROM customer WHERE c_mktsegment = 'AUTOMOBILE'",
@@ -250,13 +234,15 @@ SELECT 'coberturas_automotores' AS dataset, count(*) AS rows, NULL::BIGINT AS mo
 UNION ALL SELECT 'coberturas_ramas_varias', count(*), NULL, true, NULL FROM supplier
 UNION ALL SELECT 'organizadores', count(*), NULL, true, NULL FROM ({ORGANIZERS})
 UNION ALL SELECT 'primas_automotores_x_componente', total_rows, months_processed, true, NULL
-  FROM ({_month_prefix(1995)})
+  FROM ({month_prefix_sql(1995)})
 """
 
 
 def oracle_sql() -> dict[str, str]:
+    from vellum.plans.edge_queries import oracle_sql as edge_sql
+
     org = ORGANIZERS
-    return {
+    return edge_sql() | {
         "rename_projection": RENAME_PROJECTION,
         "code_and_name_filter": "SELECT c_custkey, c_name, c_mktsegment FROM customer "
         "WHERE c_mktsegment = 'AUTOMOBILE' AND c_name <> 'Customer#000000007'",
@@ -283,12 +269,11 @@ def oracle_sql() -> dict[str, str]:
         "'coberturas_ramas_varias' FROM supplier",
         "month_counts": "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS rows "
         "FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1",
-        "month_prefix": _month_prefix(1995),
-        "month_prefix_empty_january": _month_prefix(2002),
+        "month_prefix": month_prefix_sql(1995),
+        "month_prefix_empty_january": month_prefix_sql(2002),
         "month_prefix_by_customer": MONTH_PREFIX_BY_CUSTOMER,
         "premiums_load": PREMIUMS_LOAD,
         "pre_checks": PRE_CHECKS,
-        "contract_report": _contract_report(C.ORGANIZADORES),
         "domain_violations": "SELECT count(*) AS rows, "
         "count(*) FILTER (WHERE l_orderkey < 0 OR l_orderkey > 4294967295) AS l_orderkey_violations, "
         "count(*) FILTER (WHERE l_partkey < 0 OR l_partkey > 4294967295) AS l_partkey_violations, "
@@ -320,7 +305,6 @@ def oracle_sql() -> dict[str, str]:
         "run_datasets": RUN_DATASETS,
         "run_log_latest": RUN_LOG_LATEST,
         "lifecycle_status": LIFECYCLE_STATUS,
-        "lifecycle_stream": LIFECYCLE_STATUS,
         "lifecycle_audit": LIFECYCLE_AUDIT,
         "run_duration": RUN_DURATION,
         "may_run": MAY_RUN,

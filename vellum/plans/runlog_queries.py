@@ -7,14 +7,11 @@ from pyspark.sql import functions as F
 
 from vellum.operators import runs
 from vellum.plans import standins as S
-from vellum.session import shared_dir, table_path
-from vellum.streaming.runlog import current_status, track_status
 
 
-def process_edges(log: DataFrame) -> DataFrame:
-    """Stand-in dependency graph derived from the processes in the log:
+def process_edges(procs: DataFrame) -> DataFrame:
+    """Stand-in dependency graph of the given processes, one row each:
     process p depends on p // 2 and p // 3 (when those differ from p)."""
-    procs = log.select("process").distinct()
     e2 = procs.select("process", (F.col("process") / 2).cast("bigint").alias("depends_on"))
     e3 = procs.select("process", (F.col("process") / 3).cast("bigint").alias("depends_on"))
     return e2.unionByName(e3).where(F.col("process") != F.col("depends_on")).distinct()
@@ -34,36 +31,14 @@ def lifecycle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    audit = runs.lifecycle_audit(S.outcome_log(spark, sf_dir))
-    return runs.run_duration(audit)
+    return runs.run_duration(S.outcome_log(spark, sf_dir))
 
 
 def may_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = S.outcome_log(spark, sf_dir)
-    status = runs.lifecycle_status(log).select("process", "status")
-    procs = log.select("process").distinct()
-    return runs.may_run(procs, process_edges(log), status)
-
-
-def lifecycle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table consumed as a stream; status tracked incrementally."""
-    path = table_path(sf_dir, "events")
-    schema = spark.read.parquet(path).schema
-    # The file stream source watches a folder: the table's folder, its file only.
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    ).select(
-        F.col("user_id").alias("process"),
-        "ts",
-        F.col("event_id").alias("seq"),
-        (F.col("event_type") != F.lit("error")).alias("ok"),
-    )
-    base = shared_dir(spark, "runlog-stream")
-    q = track_status(stream, f"{base}/state", f"{base}/checkpoint")
-    q.awaitTermination()
-    return current_status(spark, f"{base}/state")
+    # Processes and edges come from the status table, one row per process; written once, as it is used four times.
+    status = runs.lifecycle_status(S.outcome_log(spark, sf_dir)).select("process", "status").checkpoint()
+    procs = status.select("process")
+    return runs.may_run(procs, process_edges(procs), status)
 
 
 QUERIES = {
@@ -72,5 +47,4 @@ QUERIES = {
     "lifecycle_audit": lifecycle_audit,
     "run_duration": run_duration,
     "may_run": may_run,
-    "lifecycle_stream": lifecycle_stream,
 }

@@ -8,7 +8,9 @@ JDBC), or a catalog table (``table=`` with ``format=None``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import datetime
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -54,17 +56,12 @@ def write_counted(
     return out
 
 
-def write_if_nonempty(df: DataFrame, path: str | None = None, **kw) -> dict:
-    """Skip the write when ``df`` has no rows (a limit-1 probe), reporting 0.
-
-    The emptiness test comes first: an empty frame is never contract-checked.
-    """
-    name = kw.get("table") or path
-    if df.isEmpty():
-        return {"rows": 0, "table": name, "written": False}
-    out = write_counted(df, path, **kw)
-    out["written"] = True
-    return out
+def drop_partitions(spark: SparkSession, path: str, column: str, values: list[str]) -> None:
+    """Delete whole partitions of a written table through the table's own file system."""
+    jvm = spark._jvm
+    for value in values:
+        where = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={value}")
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def write_months(
@@ -74,29 +71,47 @@ def write_months(
     mode: str = "overwrite",
     cluster_by: list[str] | None = None,
     metrics: list | None = None,
+    rebalance: bool = True,
+    since: datetime.date | None = None,
 ) -> dict:
-    """One partitioned write for all months; with dynamic partition overwrite a
-    rerun replaces exactly the months it writes (idempotent), ``append``
-    reproduces the warehouse's duplicate-on-rerun behaviour.
-
-    Rows are rebalanced on the month first (the ``rebalance`` hint): each task
-    then writes one month, so the file count is about months x (month size /
-    advisory partition size) instead of input tasks x months; AQE splits a
-    month holding a third of the data into advisory-sized tasks and coalesces
-    small ones. Unlike a range repartition there is no sampling pass over the
-    fact. ``cluster_by`` adds columns to the rebalance key (finer spreading).
+    """One partitioned write for all months.
+
+    ``overwrite`` replaces the months it writes (dynamic partition overwrite);
+    with ``since``, the load's first month, it also removes the months from
+    there on that the table still has and this load has not, so that a rerun
+    with fewer months leaves exactly its own. ``append`` reproduces the
+    warehouse's duplicate-on-rerun behaviour.
+
+    Rows are rebalanced on the month first: each task then writes one month, so
+    the file count is about months x (month size / advisory partition size)
+    instead of input tasks x months; AQE splits a month holding a third of the
+    data and coalesces small ones. ``rebalance=False`` leaves out that shuffle
+    for inputs that arrive split by month. ``cluster_by`` adds columns to the
+    rebalance key (finer spreading).
     """
-    balanced = df.hint("rebalance", month_col, *(cluster_by or []))
-    return write_counted(
-        balanced,
+    spark = df.sparkSession
+    out = write_counted(
+        df.hint("rebalance", month_col, *(cluster_by or [])) if rebalance else df,
         path,
         fmt="parquet",
         mode=mode,
         partition_by=month_col,
-        metrics=metrics,
+        metrics=[*(metrics or []), F.collect_set(F.date_format(month_col, "yyyy-MM-dd")).alias("_written")],
         # Per write, so a rerun replaces only its months whatever the session says.
         options={"partitionOverwriteMode": "dynamic"},
     )
+    written = set(out.pop("_written", None) or [])
+    if mode == "overwrite" and since is not None:
+        # One row per month of the table.
+        had = spark.read.parquet(path).select(F.date_format(month_col, "yyyy-MM-dd").alias("m")).distinct().collect() if written or _has_files(spark, path) else []
+        drop_partitions(spark, path, month_col, sorted(r.m for r in had if r.m and r.m >= since.isoformat() and r.m not in written))
+    return out
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(where) and any("=" in s.getPath().getName() for s in fs.listStatus(where))
 
 
 def jdbc_options(url: str, table: str, driver: str | None = None, **extra) -> dict:

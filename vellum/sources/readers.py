@@ -81,10 +81,21 @@ def read_parquet(spark: SparkSession, path: str, **options) -> DataFrame:
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
+_COMMA_NUMBER = r"^\s*[-+]?(\d{1,3}(\.\d{3})+|\d+)(,\d+)?\s*$"
+_INTEGER = r"^\s*-?\d+\s*$"
+
+
 def _decimal_comma_to_number(c):
-    # "1.234,25" -> "1234.25": drop thousands dots, then comma -> dot.
-    s = F.trim(c)
-    return F.regexp_replace(F.regexp_replace(s, r"\.", ""), ",", ".")
+    """"1.234,25" -> "1234.25"; NULL for text that is not in the comma form, such as "1.5"."""
+    plain = F.regexp_replace(F.regexp_replace(F.trim(c), r"\.", ""), ",", ".")
+    return F.when(c.rlike(_COMMA_NUMBER), plain)
+
+
+def has_open_quotes(spark: SparkSession, path: str, quote: str = '"') -> bool:
+    """Whether some line holds an odd number of quotes, as a line break inside quotes leaves behind."""
+    lines = spark.read.text(path)
+    odd = (F.length("value") - F.length(F.replace(F.col("value"), F.lit(quote), F.lit("")))) % 2 == 1
+    return not lines.where(odd).isEmpty()
 
 
 def read_csv(
@@ -96,47 +107,60 @@ def read_csv(
     header: bool = True,
     contract: dict[str, str] | None = None,
     schema: T.StructType | None = None,
+    multi_line: bool | None = None,
+    with_failures: bool = False,
     **options,
 ) -> DataFrame:
-    """CSV scan with the decimal comma on by default.
-
-    Spark's CSV parser reads ``1,5`` as NULL for a double, so numbers are read
-    as text and converted with column expressions. Types come from
-    ``contract`` / ``schema`` when given; otherwise text columns whose every
-    non-empty value is a number are converted (one aggregation pass, the same
-    cost as Spark's own ``inferSchema``), integers to bigint and others to
-    double. Without ``decimal_comma`` Spark's own inference is used.
+    """CSV scan, quotes doubled inside quoted values, with the decimal comma on by default.
+
+    Numbers are read as text and converted with column expressions. With
+    ``contract`` / ``schema`` a value that is not a number of the expected form
+    (with ``decimal_comma``: grouped or plain digits and a comma, so never
+    "1.5") becomes NULL; ``with_failures`` adds ``_cast_failures``, how many
+    values of the row did. Columns are matched by header name, or by position
+    when ``header`` is False. Without a contract, text columns whose every
+    non-empty value is a number are converted (one aggregation pass, the cost
+    of Spark's own inference), integers to bigint and others to double; without
+    ``decimal_comma`` Spark's own inference is used.
+
+    ``multi_line``: values may hold line breaks. Files are then read whole by
+    one task each instead of being split, so it is decided by a look at the
+    lines (any with an odd number of quotes) unless True or False is given.
     """
     if contract is not None:
         schema = T.StructType([T.StructField(n, spark_type(t), True) for n, t in contract.items()])
+    if multi_line is None:
+        multi_line = has_open_quotes(spark, path, options.get("quote", '"'))
     reader = spark.read.option("header", str(header).lower()).option("sep", separator)
+    reader = reader.option("quote", '"').option("escape", '"').option("multiLine", str(multi_line).lower())
     for k, v in options.items():
         reader = reader.option(k, v)
 
     if schema is not None:
-        # Columns are matched by header name (a user schema in Spark's CSV
-        # reader would be matched by position); read text, then convert.
+        # Read as text: a schema in Spark's own CSV reader would be matched by position and count no failures.
         raw = reader.csv(path)
-        cols = []
-        for f in schema.fields:
-            c = F.col(f"`{f.name}`")
+        cols, failures = [], F.lit(0)
+        for i, f in enumerate(schema.fields):
+            text = F.col(f"`{f.name if header else raw.columns[i]}`")
+            c = text
             if decimal_comma and isinstance(f.dataType, _NUMERIC):
                 c = _decimal_comma_to_number(c)
-            cols.append(guarded_try_cast(c, f.dataType).alias(f.name))
-        return raw.select(*cols)
+            cast = guarded_try_cast(c, f.dataType)
+            cols.append(cast.alias(f.name))
+            failures = failures + F.when(text.isNotNull() & cast.isNull(), 1).otherwise(0)
+        return raw.select(*cols, *([failures.alias("_cast_failures")] if with_failures else []))
     if not decimal_comma:
         return reader.option("inferSchema", "true").csv(path)
 
     raw = reader.csv(path)
-    int_pat, num_pat = r"^\s*-?\d+\s*$", r"^\s*-?(\d{1,3}(\.\d{3})+|\d+)(,\d+)?\s*$"
     # One aggregation: per column, how many non-empty values are not numbers
     # / not integers, and how many are non-empty at all.
     probes = []
     for i, name in enumerate(raw.columns):
         c = F.col(f"`{name}`")
         present = c.isNotNull() & (F.trim(c) != "")
-        probes.append(F.count_if(present & ~c.rlike(num_pat)).alias(f"num{i}"))
-        probes.append(F.count_if(present & ~c.rlike(int_pat)).alias(f"int{i}"))
+        probes.append(F.count_if(present & ~c.rlike(_COMMA_NUMBER)).alias(f"num{i}"))
+        probes.append(F.count_if(present & ~c.rlike(_INTEGER)).alias(f"int{i}"))
         probes.append(F.count_if(present).alias(f"any{i}"))
     stats = raw.agg(*probes).first().asDict()
     cols = []
@@ -172,10 +196,11 @@ def override_source(spark: SparkSession, relation: str, df: DataFrame) -> None:
     df.createOrReplaceTempView(relation)
 
 
-def read_target(spark: SparkSession, path: str, sql: str | None = None, **args) -> DataFrame:
-    """Read a written target back, optionally through SQL over it: the table
-    is ``{target}`` in ``sql``; named ``:params`` come from ``args``."""
-    target = spark.read.parquet(path)
+def read_target(spark: SparkSession, path: str | None = None, sql: str | None = None, *, table: str | None = None, **args) -> DataFrame:
+    """Read a written target (a Parquet path or a named table) back, optionally
+    through SQL over it: the table is ``{target}`` in ``sql``; named
+    ``:params`` come from ``args``."""
+    target = spark.table(table) if table is not None else spark.read.parquet(path)
     if sql is None:
         return target
     return spark.sql(sql, args=args or None, target=target)

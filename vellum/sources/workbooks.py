@@ -10,11 +10,6 @@ date columns), so the typing step stays in the JVM.
 A workbook holds at most 1,048,576 rows by the format's own limit, so one
 file is a bounded unit of work for one task; its rows are streamed from the
 sheet XML and handed back in chunks of 100,000, so a task holds one chunk.
-
-``write_workbooks`` is the inverse, used to derive workbook folders from
-tables: every Arrow batch of every partition becomes one workbook, written
-by the executor through ``pyarrow.fs`` (local, HDFS or object storage), with
-deterministic names so a retried task overwrites its own files.
 """
 
 from __future__ import annotations
@@ -25,7 +20,6 @@ import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
-from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +28,7 @@ from pyspark.sql import types as T
 
 from vellum.contracts import spark_type
 from vellum.functions.casts import guarded_try_cast
+from vellum.session import ship_package
 
 _M = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -52,7 +47,29 @@ def _col_number(ref: str) -> int:
 
 
 def _text_of(elem) -> str:
-    return "".join(t.text or "" for t in elem.iter(f"{_M}t"))
+    """The text of a string item: its own or its runs', without phonetic hints (``rPh``)."""
+    return "".join(t.text or "" for t in [*elem.findall(f"{_M}t"), *elem.findall(f"{_M}r/{_M}t")])
+
+
+# Built-in number formats that show dates or times (fixed values of the file format).
+_DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+
+
+def _date_styles(z: zipfile.ZipFile) -> set[str]:
+    """Numbers of the cell styles that show dates."""
+    if "xl/styles.xml" not in z.namelist():
+        return set()
+    root = ET.fromstring(z.read("xl/styles.xml"))
+    plain = re.compile(r'"[^"]*"|\\.|\[[^\]]*\]')
+    custom = {f.get("numFmtId") for f in root.iter(f"{_M}numFmt") if re.search("[ymdhYMDH]", plain.sub("", f.get("formatCode", "")))}
+    styles = root.findall(f"{_M}cellXfs/{_M}xf")
+    return {str(i) for i, x in enumerate(styles) if x.get("numFmtId") in custom or int(x.get("numFmtId", 0)) in _DATE_FORMATS}
+
+
+def _date_text(serial: str) -> str:
+    """A day serial as ISO text, with the time where there is one."""
+    t = _dt.datetime(1899, 12, 30) + _dt.timedelta(seconds=round(float(serial) * 86400))
+    return t.date().isoformat() if t.time() == _dt.time() else t.isoformat(sep=" ")
 
 
 def _sheet_path(z: zipfile.ZipFile, sheet: str | int | None = None) -> str:
@@ -80,6 +97,7 @@ def iter_sheet_rows(content: bytes, sheet: str | int | None = None) -> Iterator[
     """Rows of a sheet (default: the first) as lists of cell text (None for
     empty cells)."""
     z = zipfile.ZipFile(io.BytesIO(content))
+    dates = _date_styles(z)
     shared: list[str] = []
     if "xl/sharedStrings.xml" in z.namelist():
         for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_M}si"):
@@ -105,6 +123,8 @@ def iter_sheet_rows(content: bytes, sheet: str | int | None = None) -> Iterator[
                     val = None
                 else:
                     val = v.text if v is not None else None
+                    if val is not None and kind == "n" and c.get("s") in dates:
+                        val = _date_text(val)
                 cells[idx] = val
             width = max(cells) + 1 if cells else 0
             yield [cells.get(i) for i in range(width)]
@@ -114,6 +134,14 @@ def iter_sheet_rows(content: bytes, sheet: str | int | None = None) -> Iterator[
 _CHUNK_ROWS = 100_000
 
 
+def _header(path: str, rows: Iterator[list[str | None]]) -> list[str] | None:
+    """The header row; repeated or missing names are refused, as their columns could not be told apart."""
+    header = next(rows, None)
+    if header is not None and (None in header or "" in header or len(set(header)) < len(header)):
+        raise ValueError(f"{path}: the header row has repeated or empty names: {header}")
+    return header
+
+
 def _parse_batches(columns: list[str], sheet: str | int | None = None):
     """Rows of each file, yielded in chunks of at most ``_CHUNK_ROWS`` so a
     task never holds more than one chunk of parsed cells."""
@@ -123,10 +151,10 @@ def _parse_batches(columns: list[str], sheet: str | int | None = None):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 rows = iter_sheet_rows(bytes(content), sheet)
-                header = next(rows, None)
+                header = _header(path, rows)
                 if header is None:
                     continue
-                pos = {name: i for i, name in enumerate(header) if name is not None}
+                pos = {name: i for i, name in enumerate(header)}
                 out = {n: [] for n in names}
                 for n, row in enumerate(rows, start=1):
                     if not any(v not in (None, "") for v in row):
@@ -148,15 +176,35 @@ def _parse_batches(columns: list[str], sheet: str | int | None = None):
 def _headers(sheet: str | int | None = None):
     def heads_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            heads = []
-            for content in pdf["content"]:
-                first = next(iter_sheet_rows(bytes(content), sheet), None) or []
-                heads.append([h for h in first if h is not None])
-            yield pd.DataFrame({"header": heads})
+            for path, content in zip(pdf["path"], pdf["content"]):
+                names = _header(path, iter_sheet_rows(bytes(content), sheet)) or []
+                yield pd.DataFrame({"path": path, "position": range(len(names)), "name": names})
 
     return heads_of
 
 
+def _inferred(text: DataFrame, columns: list[str]) -> list:
+    """Typed columns: bigint, double, boolean, date or timestamp where every value of a column has that form, else text."""
+    forms = {
+        "bigint": r"^-?\d{1,18}$",
+        "double": r"^-?\d+(\.\d+)?([eE][-+]?\d+)?$",
+        "boolean": r"^(true|false)$",
+        "date": r"^\d{4}-\d\d-\d\d$",
+        "timestamp_ntz": r"^\d{4}-\d\d-\d\d( \d\d:\d\d:\d\d)?$",
+    }
+    probes = []
+    for i, name in enumerate(columns):
+        c = F.col(f"`{name}`")
+        probes.append(F.count(c).alias(f"n{i}"))
+        probes += [F.count_if(c.rlike(form)).alias(f"{kind}{i}") for kind, form in forms.items()]
+    seen = text.agg(*probes).first().asDict() if columns else {}
+    out = []
+    for i, name in enumerate(columns):
+        kind = next((k for k in forms if seen[f"n{i}"] and seen[f"{k}{i}"] == seen[f"n{i}"]), "string")
+        out.append(F.col(f"`{name}`").try_cast(kind).alias(name))
+    return out
+
+
 def _typed(c, dt: T.DataType):
     if isinstance(dt, T.StringType):
         return c
@@ -184,9 +232,12 @@ def read_workbooks(
 
     ``sheet``: the sheet to read in every workbook -- None for the first, a
     1-based position, or a name. Columns: ``contract`` (typed), else
-    ``columns`` (text), else the union of the headers found (one small
-    distinct pass over the files' header rows).
+    ``columns`` (text), else the union of the headers found (a pass over the
+    files' header rows), with types inferred from all values (one aggregation).
+    Dates come as dates by their cells' number format. A header row with
+    repeated or empty names is an error.
     """
+    ship_package(spark)
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
@@ -194,158 +245,20 @@ def read_workbooks(
         .load(path)
         .select("path", "content")
     )
+    infer = False
     if contract is not None:
         columns = list(contract)
     if columns is None:
-        seen: list[str] = []
-        for row in files.mapInPandas(_headers(sheet), "header array<string>").distinct().collect():
-            for h in row.header:
-                if h not in seen:
-                    seen.append(h)
-        columns = seen
+        # One row per column name, in the order of the files' paths and of the columns in them.
+        heads = files.mapInPandas(_headers(sheet), "path string, position int, name string")
+        first = heads.groupBy("name").agg(F.min(F.struct("path", "position")).alias("at")).orderBy("at")
+        columns = [r.name for r in first.select("name").collect()]
+        infer = True
     schema = "_file string, _row bigint" + "".join(f", `{c}` string" for c in columns)
     text = files.mapInPandas(_parse_batches(columns, sheet), schema)
     if contract is not None:
         typed = [_typed(F.col(f"`{c}`"), spark_type(t)).alias(c) for c, t in contract.items()]
     else:
-        typed = [F.col(f"`{c}`") for c in columns]
+        typed = _inferred(text, columns) if infer else [F.col(f"`{c}`") for c in columns]
     extra = [F.col("_file"), F.col("_row")] if with_source else []
     return text.select(*extra, *typed)
-
-
-# ---- writing ---------------------------------------------------------------
-
-
-def _cell_ref(col: int, row: int) -> str:
-    letters = ""
-    col += 1
-    while col:
-        col, rem = divmod(col - 1, 26)
-        letters = chr(65 + rem) + letters
-    return f"{letters}{row}"
-
-
-_CONTENT_TYPES = (
-    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-    '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-    '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-    '<Default Extension="xml" ContentType="application/xml"/>'
-    '<Override PartName="/xl/workbook.xml" '
-    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
-    '<Override PartName="/xl/worksheets/sheet1.xml" '
-    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
-    '<Override PartName="/xl/styles.xml" '
-    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>'
-    "</Types>"
-)
-_ROOT_RELS = (
-    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-    '<Relationship Id="rId1" '
-    'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" '
-    'Target="xl/workbook.xml"/></Relationships>'
-)
-_WORKBOOK = (
-    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-    '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
-    'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
-    '<sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>'
-)
-_WORKBOOK_RELS = (
-    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-    '<Relationship Id="rId1" '
-    'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" '
-    'Target="worksheets/sheet1.xml"/>'
-    '<Relationship Id="rId2" '
-    'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/styles" '
-    'Target="styles.xml"/></Relationships>'
-)
-# Style 1 = built-in number format 14 (a short date).
-_STYLES = (
-    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-    '<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
-    '<fonts count="1"><font/></fonts><fills count="1"><fill/></fills>'
-    '<borders count="1"><border/></borders>'
-    '<cellStyleXfs count="1"><xf/></cellStyleXfs>'
-    '<cellXfs count="2"><xf/><xf numFmtId="14" applyNumberFormat="1"/></cellXfs>'
-    "</styleSheet>"
-)
-_BAD_XML = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f]")
-
-
-def _cell(ref: str, v) -> str:
-    if v is None or (isinstance(v, float) and v != v):
-        return ""
-    if isinstance(v, bool):
-        return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
-    if isinstance(v, (int, float)):
-        return f'<c r="{ref}"><v>{repr(v) if isinstance(v, float) else v}</v></c>'
-    if isinstance(v, (_dt.date, pd.Timestamp)) and not isinstance(v, _dt.datetime):
-        return f'<c r="{ref}" s="1"><v>{(v - _EXCEL_EPOCH).days}</v></c>'
-    text = escape(_BAD_XML.sub("", str(v)))
-    return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{text}</t></is></c>'
-
-
-def workbook_bytes(header: list[str], rows: list[tuple]) -> bytes:
-    """A one-sheet .xlsx (inline strings; dates as day serials with a date style)."""
-    lines = ['<row r="1">' + "".join(_cell(_cell_ref(i, 1), h) for i, h in enumerate(header)) + "</row>"]
-    for r, row in enumerate(rows, start=2):
-        lines.append(f'<row r="{r}">' + "".join(_cell(_cell_ref(i, r), v) for i, v in enumerate(row)) + "</row>")
-    sheet = (
-        '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-        '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
-        + "".join(lines)
-        + "</sheetData></worksheet>"
-    )
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("[Content_Types].xml", _CONTENT_TYPES)
-        z.writestr("_rels/.rels", _ROOT_RELS)
-        z.writestr("xl/workbook.xml", _WORKBOOK)
-        z.writestr("xl/_rels/workbook.xml.rels", _WORKBOOK_RELS)
-        z.writestr("xl/styles.xml", _STYLES)
-        z.writestr("xl/worksheets/sheet1.xml", sheet)
-    return buf.getvalue()
-
-
-def _arrow_uri(folder: str) -> str:
-    if folder.startswith("file:") and not folder.startswith("file://"):
-        return "file://" + folder[len("file:"):]
-    return folder
-
-
-def write_workbooks(df: DataFrame, folder: str, books: int | None = None) -> DataFrame:
-    """Lazily write ``df`` as workbooks under ``folder``; returns (path, rows)
-    per written file -- trigger it with an action.
-
-    One workbook per Arrow batch of each partition; ``books`` spreads the
-    rows round-robin over that many partitions first (for inputs that arrive
-    in few, large partitions).
-    """
-    if books:
-        df = df.repartition(books)
-    header = df.columns
-    uri = _arrow_uri(folder)
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow.fs as pafs
-        from pyspark import TaskContext
-
-        fs, base = pafs.FileSystem.from_uri(uri)
-        fs.create_dir(base, recursive=True)
-        part = TaskContext.get().partitionId()
-        for b, pdf in enumerate(batches):
-            cols = []
-            for c in pdf.columns:
-                values = pdf[c].tolist()
-                cols.append([None if (not isinstance(v, str) and pd.isna(v)) else v for v in values])
-            rows = [
-                tuple(v.date() if isinstance(v, pd.Timestamp) else v for v in rec) for rec in zip(*cols)
-            ]
-            name = f"{base}/part-{part:05d}-{b:05d}.xlsx"
-            with fs.open_output_stream(name) as fh:
-                fh.write(workbook_bytes(header, rows))
-            yield pd.DataFrame({"path": [name], "rows": [len(rows)]})
-
-    return df.mapInPandas(write, "path string, rows bigint")
