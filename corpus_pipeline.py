@@ -26,10 +26,7 @@ QUALITY_AT_LEAST = quality.THRESHOLD
 TOXIC_FROM = toxicity.THRESHOLD
 
 
-def _judged(docs: DataFrame, scored) -> DataFrame:
-    """All columns and ``_score``, whatever the columns are called."""
-    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
-    return scored(plain, f"_c{docs.columns.index('text')}").withColumnRenamed("score", "_score")
+#: Inside a stage the columns are called _c0, _c1, ..., so that no name of the input can clash with one used there.
 
 
 def _named(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -39,15 +36,16 @@ def _named(rows: DataFrame, docs: DataFrame) -> DataFrame:
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble does not reject (score of 0.5 or more)."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    rows = _judged(docs, lambda d, text: quality.scored(d, model, text))
-    return _named(rows.where(F.col("_score") >= QUALITY_AT_LEAST), docs)
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    return _named(quality.accepted(plain, model, f"_c{docs.columns.index('text')}", QUALITY_AT_LEAST), docs)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the n-gram classifier does not call toxic (score below 0.7)."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    rows = _judged(docs, lambda d, text: toxicity.scored(d, model, text))
-    return _named(rows.where(F.col("_score") < TOXIC_FROM), docs)
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    rows = toxicity.scored(plain, model, f"_c{docs.columns.index('text')}")
+    return _named(rows.where(F.col("score") < TOXIC_FROM), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

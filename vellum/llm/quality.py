@@ -201,6 +201,20 @@ def scored(docs: DataFrame, model: RuleModel, text_col: str = "text", keep: list
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(names)], model.score().alias("score"))
 
 
+def accepted(docs: DataFrame, model: RuleModel, text_col: str = "text", at_least: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, with their columns.
+
+    Written with a generator: a plain filter would be pushed below the
+    statistics, with their expressions copied into it for every test of every rule.
+    """
+    prepare(docs.sparkSession)
+    out = with_statistics(docs, text_col, [F.col(f"`{c}`") for c in docs.columns])
+    names = [F.col(f"_k{i}").alias(c) for i, c in enumerate(docs.columns)]
+    score = model.score()
+    passed = out.select(*[f"_k{i}" for i in range(len(names))], F.explode(F.when(score >= at_least, F.array(F.lit(True)))).alias("_pass"))
+    return passed.select(*names)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document by the rules learnt from the training part of the labels."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
