@@ -134,7 +134,7 @@ def main():
     for name, skew_join in (("smj", "false"), ("smj+aqe", "true")):
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", skew_join)
         spark.sparkContext.setJobGroup(name, name)
-        flat_fact(prem, org, "cod_organizador", max_broadcast_rows=0).write.format("noop").mode(
+        flat_fact(prem, org, "cod_organizador").write.format("noop").mode(
             "overwrite"
         ).save()
     spark.sparkContext.setJobGroup("done", "done")
