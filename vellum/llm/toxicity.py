@@ -44,7 +44,7 @@ THRESHOLD = 0.7
 ORDERS = (3, 4, 5, 6)
 BITS = 20
 FEATURES = 4096
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 _MULTIPLIER = np.uint32(0x01000193)
 _LOWER = np.arange(256, dtype=np.uint8)
