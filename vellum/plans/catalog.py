@@ -30,7 +30,7 @@ from vellum.operators.months import month_counts, month_prefix_by_key
 from vellum.plans import jobs
 from vellum.plans import standins as S
 from vellum.session import shared_dir
-from vellum.sources.readers import override_source, preview, read_csv, read_parquet, read_target
+from vellum.sources.readers import overridden_source, preview, read_csv, read_parquet, read_target
 from vellum.plans.workbook_files import write_workbooks
 from vellum.sources.workbooks import read_workbooks
 
@@ -283,9 +283,9 @@ def source_override(spark, sf_dir):
     # The source's columns are the contract's under their old names.
     schema_contract = {old: C.DIM_COBERTURAS_AUT[new] for old, new in jobs.MOTOR_COVERAGES_RENAMES.items()}
     csv_copy = read_csv(spark, path, decimal_comma=False, contract=schema_contract)
-    override_source(spark, jobs.MOTOR_COVERAGES_SOURCE, csv_copy)
-    # No sources given: the job resolves its relation by name, i.e. the override.
-    return jobs.build_motor_coverages(spark)
+    with overridden_source(spark, jobs.MOTOR_COVERAGES_SOURCE, csv_copy):
+        # No sources given: the job resolves its relation by name, i.e. the override.
+        return jobs.build_motor_coverages(spark)
 
 
 def workbook_folder(spark, sf_dir):

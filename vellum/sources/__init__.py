@@ -3,6 +3,7 @@
 from vellum.sources.readers import (
     jdbc_url,
     month_predicates,
+    overridden_source,
     override_source,
     preview,
     read_csv,
@@ -16,6 +17,7 @@ from vellum.sources.workbooks import read_workbooks
 __all__ = [
     "jdbc_url",
     "month_predicates",
+    "overridden_source",
     "override_source",
     "preview",
     "read_csv",

@@ -8,6 +8,9 @@ one per month) or a numeric ``partition_column`` with bounds.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -196,6 +199,16 @@ def override_source(spark: SparkSession, relation: str, df: DataFrame) -> None:
     df.createOrReplaceTempView(relation)
 
 
+@contextmanager
+def overridden_source(spark: SparkSession, relation: str, df: DataFrame) -> Iterator[None]:
+    """``override_source`` for the plans built inside the block; the name is free again afterwards."""
+    override_source(spark, relation, df)
+    try:
+        yield
+    finally:
+        spark.catalog.dropTempView(relation)
+
+
 def read_target(spark: SparkSession, path: str | None = None, sql: str | None = None, *, table: str | None = None, **args) -> DataFrame:
     """Read a written target (a Parquet path or a named table) back, optionally
     through SQL over it: the table is ``{target}`` in ``sql``; named
