@@ -83,7 +83,7 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np
     return h, out_bounds
 
 
-def shingle_sets(column: pa.Array, size: int, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def shingle_sets(column: pa.Array, size: int, limit: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, sorted distinct shingle hashes, each row's bounds) for slices of a text column."""
     flat, offsets = utf8_rows(column)
     for a, b in row_slices(offsets, limit):

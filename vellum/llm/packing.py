@@ -54,11 +54,7 @@ class Encoder:
     """Ids of texts, as ``tokenizers`` gives them (special strings are ordinary text)."""
 
     def __init__(self, json_path: str, rank_path: str | None):
-        from tokenizers import Tokenizer
-
-        self.full = Tokenizer.from_file(json_path)
-        self.full.encode_special_tokens = True
-        self.fast = None
+        self.json_path, self._full, self.fast = json_path, None, None
         if rank_path:
             import public_tokenizers
             import tiktoken
@@ -67,6 +63,16 @@ class Encoder:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @property
+    def full(self):
+        """The JSON file's tokenizer, loaded when a text first needs it."""
+        if self._full is None:
+            from tokenizers import Tokenizer
+
+            self._full = Tokenizer.from_file(self.json_path)
+            self._full.encode_special_tokens = True
+        return self._full
+
     def ids(self, text: str) -> np.ndarray:
         if self.fast is not None and (text.isascii() or not UNPROVEN.search(text)):
             return self.fast.encode_to_numpy(text, disallowed_special=())

@@ -44,7 +44,7 @@ THRESHOLD = 0.7
 ORDERS = (3, 4, 5, 6)
 BITS = 20
 FEATURES = 4096
-SLICE = 1 << 18
+SLICE = 1 << 17
 
 _MULTIPLIER = np.uint32(0x01000193)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -137,15 +137,18 @@ class ToxicityModel:
 
 def _class_counts(bits: int, orders):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << bits), np.int64)
+        counts = np.zeros((2, 1 << bits), np.int32)
         for b in batches:
-            y = np.asarray(b.column("_y").to_numpy(zero_copy_only=False), np.int64)
+            y = np.asarray(b.column("_y").to_numpy(zero_copy_only=False), np.int8)
             for rows, h in distinct_features(b.column("text"), None, orders, bits):
                 np.add.at(counts, (y[rows], h), 1)
-        at = np.flatnonzero(counts.sum(0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at.astype(np.int32)), pa.array(counts[0, at]), pa.array(counts[1, at])], names=["h", "n0", "n1"]
-        )
+        for start in range(0, 1 << bits, 1 << 16):
+            part = counts[:, start : start + (1 << 16)]
+            at = np.flatnonzero(part.any(0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((start + at).astype(np.int32)), pa.array(part[0, at].astype(np.int64)), pa.array(part[1, at].astype(np.int64))],
+                names=["h", "n0", "n1"],
+            )
 
     return run
 
