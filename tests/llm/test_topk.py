@@ -27,7 +27,7 @@ def test_against_brute_force_with_odd_vectors_ties_and_repeats(spark):
     rows += [(500, None), (501, [None] * 6), (600, [float("nan")] * 6), (700, [float("inf")] + [0.0] * 5), (None, [1.0] * 6)]
     rows += [(800, []), (900, [0.0] * 6), (900, [1.0] * 6), (7, [0.5] * 6), (1000, [0.25, 0.5])]
     df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], SCHEMA).repartition(5)
-    got = exact_top_k(df, F.col("vec_id") % 100 == 0, k=10, candidate_block=64, query_block=2)
+    got = exact_top_k(df, F.col("vec_id") % 100 == 0, k=10, candidate_block=(16, 64), query_block=2)
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
     as_floats = [(i, None if v is None else v) for i, v in rows]
     assert sorted(map(tuple, got.collect())) == brute(as_floats, 10)

@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 
 from vellum.llm.common import checkpointed, prepare, session_partitions
 
-CANDIDATE_BLOCK = 8192
-QUERY_BLOCK = 1024
+#: Rows of a block: candidates are cut so that every task has some, within these bounds; a query block
+#: is as large as a task can hold, since candidates are sent once for each.
+CANDIDATE_BLOCK = (2048, 32_768)
+QUERY_BLOCK = 8192
 
 
 def integer_weights(vector: Column, scale: int = 1024) -> Column:
@@ -96,7 +98,7 @@ def exact_top_k(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     scale: int = 1024,
-    candidate_block: int = CANDIDATE_BLOCK,
+    candidate_block: tuple[int, int] = CANDIDATE_BLOCK,
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """The k best other rows of each query row by integer inner product.
@@ -113,7 +115,8 @@ def exact_top_k(
     ).where("_id IS NOT NULL AND _w IS NOT NULL")
     rows = checkpointed(rows)
     counts = rows.agg(F.count("*"), F.count_if("_q")).first()
-    n_cand = max(1, -(-counts[0] // candidate_block))
+    block = min(max(-(-counts[0] // session_partitions(spark)), candidate_block[0]), candidate_block[1])
+    n_cand = max(1, -(-counts[0] // block))
     n_query = max(1, -(-counts[1] // query_block))
     # Every pair of blocks is one group: the query set against all rows, in blocks.
     cand = rows.select("_id", "_w", F.pmod(F.xxhash64("_id"), F.lit(n_cand)).cast("int").alias("_cb"))
