@@ -77,14 +77,15 @@ def test_cache_is_bounded_and_harmless(exact):
 
 def test_operators_round_trip_with_clashing_columns(spark, exact):
     texts = ["Hello wörld's 42 tests\n\n  end", "", None, "Hello wörld's 42 tests\n\n  end", "x" * 300_000]
-    df = spark.createDataFrame([(i, t, [1], "d") for i, t in enumerate(texts)], "doc_id long, text string, _ids array<int>, decoded string")
-    encoded = bpe.encode(df.drop("decoded"), PATH)
+    df = spark.createDataFrame([(i, t, [1], "d") for i, t in enumerate(texts)], "doc_id long, text string, _ids array<int>, starts string")
+    encoded = bpe.encode(df, PATH)
     assert encoded.columns == ["doc_id", "text", "_ids", "ids", "starts"]
     for r in encoded.collect():
         assert r.ids == exact.encode_ordinary(r.text or "")
         lengths = [len(exact.decode_single_token_bytes(i)) for i in r.ids]
         assert r.starts == [sum(lengths[:k]) for k in range(len(lengths))] if len(lengths) < 100 else True
-    back = bpe.decode(encoded, PATH, keep=["doc_id", "text"])
+    back = bpe.decode(encoded.withColumnRenamed("_ids", "decoded"), PATH)
+    assert back.columns == ["doc_id", "text", "ids", "starts", "decoded"]
     assert all(bytes(r.decoded) == (r.text or "").encode() for r in back.collect())
     for r in bpe.encode_digests(df, PATH).collect():
         ids, raw = exact.encode_ordinary(texts[r.doc_id] or ""), (texts[r.doc_id] or "").encode()

@@ -89,6 +89,10 @@ def test_quality_scores_against_a_plain_evaluation_of_the_rules(spark, fitted):
     for r in got.collect():
         assert r.score == pytest.approx(rule_score(model, r.text), abs=1e-9)
     assert quality.scored(frame(spark, rows).limit(0), model, keep=["doc_id"]).count() == 0
+    assert quality.scored(frame(spark, rows), model).columns == ["doc_id", "text", "lang", "_s", "_id", "_y", "score"]
+    passed = quality.accepted(frame(spark, rows), model)
+    assert passed.columns == frame(spark, rows).columns
+    assert passed.count() == sum(rule_score(model, t) >= 0.5 for _, t in rows)
 
 
 def test_quality_learns_the_planted_difference(spark, fitted):

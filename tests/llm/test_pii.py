@@ -91,6 +91,7 @@ def test_operator_with_nulls_long_texts_clashes_and_repeats(spark):
     assert got[1, 1].text is None and got[1, 1].spans == [] and got[2, 2].text == ""
     assert got[3, 3].text == P.replace(rows[2][1])[0] and got[None, 4].text == P.replace(long)[0] != long
     assert [(s.kind, s.start) for s in got[None, 4].spans] == [("card", long.index("4111"))]
+    assert pseudonymise(out, DEMO_KEY).columns == out.columns
     back = restore(out.drop("spans"), DEMO_KEY)
     assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
     assert pseudonymise(df.limit(0), DEMO_KEY).count() == 0

@@ -15,7 +15,8 @@ gathers the tokens' bytes.
 Defined results: a NULL or empty text has no tokens and decodes to no bytes;
 repeated rows are encoded alike; texts of any length are encoded whole (a text
 longer than a slice is a slice of its own); an empty table gives no rows;
-further columns are kept or dropped as asked, also when their names clash.
+further columns are kept or dropped as asked, whatever their names; only those
+called like a result (``ids``, ``starts``, ``decoded``) are replaced.
 """
 
 from __future__ import annotations
@@ -365,8 +366,9 @@ def tokenizer(path: str) -> ByteBPE:
 # --- DataFrame operators -------------------------------------------------------
 
 
-def _kept(df: DataFrame, keep: list[str] | None) -> tuple[list[str], list, list[T.StructField]]:
-    names = df.columns if keep is None else keep
+def _kept(df: DataFrame, keep: list[str] | None, made: tuple[str, ...]) -> tuple[list[str], list, list[T.StructField]]:
+    """Names, renamed columns and fields of what stays; columns of the names made here are replaced."""
+    names = [c for c in (df.columns if keep is None else keep) if c not in made]
     return names, [F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(names)], [
         T.StructField(f"_k{i}", df.schema[c].dataType) for i, c in enumerate(names)
     ]
@@ -375,7 +377,7 @@ def _kept(df: DataFrame, keep: list[str] | None) -> tuple[list[str], list, list[
 def encode(df: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Kept columns (all by default), ``ids`` and ``starts`` (byte offset of each token in its text)."""
     prepare(df.sparkSession)
-    names, columns, fields = _kept(df, keep)
+    names, columns, fields = _kept(df, keep, ("ids", "starts"))
     n = len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,7 +399,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", keep: list[str] | N
 def decode(df: DataFrame, path: str, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """Kept columns (all by default) and ``decoded`` (binary): the bytes of each row's tokens."""
     prepare(df.sparkSession)
-    names, columns, fields = _kept(df, keep)
+    names, columns, fields = _kept(df, keep, ("decoded",))
     n = len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,8 @@ their validation are left alone.
 
 Defined results: a NULL text stays NULL and has no values; an empty text has
 none; repeated rows are treated alike; an empty table gives no rows; all
-columns are kept, whatever their names; texts of any length are scanned whole.
+columns are kept, whatever their names (an older column of the name asked for
+the spans is replaced); texts of any length are scanned whole.
 """
 
 from __future__ import annotations
@@ -468,7 +469,7 @@ def pseudonymise(df: DataFrame, key: bytes, text_col: str = "text", spans_col: s
 
     fields = [T.StructField(f"_k{i}", df.schema[i].dataType) for i in range(len(names))]
     done = df.toDF(*out_names[:-1]).mapInArrow(run, T.StructType([*fields, T.StructField("_spans", SPANS)]))
-    kept = [F.col(f"_k{i}").alias(c) for i, c in enumerate(names)]
+    kept = [F.col(f"_k{i}").alias(c) for i, c in enumerate(names) if c != spans_col]
     return done.select(*kept, *([F.col("_spans").alias(spans_col)] if spans_col else []))
 
 

@@ -194,9 +194,9 @@ def fit(
 
 
 def scored(docs: DataFrame, model: RuleModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Kept columns (all by default) and ``score``: a narrow pass."""
+    """Kept columns (all by default, but an older ``score``) and ``score``: a narrow pass."""
     prepare(docs.sparkSession)
-    names = docs.columns if keep is None else keep
+    names = [c for c in (docs.columns if keep is None else keep) if c != "score"]
     out = with_statistics(docs, text_col, [F.col(f"`{c}`") for c in names])
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(names)], model.score().alias("score"))
 

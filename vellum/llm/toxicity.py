@@ -18,7 +18,8 @@ score of the intercept alone; repeated rows get equal scores, row by row; a
 NULL id is scored and held out of nothing. Without training rows, or with one
 class only, every score is the smoothed rate of the training labels (0.5 if
 there are none). Very long texts are hashed in slices that overlap by the
-longest order, so memory is bounded and no n-gram is lost.
+longest order, so memory is bounded and no n-gram is lost. Further columns are
+kept as they are, whatever their names; only an older ``score`` is replaced.
 """
 
 from __future__ import annotations
@@ -227,9 +228,9 @@ def fit(
 
 
 def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Kept columns (all by default) and ``score``; a narrow pass over whole texts."""
+    """Kept columns (all by default, but an older ``score``) and ``score``; a narrow pass over whole texts."""
     prepare(docs.sparkSession)
-    names = docs.columns if keep is None else keep
+    names = [c for c in (docs.columns if keep is None else keep) if c != "score"]
     position = len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
