@@ -35,7 +35,8 @@ THRESHOLD = 0.93
 SAMPLE_PER_GROUP = 8192
 CELL_TARGET = 2048
 MOST_CELLS = 512
-BLOCK = 1024
+#: Points of a block: the larger, the fewer times a point is sent.
+BLOCK = 4096
 #: Wider than rounding: a pair is never kept apart by the border test's own arithmetic.
 SLACK = 1e-9
 
@@ -117,7 +118,8 @@ def _compare(threshold: float):
         out = {"_p": [], "_q": [], "_links": []}
         if len(natives) and len(others):
             x, y = unit_rows(others["_v"]), unit_rows(natives["_v"])
-            linked = x @ y.T >= threshold
+            # A few hundred rows at a time: the products are bounded, only the links of the block pair are held.
+            linked = np.concatenate([x[i : i + 512] @ y.T >= threshold for i in range(0, len(x), 512)])
             p, q = others["_p"].to_numpy(np.int64), natives["_p"].to_numpy(np.int64)
             linked &= p[:, None] != q[None, :]
             counts = linked @ natives["_m"].to_numpy(np.int64)
