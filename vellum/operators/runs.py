@@ -31,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.session import ensure_checkpoint_dir
+
 IDLE, RUNNING, SUCCESS, FAILED = "IDLE", "RUNNING", "SUCCESS", "FAILED"
 CYCLE = (IDLE, RUNNING, SUCCESS)
 
@@ -146,6 +148,7 @@ def lifecycle_audit(
     if checkpoint:
         # Freezes the partition ids together with the slice-local running
         # values, so that the windows run once for both uses below.
+        ensure_checkpoint_dir(local.sparkSession)
         local = local.checkpoint(eager=True)
     slices = local.groupBy("_part", key).agg(
         F.max("_lf").alias("_sf"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vellum.operators import runs
 from vellum.plans import standins as S
+from vellum.session import ensure_checkpoint_dir
 
 
 def process_edges(procs: DataFrame) -> DataFrame:
@@ -35,6 +36,7 @@ def run_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def may_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
     # Processes and edges come from the status table, one row per process; written once, as it is used four times.
     status = runs.lifecycle_status(S.outcome_log(spark, sf_dir)).select("process", "status").checkpoint()
     procs = status.select("process")
