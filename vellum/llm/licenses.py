@@ -10,6 +10,15 @@ sparse weights, held as constant maps. Scanning is a narrow pass without a
 shuffle. A file's own licence is the template of its best window if that
 reaches the threshold (ties to the smaller template name).
 
+Beside these one-line notices, the usual wordings (titles, SPDX tags, standard
+headers, the characteristic passages of full texts) are looked for: titles as
+whole lines, all others in the words of the text, whose lines are joined for it,
+by windows of about the wording's own length around each anchor. A wording also
+needs its numbers and names (2, 0, apache) in the window, and no rival's
+(lesser, affero). A stated licence goes before a family without a version
+(GPL-1.0-or-later) or a text that others include (BSD-2-Clause), and these
+before the mere reservation of rights.
+
 A directory's licence is that of its licence files (LICENSE, COPYING, NOTICE
 by name, or a given condition; best score, ties to the larger name). Distinct
 directories, not files, are exploded into their ancestors and joined by path;
@@ -22,6 +31,7 @@ row; an empty table gives no rows; further columns are kept where asked.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -47,6 +57,86 @@ TEMPLATES = {
     "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
     "proprietary": "All rights reserved.",
 }
+#: Names by which licences go, in the notation of the templates' keys.
+CALLED = {
+    "AGPL-3.0": ("GNU Affero General Public License, version 3", "GNU AGPL version 3", "AGPL v3 License"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache Software License 2.0"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "Simplified BSD License", "2-Clause Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "New BSD License", "Modified BSD License", "3-Clause New BSD License"),
+    "CC-BY-4.0": ("Creative Commons Attribution 4.0 International License", "CC BY 4.0 License"),
+    "CC-BY-NC-4.0": ("Creative Commons Attribution-NonCommercial 4.0 International License", "CC BY-NC 4.0 License"),
+    "CC-BY-SA-4.0": ("Creative Commons Attribution-ShareAlike 4.0 International License", "CC BY-SA 4.0 License"),
+    "CC0-1.0": ("CC0 1.0 Universal License", "Creative Commons CC0 1.0 Public Domain Dedication"),
+    "GPL-2.0": ("GNU General Public License, version 2", "GNU GPL version 2", "GPL v2 License"),
+    "GPL-3.0": ("GNU General Public License, version 3", "GNU GPL version 3", "GPL v3 License"),
+    "ISC": ("ISC License",),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "GNU LGPL version 2.1", "LGPL v2.1 License"),
+    "LGPL-3.0": ("GNU Lesser General Public License, version 3", "GNU LGPL version 3", "LGPL v3 License"),
+    "MIT": ("MIT License", "The MIT License (MIT)"),
+    "MPL-2.0": ("Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "MPL 2.0 License"),
+    "Unlicense": ("The Unlicense", "Unlicense License"),
+}
+_GNU = "under the terms of the GNU {}General Public License as published by the Free Software Foundation"
+#: Standard headers, and passages that tell full texts.
+PASSAGES = {
+    "AGPL-1.0-or-later": (_GNU.format("Affero "), "it under the terms of the GNU Affero General Public License as published by"),
+    "AGPL-3.0": (_GNU.format("Affero ") + ", either version 3 of the License, or (at your option) any later version.",
+                 "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    "Apache-2.0": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "under the Apache License, Version 2.0 (the \"License\")",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+    ),
+    "BSD-2-Clause": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",),
+    "BSD-3-Clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission",
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    ),
+    "GPL-1.0-or-later": (_GNU.format(""), "it under the terms of the GNU General Public License as published by"),
+    "GPL-2.0": (_GNU.format("") + "; either version 2 of the License, or (at your option) any later version.", _GNU.format("") + "; version 2 of the License.",
+                "it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+                "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    "GPL-3.0": (_GNU.format("") + ", either version 3 of the License, or (at your option) any later version.", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+            "copyright notice and this permission notice appear in all copies.",),
+    "LGPL-2.0-or-later": (_GNU.format("Lesser "), "it under the terms of the GNU Lesser General Public License as published by"),
+    "LGPL-2.1": (_GNU.format("Lesser ") + "; either version 2.1 of the License, or (at your option) any later version.",
+                 "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    "LGPL-3.0": (_GNU.format("Lesser ") + ", either version 3 of the License, or (at your option) any later version.",
+                 "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    "MIT": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell copies of the Software",
+    ),
+    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Mozilla Public License Version 2.0"),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+}
+SPDX = {
+    **{name: (name,) for name in CALLED},
+    **{f"{g}-{v}": (f"{g}-{v}", f"{g}-{v}-only", f"{g}-{v}-or-later")
+       for g, v in (("AGPL", "3.0"), ("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.1"), ("LGPL", "3.0"))},
+}
+#: What others include or say more exactly; the rest goes before.
+GENERAL = {"proprietary": 0, "AGPL-1.0-or-later": 1, "GPL-1.0-or-later": 1, "LGPL-2.0-or-later": 1, "BSD-2-Clause": 1}
+_TELLING = {"mit", "apache", "mozilla", "mpl", "bsd", "isc", "gnu", "gpl", "lgpl", "agpl", "lesser", "affero", "cc", "cc0", "unlicense", "creative",
+            "sa", "nc", "sharealike", "noncommercial", "simplified", "new", "modified", "v2", "v3", "style"}
+_RIVALS = {"lesser", "library", "affero", "lgpl", "agpl", "nc", "sa", "nd", "sharealike", "noncommercial", "noderivatives", "noderivs"}
+_LICENSES = tuple((name, text) for name, texts in CALLED.items() for text in texts)
+#: A name that says no license needs a word that does.
+TITLES = tuple((name, text if "licen" in text.lower() else f"License: {text}") for name, text in _LICENSES)
+WORDINGS = (
+    *TEMPLATES.items(),
+    *(
+        (name, f"{'' if 'licen' in text.lower() else 'licensed '}{lead} the {text.removeprefix('The ')}")
+        for name, text in _LICENSES
+        for lead in ("under", "under the terms of")
+    ),
+    *((name, f"SPDX-License-Identifier: {tag}") for name, tags in SPDX.items() for tag in tags),
+    *((name, text) for name, texts in PASSAGES.items() for text in texts),
+)
 ANCHORS = ("licen", "copyright", "rights reserved", "spdx", "public domain")
 THRESHOLD = 0.75
 WINDOW = 64
@@ -127,6 +217,126 @@ def own_licence(text: Column, templates: dict[str, str] = TEMPLATES, threshold:
     return F.when(best["score"] >= threshold, F.struct(best["score"].alias("score"), best["template"].alias("template")))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+_WORDING = "struct<name:string,rank:int,order:int,weights:map<string,double>,telling:array<string>,rivals:array<string>>"
+
+
+def _constants(wordings: tuple[tuple[str, str], ...]) -> tuple[Column, float, list[dict]]:
+    """(idf map, idf of any other term, what is compared of each wording); as JSON, a constant stays small in a plan."""
+    idf, other, vectors = weights({i: text for i, (_, text) in enumerate(wordings)})
+    order = {name: -i for i, name in enumerate(sorted({name for name, _ in wordings}))}
+    rows = [
+        {
+            "name": name, "rank": GENERAL.get(name, 2), "order": order[name], "weights": {t: w * idf[t] for t, w in vectors[i].items()},
+            "telling": sorted(t for t in vectors[i] if t.isdigit() or t in _TELLING), "rivals": sorted(_RIVALS - set(vectors[i])),
+        }
+        for i, (name, _) in enumerate(wordings)
+    ]
+    return F.from_json(F.lit(json.dumps(idf)), "map<string,double>"), other, rows
+
+
+def _matches(window: Column, wordings: Column, known: Column, other: float, threshold: float) -> Column:
+    """The greatest struct(rank, score, order, template) of the wordings that a window's words reach the threshold with."""
+
+    def scored(told: Column) -> Column:
+        counts = F.transform(F.array_distinct(window), lambda t: F.struct(t.alias("t"), F.size(F.filter(window, lambda x: x == t)).alias("n")))
+
+        def squared(c: Column) -> Column:
+            w = c["n"] * F.coalesce(F.try_element_at(known, c["t"]), F.lit(other))
+            return w * w
+
+        def one(cs: Column, norm: Column, wording: Column) -> Column:
+            products = F.transform(cs, lambda c: c["n"] * F.coalesce(F.try_element_at(wording["weights"], c["t"]), F.lit(0.0)))
+            score = F.round(F.aggregate(products, F.lit(0.0), lambda a, x: a + x) / norm, 6)
+            return F.struct(wording["rank"].alias("rank"), score.alias("score"), wording["order"].alias("order"), wording["name"].alias("template"))
+
+        def all_of(cs: Column) -> Column:
+            norm = F.sqrt(F.aggregate(F.transform(cs, squared), F.lit(0.0), lambda a, x: a + x))
+            return _let(norm, lambda v: F.array_max(F.filter(F.transform(told, lambda wording: one(cs, v, wording)), lambda m: m["score"] >= threshold)))
+
+        return F.when(F.size(told) > 0, _let(counts, all_of))
+
+    # Most windows lack the telling terms of every wording and are done here.
+    told = F.filter(
+        wordings, lambda wording: F.forall(wording["telling"], lambda t: F.array_contains(window, t)) & ~F.arrays_overlap(window, wording["rivals"])
+    )
+    return _let(told, scored)
+
+
+def _about(n: int) -> int:
+    """The window length for a wording of ``n`` words."""
+    return n if n <= 16 else min((18, 20, 22, 25, 28, 32, 36, 40, 45, 50), key=lambda b: abs(b - n))
+
+
+def _anchors(words: Column) -> Column:
+    """Positions of the words that an anchor is told by."""
+
+    def is_anchor(i: Column) -> Column:
+        w = F.element_at(words, i + 1)
+        before = F.when(i > 0, F.element_at(words, F.greatest(i, F.lit(1))))
+        pair = ((w == "reserved") & (before == "rights")) | ((w == "domain") & (before == "public"))
+        return F.contains(w, F.lit("licen")) | F.contains(w, F.lit("copyright")) | (w == "spdx") | F.coalesce(pair, F.lit(False))
+
+    places = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.filter(places, is_anchor)
+
+
+def _worded(words: Column, all_wordings: tuple[tuple[str, str], ...], threshold: float) -> Column:
+    """The best match of all wordings in the windows around the anchors of a text's words."""
+    known, other, rows = _constants(all_wordings)
+    by_length: dict[int, list[dict]] = {}
+    for (_, text), row in zip(all_wordings, rows, strict=True):
+        by_length.setdefault(_about(len(terms_of(text))), []).append(row)
+    # Short wordings hold an anchor themselves, longer ones lie beside one.
+    groups = [
+        {"length": n, "steps": list(range(1 - n, 1)) if n <= 16 else list(range(-n - 15, 17, n // 8)), "wordings": of} for n, of in sorted(by_length.items())
+    ]
+    constant = F.from_json(F.lit(json.dumps(groups)), f"array<struct<length:int,steps:array<int>,wordings:array<{_WORDING}>>>")
+
+    def around(anchors: Column, group: Column) -> Column:
+        starts = F.flatten(F.transform(anchors, lambda p: F.transform(group["steps"], lambda d: F.greatest(p + d, F.lit(0)))))
+        starts = F.filter(F.array_distinct(starts), lambda s: s < F.size(words))
+        window = lambda s: F.slice(words, s + 1, group["length"])
+        return F.array_max(F.transform(starts, lambda s: _let(window(s), lambda w: _matches(w, group["wordings"], known, other, threshold))))
+
+    return _let(_anchors(words), lambda anchors: F.array_max(F.transform(constant, lambda group: around(anchors, group))))
+
+
+def header_licence(
+    text: Column,
+    templates: dict[str, str] = TEMPLATES,
+    threshold: float = THRESHOLD,
+    wordings: tuple[tuple[str, str], ...] | None = None,
+    titles: tuple[tuple[str, str], ...] | None = None,
+) -> Column:
+    """struct(score, template) of the best notice, title, tag, header or passage of a text; NULL below the threshold.
+
+    The known wordings and titles belong to the known templates; other templates are looked for alone."""
+    if wordings is None:
+        wordings = WORDINGS if templates is TEMPLATES else tuple(templates.items())
+    if titles is None:
+        titles = TITLES if templates is TEMPLATES else ()
+    low = F.translate(text, _UPPER, _LOWER)
+    split = lambda t: F.filter(F.split(t, "[^a-z0-9]+"), lambda w: w != "")
+    anchored = lambda t: F.array_contains(F.array(*[F.contains(t, F.lit(a)) for a in ("licen", "copyright", "reserved", "spdx", "domain")]), True)
+    ranked = lambda m: F.struct(
+        F.when(m["template"] == "proprietary", F.lit(0)).otherwise(F.lit(2)).alias("rank"), m["score"].alias("score"), F.lit(0).alias("order"), m["template"].alias("template")
+    )
+    found = [_let(own_licence(text, templates, threshold), lambda notice: F.when(notice.isNotNull(), ranked(notice))), F.when(anchored(low), _let(split(low), lambda ws: _worded(ws, wordings, threshold)))]
+    if titles:
+        known, other, rows = _constants(titles)
+        constant = F.from_json(F.lit(json.dumps(rows)), f"array<{_WORDING}>")
+        lines = F.filter(F.transform(F.filter(F.split(low, "\n"), anchored), split), lambda ws: F.size(ws) <= 16)
+        found.append(F.when(anchored(low), F.array_max(F.transform(lines, lambda ws: _matches(ws, constant, known, other, threshold)))))
+    return _let(
+        F.array_max(F.array(*found)), lambda best: F.when(best.isNotNull(), F.struct(best["score"].alias("score"), best["template"].alias("template")))
+    )
+
+
 def parent(path: Column) -> Column:
     """The directory of a path; the root is the empty string."""
     return F.regexp_replace(path, r"/?[^/]*$", "")
@@ -182,7 +392,7 @@ def scan_licences(
     """Per file: kept columns, path, own_licence, own_score, licence, licence_dir, levels_up."""
     prepare(files.sparkSession)
     kept = [F.col(f"`{c}`") for c in (keep or [])]
-    scanned = files.select(*kept, path.alias("path"), own_licence(F.col(text_col), templates, threshold).alias("_own"))
+    scanned = files.select(*kept, path.alias("path"), header_licence(F.col(text_col), templates, threshold).alias("_own"))
     scanned = scanned.select(*kept, "path", F.col("_own.template").alias("own_licence"), F.col("_own.score").alias("own_score"))
     return inherited(scanned, is_licence_file)
 
@@ -196,7 +406,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     languages is the source's.
     """
     docs = table(spark, sf_dir, "documents")
-    scanned = docs.select("doc_id", "source", "lang", own_licence(F.col("text")).alias("_own"))
+    scanned = docs.select("doc_id", "source", "lang", header_licence(F.col("text")).alias("_own"))
     scanned = checkpointed(scanned.select("doc_id", "source", "lang", F.col("_own.template").alias("own_licence"), F.col("_own.score").alias("own_score")))
     place = F.concat_ws("/", "source", "lang")
     holders = scanned.where("own_licence IS NOT NULL")
