@@ -19,7 +19,9 @@ bound. Only piece lengths and numbers travel; the ids stay where they are made.
 Token ids are those of the ``tokenizers`` library for the JSON file. Texts
 whose characters all lie in a range where it is proven (by a test over every
 codepoint) to agree with ``tiktoken`` on the same vocabulary's rank file are
-encoded by ``tiktoken``, about 3.5 times faster; all others by ``tokenizers``.
+encoded by ``tiktoken``, about 3.5 times faster; all others by ``tokenizers``,
+and so are texts that hold an added token of the JSON file (<|endoftext|>), which
+gets its own id there.
 
 Defined results: a NULL or empty text is one piece of the end id alone;
 repeated rows are documents of their own; a NULL id stays NULL; ties of length
@@ -30,6 +32,7 @@ ignored.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -51,10 +54,16 @@ UNPROVEN = re.compile("[^\\x00-ɏ‐-‧]")
 
 
 class Encoder:
-    """Ids of texts, as ``tokenizers`` gives them (special strings are ordinary text)."""
-
-    def __init__(self, json_path: str, rank_path: str | None):
-        self.json_path, self._full, self.fast = json_path, None, None
+    """Ids of texts, as ``tokenizers`` gives them; added tokens of the JSON file are ordinary text unless ``added`` is set."""
+
+    def __init__(self, json_path: str, rank_path: str | None, added: bool = False):
+        self.json_path, self._full, self.fast, self.added, self.holds_added = json_path, None, None, added, None
+        if added:
+            with open(json_path, encoding="utf-8") as f:
+                tokens = json.load(f).get("added_tokens") or []
+            # A token matched on normalised text may be spelt otherwise in the text: then nothing is taken for granted.
+            exact = all(not t.get("normalized") for t in tokens)
+            self.holds_added = re.compile("|".join(re.escape(t["content"]) for t in tokens) if exact else "") if tokens else None
         if rank_path:
             import public_tokenizers
             import tiktoken
@@ -70,11 +79,12 @@ class Encoder:
             from tokenizers import Tokenizer
 
             self._full = Tokenizer.from_file(self.json_path)
-            self._full.encode_special_tokens = True
+            self._full.encode_special_tokens = not self.added
         return self._full
 
     def ids(self, text: str) -> np.ndarray:
-        if self.fast is not None and (text.isascii() or not UNPROVEN.search(text)):
+        proven = self.fast is not None and (text.isascii() or not UNPROVEN.search(text))
+        if proven and not (self.holds_added and self.holds_added.search(text)):
             return self.fast.encode_to_numpy(text, disallowed_special=())
         return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -83,9 +93,10 @@ _ENCODERS: dict[tuple, Encoder] = {}
 
 
 def encoder(json_path: str, rank_path: str | None) -> Encoder:
+    """The contract's encoder: the tokenizer's default, in which added tokens have their ids."""
     key = json_path, rank_path
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(*key)
+        _ENCODERS[key] = Encoder(*key, added=True)
     return _ENCODERS[key]
 
 
