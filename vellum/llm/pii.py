@@ -346,7 +346,7 @@ KINDS = (
     Kind("secret", re.compile(r"[=:][ \t]*[\"']?([0-9a-fA-F]{16,128})"), secret, before="", after=r"\w"),
     Kind("iban", re.compile(r"[A-Z][A-Z]\d\d(?: ?[A-Z0-9]){11,}"), iban, before=r"\w"),
     Kind("ipv4", re.compile(r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"), ipv4, before=r"[\w.]", after=r"\w|\.\d"),
-    Kind("date", re.compile(r"\d{4}([-/.])\d\d\1\d\d"), iso_date, before=r"[\w.-]", after=r"[\w]|-\d"),
+    Kind("date", re.compile(r"\d{4}([-/.])\d\d\1\d\d"), iso_date, before=r"[\w.-]", after=r"(?![Tt][0-2]\d(?::?[0-5]\d|[Zz]|[+.,-]|\b))\w|-\d"),
     Kind("date", re.compile(r"\d{1,2}([-/.])\d{1,2}\1\d{4}"), numeric_date, before=r"[\w.-]", after=r"[\w]|-\d"),
     Kind("date", re.compile(rf"\d{{1,2}} (?:{_MONTH}),? \d{{4}}", re.I), named_date, before=r"\w"),
     Kind("date", re.compile(rf"(?:{_MONTH}) \d{{1,2}}, \d{{4}}", re.I), named_date, before=r"\w"),
@@ -379,16 +379,16 @@ def _candidates(kind: Kind, text: str) -> Iterator[tuple[int, int]]:
 def _fits(kind: Kind, text: str, a: int, b: int) -> bool:
     if kind.before and a and re.match(kind.before, text[a - 1]):
         return False
-    return not (kind.after and re.match(kind.after, text[b : b + 2]))
+    return not (kind.after and re.match(kind.after, text[b : b + 6]))
 
 
-def _windows(kind: Kind, text: str, a: int, b: int) -> Iterator[tuple[int, int]]:
+def _windows(kind: Kind, text: str, a: int, b: int, separators: str) -> Iterator[tuple[int, int]]:
     """The candidate; where it may have run into neighbouring numbers, also the runs of its words that are short enough."""
     most = {"card": 19, "phone": 15, "iban": 34}.get(kind.name)
-    if most is None or " " not in text[a:b]:
+    words = [(a + m.start(), a + m.end()) for m in re.finditer(f"[^{separators}]+", text[a:b])] if most else []
+    if len(words) < 2:
         yield a, b
         return
-    words = [(a + m.start(), a + m.end()) for m in re.finditer(r"[^ ]+", text[a:b])]
     sizes = [sum(c.isalnum() for c in text[x:y]) for x, y in words]
     for i in range(len(words)):
         total, j = 0, i
@@ -399,6 +399,11 @@ def _windows(kind: Kind, text: str, a: int, b: int) -> Iterator[tuple[int, int]]
             yield words[i][0], words[k][1]
 
 
+#: Candidates are cut at blanks; what is not found so, at every separator.
+_CUTS = (" ", " .-")
+_SEPARATED = re.compile(r"[.-]")
+
+
 class Pseudonyms:
     """Finds values in texts and replaces them under one key; equal values are computed once."""
 
@@ -421,15 +426,18 @@ class Pseudonyms:
         found: list[tuple[int, int, str, str]] = []
         for kind in KINDS:
             for span in _candidates(kind, text):
-                end = -1
-                for a, b in _windows(kind, text, *span):
-                    if a < end or not _fits(kind, text, a, b) or any(a < y and x < b for x, y, _, _ in found):
-                        continue
-                    form = kind.read(text[a:b])
-                    if form is not None:
-                        domain, size, rank, write = form
-                        found.append((a, b, kind.name, write(self._moved(domain, size, rank))))
-                        end = b
+                for separators in _CUTS:
+                    end = -1
+                    for a, b in _windows(kind, text, *span, separators):
+                        if a < end or not _fits(kind, text, a, b) or any(a < y and x < b for x, y, _, _ in found):
+                            continue
+                        form = kind.read(text[a:b])
+                        if form is not None:
+                            domain, size, rank, write = form
+                            found.append((a, b, kind.name, write(self._moved(domain, size, rank))))
+                            end = b
+                    if (found and found[-1][:2] == span) or not _SEPARATED.search(text, *span):
+                        break
         return sorted(found)
 
     def replace(self, text: str) -> tuple[str, list[tuple[int, int, str, str]]]:
