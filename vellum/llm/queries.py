@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import bpe, embeddings, licenses, minhash, packing, pii, quality, topk, toxicity, warc
+from vellum.llm import alignment, bpe, embeddings, infilling, licenses, minhash, nearest, packing, pii, quality, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_topk": topk.op8_exact_topk,
         "op9_minhash_forest": minhash.op9_minhash_forest,
         "op10_license_scan": licenses.op10_license_scan,
+        "op11_block_matrix_join": nearest.op11_block_matrix_join,
+        "op12_fill_in_middle": infilling.op12_fill_in_middle,
+        "op13_tokenizer_alignment": alignment.op13_tokenizer_alignment,
     }
 
 
@@ -31,4 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_exact_topk": topk.ORACLE_SQL,
         "op9_minhash_forest": minhash.ORACLE_SQL,
         "op10_license_scan": licenses.ORACLE_SQL,
+        "op11_block_matrix_join": nearest.ORACLE_SQL,
+        "op12_fill_in_middle": infilling.ORACLE_SQL,
     }
