@@ -31,7 +31,7 @@ def ends(words, ids):
 
 def brute(plain, texts):
     """Per text (a ids, b ids, links, groups as text), without tokens where bytes differ."""
-    words = alignment.byte_level_tokens(JSON), alignment.piece_tokens(MODEL)
+    words = chunks.byte_level(JSON).words, chunks.pieces_after_blank(MODEL).words
     out = []
     for t in texts:
         whole = (" " + (t or "")).encode()
@@ -88,7 +88,7 @@ def test_arrays_of_the_operator(spark):
     out = alignment.align(df, JSON, MODEL)
     assert out.columns == ["doc_id", "text", "n_a", "row", "a_ids", "b_ids", "a_cuts", "b_cuts", "b_from", "b_to"]
     r = out.first()
-    words = alignment.byte_level_tokens(JSON), alignment.piece_tokens(MODEL)
+    words = chunks.byte_level(JSON).words, chunks.pieces_after_blank(MODEL).words
     a, b = ends(words[0], r.a_ids), ends(words[1], r.b_ids)
     assert [a[i - 1] for i in r.a_cuts] == [b[i - 1] for i in r.b_cuts] == sorted(set(a) & set(b))
     for i, (x, y) in enumerate(zip([0, *a[:-1]], a)):
@@ -126,6 +126,18 @@ def test_ids_of_chunks_are_those_of_whole_texts(plain):
         for k, whole in enumerate(([plain[0].encode(" " + t, add_special_tokens=False).ids for t in some], [plain[1].encode(t) for t in some])):
             ids, at = cache.ids(numbers, bounds, k)
             assert [ids[x:y].tolist() for x, y in zip(at[:-1], at[1:])] == whole
+        assert [all(cache.sound[numbers[x:y]]) for x, y in zip(bounds[:-1], bounds[1:])] == ["▁" not in t for t in some]
+
+
+def test_chunks_that_do_not_fall_apart_are_encoded_one_by_one():
+    def joined(texts):  # a vocabulary that ignores where chunks end
+        return [[0] * (len(t) // 3) + [1] * (len(t) % 3) for t in texts]
+
+    cache = chunks.ChunkCache([chunks.Vocabulary(joined, [b" ab", b"x"])])
+    numbers, bounds = cache.chunks([" ab ab", " a", " abcd ab"])
+    ids, at = cache.ids(numbers, bounds)
+    assert [ids[x:y].tolist() for x, y in zip(at[:-1], at[1:])] == [[0, 0], [1, 1], [0, 1, 1, 0]]
+    assert [bool(cache.sound[n]) for n in numbers] == [True, True, False, False, True]
 
 
 def test_windows_join_to_the_text_and_the_cache_starts_anew(plain, monkeypatch):

@@ -30,7 +30,6 @@ all are best; an empty table gives no rows. Kept columns (``align``) called like
 from __future__ import annotations
 
 import hashlib
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,52 +54,15 @@ HELD_PAIRS = 2_000_000
 MOST_TOKENS, PAIR_BITS = 1 << 18, 20
 
 
-# --- tokens as bytes -------------------------------------------------------------
-
-
-def byte_of_letter() -> dict[str, int]:
-    """The byte that each letter of a byte-level vocabulary stands for: printable ones themselves, the others from U+0100 on."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
-def byte_level_tokens(json_path: str) -> list[bytes]:
-    """The bytes of every id; added tokens are their own text."""
-    with open(json_path, encoding="utf-8") as f:
-        data = json.load(f)
-    vocabulary, letter = data["model"]["vocab"], byte_of_letter()
-    out = [b""] * (1 + max([*vocabulary.values(), *(t["id"] for t in data.get("added_tokens") or [])]))
-    for entry, i in vocabulary.items():
-        out[i] = bytes(letter[c] for c in entry) if all(c in letter for c in entry) else entry.encode()
-    return out
-
-
-def piece_tokens(model_path: str) -> list[bytes]:
-    """The bytes of every piece: U+2581 a blank, a byte piece its byte."""
-    import sentencepiece
-
-    model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-    return [
-        bytes([int(model.id_to_piece(i)[3:-1], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace("▁", " ").encode()
-        for i in range(model.get_piece_size())
-    ]
-
-
 class Pair:
-    """Two tokenizers, their tokens' lengths in bytes, and the cache of both."""
+    """Two vocabularies and the cache of both."""
 
     def __init__(self, json_path: str, model_path: str):
-        words = byte_level_tokens(json_path), piece_tokens(model_path)
-        if max(map(len, words)) > MOST_TOKENS:
+        both = [byte_level(json_path), pieces_after_blank(model_path)]
+        if max(len(v.words) for v in both) > MOST_TOKENS:
             raise ValueError(f"a vocabulary has more than {MOST_TOKENS} ids")
-        self.lengths = [np.array([len(w) for w in side], np.int64) for side in words]
-
-        def sound(chunk: str, ids: list[list[int]]) -> bool:
-            whole = chunk.encode()
-            return all(b"".join([side[i] for i in x]) == whole for side, x in zip(words, ids, strict=True))
-
-        self.cache = ChunkCache([byte_level(json_path), pieces_after_blank(model_path)], sound)
+        self.lengths = [v.lengths for v in both]
+        self.cache = ChunkCache(both)
 
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
@@ -203,7 +165,7 @@ def _align_rows(pair: Pair, texts: list[str]):
     """Six flat arrays of the texts and the bounds of each text's part in them."""
     cache = pair.cache
     chunks, bounds = cache.chunks(" " + t if t else "" for t in texts)
-    unsound = np.flatnonzero(~cache.sound_chunk[chunks])
+    unsound = np.flatnonzero(~cache.sound[chunks])
     if len(unsound):
         bad = np.zeros(len(texts), bool)
         bad[np.searchsorted(bounds, unsound, "right") - 1] = True
@@ -220,11 +182,9 @@ def _align_rows(pair: Pair, texts: list[str]):
     return (a, b, a_cut - here_a, b_cut - here_b, b_from - base, b_to - base), (a_at, b_at, cut_at, cut_at, a_at, a_at)
 
 
-def align(df: DataFrame, json_path: str, model_path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Kept columns (all by default) and the six arrays of the module's description."""
-    prepare(df.sparkSession)
-    names, columns, fields = _kept(df, keep, _ARRAYS)
-    n = len(names)
+def _aligned(json_path: str, model_path: str, n: int):
+    """Batches whose first ``n`` columns are kept and whose next is the text -> batches of the kept columns and the arrays."""
+    names = [f"_k{i}" for i in range(n)] + [f"_{c}" for c in _ARRAYS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizer_pair(json_path, model_path)
@@ -237,11 +197,17 @@ def align(df: DataFrame, json_path: str, model_path: str, text_col: str = "text"
                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int32()))
                     for values, at in zip(arrays, bounds, strict=True)
                 ]
-                yield pa.RecordBatch.from_arrays([*[c.slice(x, y - x) for c in batch.columns[:n]], *lists], names=out)
+                yield pa.RecordBatch.from_arrays([*[c.slice(x, y - x) for c in batch.columns[:n]], *lists], names=names)
+
+    return run
 
-    out = [f.name for f in fields] + [f"_{c}" for c in _ARRAYS]
+
+def align(df: DataFrame, json_path: str, model_path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Kept columns (all by default) and the six arrays of the module's description."""
+    prepare(df.sparkSession)
+    names, columns, fields = _kept(df, keep, _ARRAYS)
     more = [T.StructField(f"_{c}", T.ArrayType(T.IntegerType())) for c in _ARRAYS]
-    done = df.select(*columns, F.col(text_col).alias("_t")).mapInArrow(run, T.StructType([*fields, *more]))
+    done = df.select(*columns, F.col(text_col).alias("_t")).mapInArrow(_aligned(json_path, model_path, len(names)), T.StructType([*fields, *more]))
     return done.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(names)], *[F.col(f"_{c}").alias(c) for c in _ARRAYS])
 
 
@@ -340,10 +306,11 @@ def alignment_summary(
     spark = df.sparkSession
     prepare(spark)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
-    aligned = align(rows, json_path, model_path, keep=["doc_id", "row"])
+    aligned = _aligned(json_path, model_path, 2)
     schema = "doc_id long, row long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
     path = shared_dir(spark, "alignment")
-    aligned.mapInArrow(_summaries, schema).write.option("compression", "zstd").parquet(path)
+    # The arrays of ``align`` are summed up where they are made; they are several times the text.
+    rows.mapInArrow(lambda batches: _summaries(aligned(batches)), schema).write.option("compression", "zstd").parquet(path)
     summaries = spark.read.schema(schema).parquet(path)
     counts_path = shared_dir(spark, "alignment-counts")
     link_counts(summaries).write.parquet(counts_path)

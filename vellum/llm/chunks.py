@@ -6,7 +6,8 @@ and then none) nor a piece vocabulary without inner word marks joins anything
 across such a place, so the ids of a text are those of its chunks in order.
 Where it is unsure (white space of any kind, control and zero-width characters,
 U+2581) the chunk goes on. The libraries only ever see chunks that the cache
-lacks; a run of a million blanks is one chunk.
+lacks, many at once as one text, whose ids fall apart at the chunks' ends; those
+that could join the next one are encoded apart. A run of a million blanks is one chunk.
 """
 
 from __future__ import annotations
@@ -25,10 +26,22 @@ PLACE = re.compile(f"(?<=[^{UNSURE}])(?= )")
 #: A text is scanned in windows of about so many characters, so that the chunks held at once are few.
 WINDOW = 1 << 20
 #: The cache starts anew beyond so many chunks or ids.
-MOST_CHUNKS, MOST_IDS = 400_000, 4_000_000
-BATCH = 4096
+MOST_CHUNKS, MOST_IDS = 300_000, 3_000_000
+#: Characters of unknown chunks that are encoded together.
+TOGETHER = 1 << 16
+#: A chunk that ends like this may be put before another one and is cut off again by its bytes.
+APART = re.compile(f"(?s:[^ ].*|.*[{UNSURE}]|.*\u2581.*)")
 
-Encode = Callable[[list[str]], list[list[int]]]
+
+class Vocabulary:
+    """A tokenizer: ids of texts, and the bytes of every id."""
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], words: list[bytes]):
+        self.encode, self.words = encode, words
+        self.lengths = np.array([len(w) for w in words], np.int64)
+
+    def spelled(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.words.__getitem__, ids))
 
 
 def windows(text: str, size: int = WINDOW) -> Iterator[str]:
@@ -57,36 +70,83 @@ class _Numbers(dict):
 
 
 class ChunkCache:
-    """Numbers of chunks, and for each tokenizer the ids of every numbered chunk."""
+    """Numbers of chunks, and for each vocabulary the ids of every numbered chunk."""
 
-    def __init__(self, tokenizers: list[Encode], sound: Callable[[str, list[list[int]]], bool] | None = None):
-        self.tokenizers, self.sound = tokenizers, sound
+    def __init__(self, vocabularies: list[Vocabulary]):
+        self.vocabularies = vocabularies
         self._renew()
 
     def _renew(self) -> None:
         self.numbers = _Numbers()
-        self.flat = [np.zeros(0, np.int32) for _ in self.tokenizers]
-        self.counts = [np.zeros(0, np.int64) for _ in self.tokenizers]
-        self.starts = [np.zeros(0, np.int64) for _ in self.tokenizers]
-        self.sound_chunk = np.zeros(0, bool)
+        n = len(self.vocabularies)
+        self.flat = [np.zeros(0, np.int32) for _ in range(n)]
+        self.counts = [np.zeros(0, np.int64) for _ in range(n)]
+        self.starts = [np.zeros(0, np.int64) for _ in range(n)]
+        #: Do the ids of the chunk spell it in every vocabulary?
+        self.sound = np.zeros(0, bool)
+
+    def _together(self, chunks: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """(ids, how many each chunk has) in every vocabulary, encoded as one text; None if it does not fall apart at the chunks."""
+        text = "".join(chunks)
+        raw, out = text.encode(), []
+        stops = np.cumsum([len(c) for c in chunks] if len(raw) == len(text) else [len(c.encode()) for c in chunks])
+        for v in self.vocabularies:
+            ids = v.encode([text])[0]
+            ends = np.cumsum(v.lengths[ids])
+            last = np.minimum(np.searchsorted(ends, stops), len(ends) - 1)
+            if (ends[last] != stops).any() or v.spelled(ids) != raw:
+                return None
+            out.append((np.array(ids, np.int32), np.diff(last, prepend=-1)))
+        return out
 
     def _learn(self) -> None:
         waiting, self.numbers.waiting = self.numbers.waiting, []
-        made: list[list[np.ndarray]] = [[] for _ in self.tokenizers]
-        counts: list[list[int]] = [[] for _ in self.tokenizers]
-        sound: list[bool] = []
-        for at in range(0, len(waiting), BATCH):
-            part = waiting[at : at + BATCH]
-            rows = [encode(part) for encode in self.tokenizers]
-            for k, ids in enumerate(rows):
-                counts[k] += map(len, ids)
-                made[k].append(np.array([i for x in ids for i in x], np.int32))
-            sound += [True] * len(part) if self.sound is None else [self.sound(c, list(x)) for c, x in zip(part, zip(*rows, strict=True), strict=True)]
-        for k in range(len(self.tokenizers)):
+        first, n = len(self.sound), len(waiting)
+        counts = [np.zeros(n, np.int64) for _ in self.vocabularies]
+        sound = np.ones(n, bool)
+        made: list[list[np.ndarray]] = [[] for _ in self.vocabularies]
+        order, apart, group, size = [], [], [], 0
+
+        def encode_group():
+            nonlocal group, size
+            if group:
+                done = self._together([waiting[i] for i in group])
+                if done is None:
+                    apart.extend(group)
+                else:
+                    order.extend(group)
+                    for k, (ids, per_chunk) in enumerate(done):
+                        made[k].append(ids)
+                        counts[k][group] = per_chunk
+            group, size = [], 0
+
+        for i, chunk in enumerate(waiting):
+            if APART.fullmatch(chunk):
+                apart.append(i)
+                continue
+            group.append(i)
+            size += len(chunk)
+            if size >= TOGETHER:
+                encode_group()
+        encode_group()
+        for at in range(0, len(apart), 1024):
+            part = apart[at : at + 1024]
+            texts = [waiting[i] for i in part]
+            for k, v in enumerate(self.vocabularies):
+                rows = v.encode(texts)
+                counts[k][part] = [len(x) for x in rows]
+                sound[part] &= [v.spelled(x) == t.encode() for x, t in zip(rows, texts, strict=True)]
+                made[k].append(np.array([i for x in rows for i in x], np.int32))
+        order = np.array(order + apart, np.int64)
+        for k in range(len(self.vocabularies)):
+            starts = np.empty(n, np.int64)
+            in_order = counts[k][order]
+            starts[order] = len(self.flat[k]) + np.cumsum(in_order) - in_order
             self.flat[k] = np.concatenate([self.flat[k], *made[k]])
-            self.counts[k] = np.concatenate([self.counts[k], np.array(counts[k], np.int64)])
-            self.starts[k] = np.cumsum(self.counts[k]) - self.counts[k]
-        self.sound_chunk = np.concatenate([self.sound_chunk, np.array(sound, bool)])
+            self.counts[k] = np.concatenate([self.counts[k], counts[k]])
+            self.starts[k] = np.concatenate([self.starts[k], starts])
+        self.sound = np.concatenate([self.sound, sound])
+        assert len(self.sound) == first + n
 
     def chunks(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
         """(chunk numbers of all texts, bounds of each text's); valid until the next call."""
@@ -111,26 +171,40 @@ class ChunkCache:
         return ids, np.append(0, np.cumsum(counts))[bounds]
 
 
-def byte_level(json_path: str, added: bool = False) -> Encode:
-    """The ids of a ``tokenizers`` JSON file; its added tokens are plain text unless ``added`` is set."""
+def byte_of_letter() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for: printable ones themselves, the others from U+0100 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def byte_level(json_path: str) -> Vocabulary:
+    """A ``tokenizers`` JSON file with byte-level entries; its added tokens are plain text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(json_path)
-    tokenizer.encode_special_tokens = not added
-    return lambda chunks: [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    tokenizer.encode_special_tokens = True
+    letter, words = byte_of_letter(), [b""] * tokenizer.get_vocab_size()
+    for entry, i in tokenizer.get_vocab().items():
+        words[i] = bytes(letter[c] for c in entry) if all(c in letter for c in entry) else entry.encode()
+    return Vocabulary(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], words)
 
 
-def pieces_after_blank(model_path: str) -> Encode:
-    """The ids of a ``sentencepiece`` model, which puts a blank before a text: a chunk's own first blank is that one."""
+def pieces_after_blank(model_path: str) -> Vocabulary:
+    """A ``sentencepiece`` model, which puts a blank before a text: the first blank of each text here is that one."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
     (a,) = model.encode(["a"])
     blank = model.encode(["a "])[0][len(a) :]
 
-    def encode(chunks: list[str]) -> list[list[int]]:
-        ids = model.encode([c[1:] for c in chunks], num_threads=1)
-        return [blank if c == " " else x for c, x in zip(chunks, ids, strict=True)]
+    def encode(texts: list[str]) -> list[list[int]]:
+        ids = model.encode([t[1:] for t in texts], num_threads=1)
+        return [blank if t == " " else x for t, x in zip(texts, ids, strict=True)]
 
-    return encode
+    words = [
+        bytes([int(model.id_to_piece(i)[3:-1], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace("\u2581", " ").encode()
+        for i in range(model.get_piece_size())
+    ]
+    return Vocabulary(encode, words)
