@@ -41,6 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vellum.llm.bitfilter import with_hits
 from vellum.llm.common import checkpointed, concat_ranges, prepare, session_partitions, table
 from vellum.llm.components import connected_components, forest
 from vellum.llm.hashing import mixed, shingle_sets
@@ -50,6 +51,7 @@ LEAF = 16
 NEIGHBOURS = 2
 BLOCK = 256
 PERCENT = 80
+BROADCAST_REGIONS = 100_000
 
 
 def multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -349,13 +351,17 @@ def near_duplicates(
     open_regions = checkpointed(found.where("kind = 1").select("tree", "region").distinct(), n_found)
     # Members of open regions, with what the exact way needs.
     width = 4 * least_depth
-    members = orders.select("tree", F.substring("key", 1, width).alias("region"), "cid", "n").join(open_regions, ["tree", "region"])
+    # Broadcast up to so many rows of 16 bytes; else the orders move to their regions.
+    regions = F.broadcast(open_regions) if open_regions.count() <= BROADCAST_REGIONS else open_regions
+    members = orders.select("tree", F.substring("key", 1, width).alias("region"), "cid", "n").join(regions, ["tree", "region"])
     members = checkpointed(members)
     # Full sets of everything that may have to be confirmed.
     wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).unionByName(members.select("cid")).distinct()
     wanted = checkpointed(classes.select("cid", "rep.doc_id", "rep.tk").join(wanted, "cid"))
     texts = df.select(F.col(id_col).cast("long").alias("_d"), F.xxhash64(text_col).alias("_t"), F.col(text_col).alias("text"))
-    texts = texts.join(wanted.hint("shuffle_hash"), F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("tk")))
+    # Texts that nothing wants stay where they are.
+    texts = with_hits(texts, F.xxhash64("_d", "_t"), wanted, F.xxhash64("doc_id", "tk")).where("_hit")
+    texts = texts.join(wanted, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("tk")))
     sets = checkpointed(texts.select("cid", "text").mapInArrow(_sets(shingle), "cid long, members binary").dropDuplicates(["cid"]))
     links = confirmed(pairs, sets, percent)
     comp = checkpointed(connected_components(links), 2 * n_found)
@@ -409,17 +415,24 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     found = checkpointed(near_duplicates(df, id_col=id_col, text_col=text_col, **how))
     copies = found.where("group_id IS NOT NULL").groupBy("group_id", "doc_id", "tk").agg(F.count("*").alias("copies"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tk", "copies")).alias("f")
-    stay = copies.groupBy("group_id").agg(first).select(F.col("f.doc_id").alias("_d"), F.col("f.tk").alias("_t"), F.col("f.copies").alias("_c"))
+    firsts = checkpointed(copies.groupBy("group_id").agg(first))
+    stay = firsts.select(F.col("f.doc_id").alias("_d"), F.col("f.tk").alias("_t"), F.col("f.copies").alias("_c"))
     wordless = found.where("group_id IS NULL").select(F.col("doc_id").alias("_d"), F.col("tk").alias("_t")).distinct()
-    stay = checkpointed(stay.unionByName(wordless.withColumn("_c", F.lit(1).cast("long"))))
+    stay = stay.unionByName(wordless.withColumn("_c", F.lit(1).cast("long")))
+    # Rows that may go: those of a group but for its first, and first ones that are repeated.
+    is_first = F.col("f.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("f.tk") == F.col("tk")) & (F.col("copies") == 1)
+    leaving = copies.join(firsts, "group_id").where(~is_first).select("doc_id", "tk")
     # Positional names, so that no column of the input can clash with ours.
     plain = df.toDF(*[f"_k{i}" for i in range(len(df.columns))])
-    the_id, the_text = F.col(f"_k{df.columns.index(id_col)}"), F.col(f"_k{df.columns.index(text_col)}")
-    same = the_id.cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(the_text) == F.col("_t"))
-    rows = plain.join(stay.hint("shuffle_hash"), same)
-    if not stay.where("_c > 1").isEmpty():
+    the_id, the_text = F.col(f"_k{df.columns.index(id_col)}").cast("long"), F.col(f"_k{df.columns.index(text_col)}")
+    marked = with_hits(plain, F.xxhash64(the_id, F.xxhash64(the_text)), leaving, F.xxhash64("doc_id", "tk"))
+    # All others stay where they are; only rows that may go meet the exact join.
+    same = the_id.eqNullSafe(F.col("_d")) & (F.xxhash64(the_text) == F.col("_t"))
+    rows = marked.where("_hit").join(stay, same)
+    if not firsts.where("f.copies > 1").isEmpty():
         rows = rows.where("_c = 1").unionByName(rows.where("_c > 1").dropDuplicates(["_d", "_t"]))
-    return rows.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(df.columns)])
+    names = [F.col(f"_k{i}").alias(c) for i, c in enumerate(df.columns)]
+    return marked.where("NOT _hit").select(*names).unionAll(rows.select(*names))
 
 
 def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
