@@ -1,11 +1,12 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from vellum.operators.checks import all_passed, pre_checks
 from vellum.session import local_path
 from vellum.sinks import write_counted, write_months
-from vellum.sources.readers import jdbc_url, month_predicates, read_csv, read_source
+from vellum.sources.readers import bind_parameters, jdbc_url, month_predicates, read_csv, read_source
 
 
 def _write_text(path, text):
@@ -100,9 +101,63 @@ def test_read_source_dispatch(spark, workdir):
 def test_csv_quotes_and_line_breaks(spark, workdir):
     path = workdir("csv-quotes")
     _write_text(path, 'a,b\n1,"say ""hi"", ok"\n2,"x\ny"\n3,plain\n')
-    rows = read_csv(spark, path, contract={"a": "UInt32", "b": "String"}).orderBy("a").collect()
+    rows = read_csv(spark, path, contract={"a": "UInt32", "b": "String"}, multi_line=True).orderBy("a").collect()
     assert [tuple(r) for r in rows] == [(1, 'say "hi", ok'), (2, "x\ny"), (3, "plain")]
-    assert sorted(tuple(r) for r in read_csv(spark, path).collect()) == [tuple(r) for r in rows]
+    assert sorted(tuple(r) for r in read_csv(spark, path, multi_line=True).collect()) == [tuple(r) for r in rows]
+    # Without the caller's word for it a line is a row, and the two halves are shown.
+    broken = read_csv(spark, path, contract={"a": "UInt32", "b": "String"}, with_failures=True).where("_broken_line IS NOT NULL")
+    assert sorted(r._broken_line for r in broken.collect()) == ['2,"x', 'y"']
+
+
+def test_a_stray_quote_takes_no_other_row_with_it(spark, workdir):
+    path = workdir("csv-stray")
+    _write_text(path, 'a,b\n1,"5\n2,7\n3,8\n4\n5,6,7\n6,say 5" wide\n7,x\x1fy\n')
+    got = read_csv(spark, path, contract={"a": "UInt32", "b": "String"}, with_failures=True)
+    rows = sorted((tuple(r) for r in got.collect()), key=str)
+    want = [(None, None, 0, '1,"5'), (2, "7", 0, None), (3, "8", 0, None), (None, None, 0, "4"), (None, None, 0, "5,6,7")]
+    want += [(6, 'say 5" wide', 0, None), (7, "x\x1fy", 0, None)]
+    assert rows == sorted(want, key=str)
+    assert got.agg(F.count("_broken_line")).first()[0] == 3
+    with pytest.raises(Exception, match="CSV line does not parse"):
+        read_csv(spark, path, contract={"a": "UInt32", "b": "String"}).collect()
+
+
+def test_a_failed_cast_is_an_error_unless_it_is_counted(spark, workdir):
+    path = workdir("csv-cast")
+    _write_text(path, "a;b\n1;x\nzz;y\n;z\n")
+    with pytest.raises(Exception, match="CSV value of a is not of its type: zz"):
+        read_csv(spark, path, separator=";", contract={"a": "UInt32", "b": "String"}).collect()
+    got = read_csv(spark, path, separator=";", contract={"a": "UInt32", "b": "String"}, with_failures=True)
+    assert sorted((r.b, r.a, r._cast_failures) for r in got.collect()) == [("x", 1, 0), ("y", None, 1), ("z", None, 0)]
+
+
+def test_long_integers_keep_every_digit(spark, workdir):
+    path = workdir("csv-long")
+    _write_text(path, f"a;b;c;d;e\n1;12345678901234567890;{'1' * 45};9;12345678901234567890\n-2;-5;3;123456789012345678;1,5\n")
+    df = read_csv(spark, path, separator=";")
+    assert [t for _, t in df.dtypes] == ["bigint", "decimal(38,0)", "string", "bigint", "double"]
+    rows = [tuple(map(str, r))[:4] for r in df.orderBy("a").collect()]
+    assert rows == [("-2", "-5", "3", "123456789012345678"), ("1", "12345678901234567890", "1" * 45, "9")]
+    # Spark's own inference, taken without the decimal comma, widens likewise.
+    assert dict(read_csv(spark, path, separator=";", decimal_comma=False).dtypes)["b"].startswith("decimal")
+
+
+def test_parameters_become_literals_of_the_query():
+    import datetime as dt
+
+    sql = "SELECT a::int, ':x' FROM t -- :x\nWHERE a = :x AND b IN :y AND c = :x /* :z */ AND d < :day"
+    bound = bind_parameters(sql, {"x": "O'Hara\\", "y": [1, None, 2.5, True], "day": dt.date(2025, 1, 2)})
+    assert bound == (
+        "SELECT a::int, ':x' FROM t -- :x\nWHERE a = 'O''Hara\\' AND b IN (1, NULL, 2.5, TRUE) AND c = 'O''Hara\\' /* :z */ "
+        "AND d < DATE '2025-01-02'"
+    )
+    assert bind_parameters("x = :a", {"a": "\\'"}, backslash_escapes=True) == r"x = '\\'''"
+    assert bind_parameters("x = :a", None) == "x = :a"
+    assert bind_parameters("t > :t", {"t": dt.datetime(2025, 1, 2, 3, 4)}) == "t > TIMESTAMP '2025-01-02 03:04:00'"
+    bad = [("x = :a", {}, KeyError), ("x", {"a": 1}, KeyError), (":a", {"a": float("nan")}, ValueError), (":a", {"a": []}, ValueError), (":a", {"a": object()}, TypeError)]
+    for query, given, kind in bad:
+        with pytest.raises(kind):
+            bind_parameters(query, given)
 
 
 def test_csv_without_header_is_named_by_position(spark, workdir):
@@ -118,7 +173,8 @@ def test_numbers_that_are_not_in_the_comma_form_are_null_and_counted(spark, work
     _write_text(path, "v;i\n1.5;1.5\n1234.56;7\n1.234,5;1.234\n-2,25;x\n;\n12.34,5;\n")
     df = read_csv(spark, path, separator=";", contract={"v": "Float64", "i": "UInt32"}, with_failures=True)
     got = sorted((tuple(r) for r in df.collect()), key=str)
-    assert got == sorted([(None, None, 2), (None, 7, 1), (1234.5, 1234, 0), (-2.25, None, 1), (None, None, 0), (None, None, 1)], key=str)
+    want = [(None, None, 2), (None, 7, 1), (1234.5, 1234, 0), (-2.25, None, 1), (None, None, 0), (None, None, 1)]
+    assert got == sorted([(*w, None) for w in want], key=str)
     # Without a contract such a column stays text.
     assert dict(read_csv(spark, path, separator=";").dtypes)["v"] == "string"
 

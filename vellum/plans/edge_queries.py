@@ -149,7 +149,34 @@ def csv_quoted(spark, sf_dir):
     lines = F.concat_ws(",", F.col("p_partkey").cast("string"), _quoted(note), F.col("p_size").cast("string"))
     S.load(spark, sf_dir, "part").select(lines).write.text(path)
     contract = {"p_partkey": "UInt32", "note": "String", "p_size": "Int32"}
-    return read_csv(spark, path, header=False, decimal_comma=False, contract=contract)
+    return read_csv(spark, path, header=False, decimal_comma=False, contract=contract, multi_line=True)
+
+
+def csv_long_integers(spark, sf_dir):
+    """A column of 20-digit integers and one of 45 digits, types inferred: no digit is lost."""
+    key = F.col("o_orderkey").cast("string")
+    path = shared_dir(spark, "csv-long")
+    lines = F.concat_ws(";", key, F.concat(F.lit("123456789012"), F.lpad(key, 8, "0")), F.concat(F.lit("9" * 37), F.lpad(key, 8, "0")))
+    S.load(spark, sf_dir, "orders").select(lines).write.text(path)
+    back = read_csv(spark, path, separator=";", header=False).toDF("o_orderkey", "wide", "wider")
+    types = {f"{c}_type": F.lit(t) for c, t in back.dtypes}
+    return back.select("o_orderkey", F.col("wide").cast("string").alias("wide"), "wider").withColumns(types)
+
+
+def csv_stray_quotes(spark, sf_dir):
+    """Quotes that never close, a value too many or too few: such lines are kept as they are, and take no neighbour with them."""
+    key, name, kind = F.col("p_partkey").cast("string"), F.col("p_name"), F.col("p_partkey") % 7
+    line = (
+        F.when(kind == 0, F.concat(key, F.lit(',"'), name, F.lit(",1")))
+        .when(kind == 1, F.concat_ws(",", key, name, F.lit("2"), F.lit("spare")))
+        .when(kind == 2, F.concat_ws(",", key, name))
+        .when(kind == 3, F.concat_ws(",", key, F.concat(F.lit('"'), name, F.lit(', ""3"""')), F.lit("x")))
+        .otherwise(F.concat_ws(",", key, F.concat(name, F.lit(' 5"')), F.lit("4")))
+    )
+    path = shared_dir(spark, "csv-stray")
+    S.load(spark, sf_dir, "part").select(line).write.text(path)
+    contract = {"p_partkey": "UInt32", "p_name": "String", "n": "Int32"}
+    return read_csv(spark, path, header=False, decimal_comma=False, contract=contract, with_failures=True)
 
 
 def csv_bad_numbers(spark, sf_dir):
@@ -160,14 +187,15 @@ def csv_bad_numbers(spark, sf_dir):
     path = shared_dir(spark, "csv-bad")
     S.load(spark, sf_dir, "orders").select(F.concat_ws(";", F.col("o_orderkey").cast("string"), price)).write.text(path)
     contract = {"o_orderkey": "UInt32", "o_totalprice": "Float64"}
-    return read_csv(spark, path, separator=";", header=False, contract=contract, with_failures=True)
+    return read_csv(spark, path, separator=";", header=False, contract=contract, with_failures=True).drop("_broken_line")
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         rename_projection_full, left_chain_fanout, title_case_odd, strip_unicode_odd, normalise_distinct_odd, month_prefix_gap,
-        premiums_rerun_with_gap, contract_report_broken, csv_sink, table_sink, csv_quoted, csv_bad_numbers,
+        premiums_rerun_with_gap, contract_report_broken, csv_sink, table_sink, csv_quoted, csv_bad_numbers, csv_long_integers,
+        csv_stray_quotes,
     )
 }
 
@@ -238,6 +266,15 @@ def oracle_sql() -> dict[str, str]:
         "table_sink": "SELECT cod_organizador, nombre, grupo, 2 * count(*) AS copies, "
         f"(SELECT count(*) FROM ({org})) AS rows_written FROM ({org}) WHERE cod_organizador >= 0 GROUP BY cod_organizador, nombre, grupo",
         "csv_quoted": "SELECT p_partkey, 'say \"' || p_name || '\", ' || p_brand || chr(10) || p_type AS note, p_size FROM part",
+        "csv_long_integers": "SELECT o_orderkey, '123456789012' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS wide, "
+        f"'{'9' * 37}' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS wider, "
+        "'bigint' AS o_orderkey_type, 'decimal(38,0)' AS wide_type, 'string' AS wider_type FROM orders",
+        "csv_stray_quotes": """SELECT CASE WHEN k > 2 THEN p_partkey END AS p_partkey,
+  CASE WHEN k > 3 THEN p_name || ' 5"' WHEN k = 3 THEN p_name || ', "3"' END AS p_name, CASE WHEN k > 3 THEN 4 END AS n,
+  CAST(k = 3 AS INTEGER) AS _cast_failures,
+  CASE k WHEN 0 THEN p_partkey || ',"' || p_name || ',1' WHEN 1 THEN p_partkey || ',' || p_name || ',2,spare'
+         WHEN 2 THEN p_partkey || ',' || p_name END AS _broken_line
+FROM (SELECT *, p_partkey % 7 AS k FROM part)""",
         "csv_bad_numbers": "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice END AS o_totalprice, "
         "CASE WHEN o_orderkey % 2 = 1 THEN 0 ELSE 1 END AS _cast_failures FROM orders",
     }

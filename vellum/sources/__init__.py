@@ -1,6 +1,7 @@
 """Source readers: JDBC, CSV (decimal comma), Parquet, folders of workbooks."""
 
 from vellum.sources.readers import (
+    bind_parameters,
     jdbc_url,
     month_predicates,
     overridden_source,
@@ -15,6 +16,7 @@ from vellum.sources.readers import (
 from vellum.sources.workbooks import read_workbooks
 
 __all__ = [
+    "bind_parameters",
     "jdbc_url",
     "month_predicates",
     "overridden_source",
