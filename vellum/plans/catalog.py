@@ -353,6 +353,7 @@ def run_datasets(spark, sf_dir):
 
 def _registry() -> dict[str, Query]:
     from vellum.plans import edge_queries as E
+    from vellum.plans import history_queries as H
     from vellum.plans import runlog_queries as R
 
     q: dict[str, Query] = {
@@ -394,6 +395,7 @@ def _registry() -> dict[str, Query]:
     }
     q.update(R.QUERIES)
     q.update(E.QUERIES)
+    q.update(H.QUERIES)
     return q
 
 

@@ -240,9 +240,10 @@ UNION ALL SELECT 'primas_automotores_x_componente', total_rows, months_processed
 
 def oracle_sql() -> dict[str, str]:
     from vellum.plans.edge_queries import oracle_sql as edge_sql
+    from vellum.plans.history_queries import oracle_sql as history_sql
 
     org = ORGANIZERS
-    return edge_sql() | {
+    return edge_sql() | history_sql() | {
         "rename_projection": RENAME_PROJECTION,
         "code_and_name_filter": "SELECT c_custkey, c_name, c_mktsegment FROM customer "
         "WHERE c_mktsegment = 'AUTOMOBILE' AND c_name <> 'Customer#000000007'",
