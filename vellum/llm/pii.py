@@ -11,12 +11,19 @@ rotation by a Feistel network, hence a single cycle: no value keeps its own
 text (in a domain of more than one), and ``restore`` undoes it with the key.
 
 Kinds: payment cards (brand prefix, Luhn), IBANs (mod 97), US social security
-numbers, phone numbers (+1 and other international ones), IPv4 addresses, calendar
-dates (1900 to 2099; ISO, numeric, English month names; one domain for all
-notations but month-first numbers, which only days after the 12th tell apart and
-which are permuted among such dates), the local parts of e-mail addresses, and long
+numbers, phone numbers (+1 and other international ones), IPv4 and IPv6 addresses, calendar
+dates (1900 to 2099; ISO, numeric, English month names with or without ordinals; one domain for all
+notations), the local parts of e-mail addresses, and long
 hexadecimal secrets behind token, key, secret or password. Numbers that fail
-their validation are left alone.
+their validation are left alone, and so are bare ones whose neighbouring words make them
+a version or an amount.
+
+Numbers with the month first can only tell dates whose day is after the 12th. Where
+such a date's pseudonym is another one, it is written year first with the
+month's name between the same separators (``2021/Mar/05``), a notation that is read
+back as the month-first one; so a date has one pseudonym in every notation.
+Notations of one value that differ in more than separators and case (leading zeros, an IPv6
+address not in its short form) come back from ``restore`` in the usual one.
 
 Defined results: a NULL text stays NULL and has no values; an empty text has
 none; repeated rows are treated alike; an empty table gives no rows; all
@@ -29,6 +36,7 @@ from __future__ import annotations
 import bisect
 import datetime
 import hashlib
+import ipaddress
 import math
 import re
 from collections.abc import Callable, Iterator
@@ -42,6 +50,7 @@ from pyspark.sql import types as T
 from vellum.llm.common import prepare, table
 
 ROUNDS = 8
+_LETTERS, _DIGITS, _HEX = "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789abcdef"
 #: A key for tests and for the registered query; real use passes its own.
 DEMO_KEY = b"demonstration key, not a secret"
 
@@ -89,6 +98,7 @@ class Feistel:
 
 # --- formats: each gives (domain name, size, rank, writer) or None ----------------
 
+#: Long values are a list of these, part after part.
 Format = tuple[str, int, int, Callable[[int], str]]
 
 
@@ -191,6 +201,25 @@ def ipv4(text: str) -> Format | None:
     return "ipv4", 1 << 32, rank, lambda x: ".".join(map(str, x.to_bytes(4, "big")))
 
 
+def ipv6(text: str) -> Format | None:
+    try:
+        address = ipaddress.IPv6Address(text)
+    except ValueError:
+        return None
+    groups = text.split(":")
+    if not any(c in text for c in _DIGITS) or text.count(":") < 2 or not all(len(g) <= 4 for g in groups):
+        return None
+    whole = len(groups) == 8 and all(len(g) == 4 for g in groups)
+    upper = text.upper() == text and text.lower() != text
+
+    def write(x: int) -> str:
+        new = ipaddress.IPv6Address(x)
+        out = new.exploded if whole else new.compressed
+        return out.upper() if upper else out
+
+    return "ipv6", 1 << 128, int(address), write
+
+
 def _date(year: int, month: int, day: int, write: Callable[[datetime.date], str]) -> Format | None:
     try:
         rank = datetime.date(year, month, day).toordinal() - FIRST_DAY
@@ -203,54 +232,49 @@ def _date(year: int, month: int, day: int, write: Callable[[datetime.date], str]
 
 def iso_date(text: str) -> Format | None:
     sep = text[4]
-    y, m, d = (int(x) for x in text.split(sep))
-    return _date(y, m, d, lambda t: f"{t.year}{sep}{t.month:02d}{sep}{t.day:02d}")
-
+    y, m, d = text.split(sep)
+    pad = _padding(m, d)
+    return _date(int(y), int(m), int(d), lambda t: f"{t.year}{sep}{t.month:0{pad}d}{sep}{t.day:0{pad}d}")
 
-def _month_first_rank(t: datetime.date) -> int:
-    """How many dates from the first day on have a day after the 12th and come before ``t``."""
-    months = (t.year - 1900) * 12 + t.month - 1
-    return _LATE_DAYS[months] + t.day - 13
 
-
-def _late_days() -> list[int]:
-    """Days after the 12th in all months before the n-th month since January 1900."""
-    out = [0]
-    for n in range(200 * 12):
-        year, month = 1900 + n // 12, n % 12 + 1
-        following = datetime.date(year + month // 12, month % 12 + 1, 1)
-        out.append(out[-1] + (following - datetime.timedelta(days=1)).day - 12)
-    return out
+def _padding(*numbers: str) -> int:
+    return 2 if all(len(n) == 2 for n in numbers) else 1
 
 
-_LATE_DAYS = _late_days()
+def _month_first(t: datetime.date, sep: str, pad: int) -> str:
+    """Month first where the day tells it; else the year first and the month's name, in lower case for numbers without zeros."""
+    if t.day > 12:
+        return f"{t.month:0{pad}d}{sep}{t.day}{sep}{t.year}"
+    name = MONTHS[t.month - 1][:3]
+    return f"{t.year}{sep}{name if pad == 2 else name.lower()}{sep}{t.day:0{pad}d}"
 
 
 def numeric_date(text: str) -> Format | None:
     """Day first; month first only where day first is no date, that is for days after the 12th."""
     sep = re.search(r"\D", text)[0]
     a, b, y = text.split(sep)
-    pad = 2 if len(a) == 2 and len(b) == 2 else 1
+    pad = _padding(a, b)
     day_first = _date(int(y), int(b), int(a), lambda t: f"{t.day:0{pad}d}{sep}{t.month:0{pad}d}{sep}{t.year}")
-    if day_first:
-        return day_first
-    try:
-        date = datetime.date(int(y), int(a), int(b))
-    except ValueError:
-        return None
-    if not 0 <= date.toordinal() - FIRST_DAY < DAYS:
+    return day_first or _date(int(y), int(a), int(b), lambda t: _month_first(t, sep, pad))
+
+
+def month_between(text: str) -> Format | None:
+    """The other spelling of a month-first date: only days up to the 12th have it."""
+    sep = text[4]
+    y, name, d = text.split(sep)
+    month = next((i for i, m in enumerate(MONTHS, 1) if m[:3] == name.capitalize()), 0)
+    if not month or int(d) > 12 or not (name.islower() or name.istitle()):
         return None
+    return _date(int(y), month, int(d), lambda t: _month_first(t, sep, 1 if name.islower() else 2))
 
-    def write(x: int) -> str:
-        # Permuted among the dates that this notation can be told by.
-        month = bisect.bisect_right(_LATE_DAYS, x) - 1
-        return f"{month % 12 + 1:0{pad}d}{sep}{x - _LATE_DAYS[month] + 13:02d}{sep}{1900 + month // 12}"
 
-    return "month first", _LATE_DAYS[-1], _month_first_rank(date), write
+def _ordinal(day: int) -> str:
+    return "th" if 11 <= day <= 13 else {1: "st", 2: "nd", 3: "rd"}.get(day % 10, "th")
 
 
 def named_date(text: str) -> Format | None:
-    word = re.search(r"[A-Za-z]{3,}", text)[0]
+    # Not the letters of an ordinal, nor "of".
+    word = re.search(r"(?<!\d)[A-Za-z]{3,}", text)[0]
     month = next((i for i, m in enumerate(MONTHS, 1) if m.lower().startswith(word.lower()) and len(word) in (3, len(m))), 0)
     numbers = [int(x) for x in re.findall(r"\d+", text)]
     if not month or len(numbers) != 2:
@@ -261,8 +285,13 @@ def named_date(text: str) -> Format | None:
         name = name[:3] if len(word) == 3 and MONTHS[month - 1] != word.capitalize() else name
         name = name.upper() if word.isupper() else name.lower() if word.islower() else name
         out = text[: text.index(word)] + "\0" + text[text.index(word) + len(word) :]
-        values = iter((str(t.day), str(t.year)))
-        return re.sub(r"\d+", lambda _: next(values), out).replace("\0", name)
+        values = iter((t.day, t.year))
+
+        def number(m: re.Match) -> str:
+            ending = _ordinal(t.day) if m[2] else ""
+            return f"{next(values)}{ending.upper() if m[2] and m[2].isupper() else ending}"
+
+        return re.sub(r"(\d+)(st|nd|rd|th)?", number, out, flags=re.I).replace("\0", name)
 
     return _date(numbers[1], month, numbers[0], write)
 
@@ -286,25 +315,39 @@ def _mixed(text: str, alphabets: list[str]) -> tuple[int, int, Callable[[int], s
     return size, rank, write
 
 
-_LETTERS, _DIGITS, _HEX = "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789abcdef"
 
 
-def email(text: str) -> Format | None:
+#: Longer texts are permuted in parts of so many characters, each in a domain of its place.
+_PART = 128
+
+
+def _in_parts(name: str, text: str, alphabets: list[str], spelt: Callable[[str, int], str], rest: str = "") -> list[Format]:
+    """A permutation of the text's free characters a part at a time; ``rest`` follows the last part."""
+    out = []
+    if len(text) > _PART:
+        name = hashlib.blake2b(name.encode(), digest_size=16).hexdigest()
+    for at in range(0, len(text), _PART):
+        size, rank, write = _mixed(text[at : at + _PART], alphabets[at : at + _PART])
+        place = "" if len(text) <= _PART else f" {at}"
+        tail = rest if at + _PART >= len(text) else ""
+        out.append((f"{name}{place}", size, rank, lambda x, w=write, at=at, tail=tail: spelt(w(x), at) + tail))
+    return out
+
+
+def email(text: str) -> list[Format] | None:
     local, _, domain = text.rpartition("@")
     low = local.lower() if len(local.lower()) == len(local) else local
     alphabets = [_LETTERS if c in _LETTERS else _DIGITS if c in _DIGITS else "" for c in low]
-    size, rank, write = _mixed(low, alphabets)
-    if size == 1:
+    if not any(alphabets):
         return None
     shape = "".join("a" if a == _LETTERS else "9" if a else c for a, c in zip(alphabets, low, strict=True))
-    cased = lambda s: "".join(c.upper() if o.isupper() else c for c, o in zip(s, local, strict=True))
-    return f"email {shape}@{domain.lower()}", size, rank, lambda x: f"{cased(write(x))}@{domain}"
+    cased = lambda s, at: "".join(c.upper() if o.isupper() else c for c, o in zip(s, local[at:], strict=False))
+    return _in_parts(f"email {shape}@{domain.lower()}", low, alphabets, cased, f"@{domain}")
 
 
-def secret(text: str) -> Format | None:
+def secret(text: str) -> list[Format]:
     low = text.lower()
-    size, rank, write = _mixed(low, [_HEX] * len(low))
-    return f"hex {len(low)}", size, rank, lambda x: write(x).upper() if text != low else write(x)
+    return _in_parts(f"hex {len(low)}", low, [_HEX] * len(low), lambda s, _: s.upper() if text != low else s)
 
 
 def _mod97(rearranged: str) -> int:
@@ -334,52 +377,65 @@ class Kind:
 
     name: str
     pattern: re.Pattern
-    read: Callable[[str], Format | None]
+    read: Callable[[str], Format | list[Format] | None]
     before: str = r"[\w.+-]"
     after: str = r"\w"
 
 
 _MONTH = "|".join(f"{m[:3]}(?:{m[3:]})?" if len(m) > 3 else m for m in MONTHS)
+_SHORT_MONTH = "|".join(m[:3] for m in MONTHS)
 #: In order of precedence; every pattern starts with a plain set of characters, which keeps scanning fast.
 KINDS = (
     Kind("email", re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), email, before="", after=r"[\w]"),
-    Kind("secret", re.compile(r"[=:][ \t]*[\"']?([0-9a-fA-F]{16,128})"), secret, before="", after=r"\w"),
+    Kind("secret", re.compile(r"[=:][ \t]*[\"']?([0-9a-fA-F]{16,})"), secret, before="", after=r"\w"),
     Kind("iban", re.compile(r"[A-Z][A-Z]\d\d(?: ?[A-Z0-9]){11,}"), iban, before=r"\w"),
     Kind("ipv4", re.compile(r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"), ipv4, before=r"[\w.]", after=r"\w|\.\d"),
-    Kind("date", re.compile(r"\d{4}([-/.])\d\d\1\d\d"), iso_date, before=r"[\w.-]", after=r"(?![Tt][0-2]\d(?::?[0-5]\d|[Zz]|[+.,-]|\b))\w|-\d"),
+    Kind("ipv6", re.compile(r"[0-9A-Fa-f:](?:[0-9A-Fa-f]{0,4}:){1,7}[0-9A-Fa-f:]{0,5}"), ipv6, before=r"[\w:.]", after=r"[\w:]|\.\d"),
+    Kind("date", re.compile(r"\d{4}(?:([-/.])\d\d\1\d\d|([-/])\d{1,2}\2\d{1,2})"), iso_date, before=r"[\w.-]", after=r"(?![Tt][0-2]\d(?::?[0-5]\d|[Zz]|[+.,-]|\b))\w|-\d"),
     Kind("date", re.compile(r"\d{1,2}([-/.])\d{1,2}\1\d{4}"), numeric_date, before=r"[\w.-]", after=r"[\w]|-\d"),
-    Kind("date", re.compile(rf"\d{{1,2}} (?:{_MONTH}),? \d{{4}}", re.I), named_date, before=r"\w"),
-    Kind("date", re.compile(rf"(?:{_MONTH}) \d{{1,2}}, \d{{4}}", re.I), named_date, before=r"\w"),
+    Kind("date", re.compile(rf"\d{{4}}([-/.])(?:{_SHORT_MONTH})\1\d{{1,2}}", re.I), month_between, before=r"[\w.-]", after=r"[\w]|-\d"),
+    Kind("date", re.compile(rf"\d{{1,2}}(?:st|nd|rd|th)? (?:of )?(?:{_MONTH}),? \d{{4}}", re.I), named_date, before=r"\w"),
+    Kind("date", re.compile(rf"(?:{_MONTH}) \d{{1,2}}(?:st|nd|rd|th)?, \d{{4}}", re.I), named_date, before=r"\w"),
     Kind("ssn", re.compile(r"\d{3}-\d\d-\d{4}"), ssn, before=r"[\w-]", after=r"[\w]|-\d"),
     Kind("phone", re.compile(r"\+\d(?:[ .-]?\(?\d+\)?)+"), phone, before=r"[\w+]"),
     Kind("phone", re.compile(r"[\d(](?:[ .-]?\(?\d{2,3}\)?){1,2}[ .-]?\d{3}[ .-]\d{4}"), phone, before=r"[\w+]|\d-"),
     Kind("card", re.compile(r"\d(?:[ -]?\d){12,}"), card, before=r"\w", after=r"\w"),
 )
-_LOCAL = re.compile(r"[\w.%+-]+$")
+_LOCAL_LETTER = re.compile(r"[\w.%+-]")
 _SECRET_NAME = re.compile(r"(?:token|key|secret|password|passwd|pwd)[\"']?[ \t]*$", re.I)
 _WORTH = re.compile(r"[0-9@]")
-_LONGEST_LOCAL = 64
+#: Words before a bare number that make it no address or phone, and words behind it that make it an amount.
+_NUMBERED = re.compile(r"\b(?:version|ver|v|release|build|firmware|revision|rev|section|chapter|model|serial|sku)[.:#]?\s*$", re.I)
+_COUNTED = re.compile(r"\s+(?:rows?|lines?|items?|records?|units?|pieces?|points?|pages?|steps?|users?|times|bytes|euros?|dollars?|km|kg|mm|cm)\b", re.I)
 
 
 def _candidates(kind: Kind, text: str) -> Iterator[tuple[int, int]]:
     for m in kind.pattern.finditer(text):
         a, b = m.span()
         if kind.name == "email":
-            local = _LOCAL.search(text, max(0, a - _LONGEST_LOCAL), a)
-            if local is None:
+            # The whole run before the sign, however long; a run ends where an earlier sign stands, so runs do not meet.
+            start = a
+            while start > 0 and _LOCAL_LETTER.match(text[start - 1]):
+                start -= 1
+            if start == a:
                 continue
-            a = local.start()
+            a = start
         elif kind.name == "secret":
             if not _SECRET_NAME.search(text, max(0, a - 24), a):
                 continue
             a, b = m.span(1)
+        elif kind.name == "phone" and text[b - 1] == ")" and text.count("(", a, b) < text.count(")", a, b):
+            b -= 1
         yield a, b
 
 
 def _fits(kind: Kind, text: str, a: int, b: int) -> bool:
     if kind.before and a and re.match(kind.before, text[a - 1]):
         return False
-    return not (kind.after and re.match(kind.after, text[b : b + 6]))
+    if kind.after and re.match(kind.after, text[b : b + 6]):
+        return False
+    bare = kind.name == "ipv4" or (kind.name == "phone" and text[a].isdigit() and "(" not in text[a:b])
+    return not (bare and (_NUMBERED.search(text[max(0, a - 16) : a]) or _COUNTED.match(text[b : b + 16])))
 
 
 def _windows(kind: Kind, text: str, a: int, b: int, separators: str) -> Iterator[tuple[int, int]]:
@@ -404,6 +460,12 @@ _CUTS = (" ", " .-")
 _SEPARATED = re.compile(r"[.-]")
 
 
+def _free(spans: list[tuple], starts: list[int], a: int, b: int) -> bool:
+    """Does a..b meet none of these ordered spans?"""
+    i = bisect.bisect_left(starts, b)
+    return not i or spans[i - 1][1] <= a
+
+
 class Pseudonyms:
     """Finds values in texts and replaces them under one key; equal values are computed once."""
 
@@ -425,20 +487,32 @@ class Pseudonyms:
             return []
         found: list[tuple[int, int, str, str]] = []
         for kind in KINDS:
+            # In order and free of overlap, so a span can only meet its neighbours in either list.
+            starts, new, last = [f[0] for f in found], [], -1
             for span in _candidates(kind, text):
+                here: list[tuple[int, int, str, str]] = []
                 for separators in _CUTS:
-                    end = -1
+                    here_starts, more, end = [f[0] for f in here], [], last
                     for a, b in _windows(kind, text, *span, separators):
-                        if a < end or not _fits(kind, text, a, b) or any(a < y and x < b for x, y, _, _ in found):
+                        if a < end or not _fits(kind, text, a, b) or not (_free(found, starts, a, b) and _free(here, here_starts, a, b)):
                             continue
                         form = kind.read(text[a:b])
                         if form is not None:
-                            domain, size, rank, write = form
-                            found.append((a, b, kind.name, write(self._moved(domain, size, rank))))
+                            more.append((a, b, kind.name, self._spelt(form)))
                             end = b
-                    if (found and found[-1][:2] == span) or not _SEPARATED.search(text, *span):
+                    here = sorted(here + more)
+                    if (here and here[0][:2] == span) or not _SEPARATED.search(text, *span):
                         break
-        return sorted(found)
+                if here:
+                    new += here
+                    last = here[-1][1]
+            if new:
+                found = sorted(found + new)
+        return found
+
+    def _spelt(self, form: Format | list[Format]) -> str:
+        parts = form if isinstance(form, list) else [form]
+        return "".join(write(self._moved(domain, size, rank)) for domain, size, rank, write in parts)
 
     def replace(self, text: str) -> tuple[str, list[tuple[int, int, str, str]]]:
         spans, out, at = self.spans(text), [], 0
