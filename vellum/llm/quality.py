@@ -138,20 +138,23 @@ def path_rules(debug_string: str) -> list[Rule]:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text, _y) of the sampled labelled rows of ``docs``; no label outside the training part is read.
+    """(text, _y) of at most ``sample`` labelled documents; no label outside the training part is read.
 
-    The sample's ids are bounded by ``sample``, so they are broadcast and the
-    documents are not shuffled.
+    Only labels whose document is there count towards the sample; of rows that repeat an id the
+    smallest text stands for it. The sample's ids are bounded, so they are broadcast and the
+    documents are not shuffled, but for the sample's own.
     """
+    there = docs.select(F.col(id_col).alias("_there"))
     ids = (
         labels.where(in_training(id_col) & F.col(id_col).isNotNull() & F.col(label).isin(0, 1))
+        .join(there, F.col(id_col) == F.col("_there"), "left_semi")
         .groupBy(F.col(id_col).alias("_id"))
         .agg(F.max(F.col(label)).cast("double").alias("_y"))
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(sample)
     )
     texts = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(ids), F.col("_d") == F.col("_id")).select("text", "_y")
+    return texts.join(F.broadcast(ids), F.col("_d") == F.col("_id")).groupBy("_id", "_y").agg(F.min("text").alias("text")).select("text", "_y")
 
 
 def fit(
