@@ -170,7 +170,8 @@ def fit(
 ) -> RuleModel:
     """Learn the rule ensemble from at most ``sample`` labelled rows."""
     prepare(docs.sparkSession)
-    rows = with_statistics(training_sample(docs, labels, label, sample, id_col, text_col), "text", [F.col("_y")])
+    # Written first: over an aggregation the statistics would be folded into it, and computed again wherever one is used.
+    rows = with_statistics(checkpointed(training_sample(docs, labels, label, sample, id_col, text_col)), "text", [F.col("_y")])
     rows = rows.select(F.col("_k0").alias("label"), "_s").withColumn(
         "features", array_to_vector(F.array(*[F.col(f"_s.{n}") for n in STATISTICS]))
     )
