@@ -65,3 +65,33 @@ def test_every_wording_is_found_as_its_own(spark):
 def test_wordings_need_no_python_and_no_shuffle(spark):
     plan = spark.createDataFrame([("a", "b")], "p string, text string").select(header_licence(F.col("text")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+#: Near relatives, denials, expressions: what is told wrongly if the nearest known notice is taken.
+RELATED = [
+    ("Redistribution and use are permitted under the BSD 2-Clause License.", "BSD-2-Clause"), ("Licensed under CC BY 3.0.", "CC-BY-3.0"),
+    ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"), ("Licensed under CC BY-SA 3.0.", "CC-BY-SA-3.0"), ("Licensed under CC BY 5.0.", None),
+    ("Licensed under CC BY-NC-SA 2.5.", "CC-BY-NC-SA-2.5"), ("MIT-0 License", "MIT-0"), ("Released under the MIT-0 License.", "MIT-0"),
+    ("This work is licensed under the GNU General Public License, version 1.", "GPL-1.0"),
+    ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"),
+    ("This work is licensed under the GNU General Public License, version 9.", None),
+    ("This work is not licensed under the GNU General Public License, version 3.", None), ("It was never released under the MIT License.", None),
+    ("This work is not licensed under the GNU General Public License, version 3, but is licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("This file is not licensed under the MIT License. Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("# SPDX-License-Identifier: MIT OR Apache-2.0", "MIT OR Apache-2.0"), ("SPDX-License-Identifier: (mit OR GPL-2.0-only)  AND ISC", "(MIT OR GPL-2.0) AND ISC"),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", "GPL-2.0 WITH Classpath-exception-2.0"),
+    ("SPDX-License-Identifier: Foo-1.0 OR Bar-2.0", None), ("SPDX-License-Identifier: MIT and more", "MIT"),
+]
+
+
+def test_relatives_denials_and_expressions(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(RELATED)], "i int, text string")
+    got = {r.i: r.o and r.o.template for r in df.select("i", header_licence(F.col("text")).alias("o")).collect()}
+    assert [(t, got[i]) for i, (t, _) in enumerate(RELATED)] == RELATED
+
+
+def test_thousands_of_anchors_in_a_text(spark):
+    texts = ["the license of this copyright is of no known kind, " * 2000 + "under the MIT License " + "and its license goes on " * 2000, "licensed software " * 2000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r.i: r.o and r.o.template for r in df.select("i", header_licence(F.col("text")).alias("o")).collect()}
+    assert got == {0: "MIT", 1: None}

@@ -3,11 +3,11 @@ import random
 from pyspark.sql import functions as F
 
 from vellum.llm import licenses
-from vellum.llm.licenses import TEMPLATES, THRESHOLD, WINDOW, own_licence, scan_licences, terms_of, weights
+from vellum.llm.licenses import RELATIVES, TEMPLATES, THRESHOLD, WINDOW, own_licence, scan_licences, terms_of, weights
 
 
 def brute(text):
-    idf, other, vectors = weights(TEMPLATES)
+    idf, other, vectors = weights(TEMPLATES, RELATIVES)
     best = None
     for line in (text or "").split("\n"):
         low = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
@@ -21,7 +21,8 @@ def brute(text):
             norm = sum(x * x for x in weight.values()) ** 0.5
             for name, v in vectors.items():
                 score = round(sum(x * v.get(t, 0) for t, x in weight.items()) / norm, 6) if norm else 0
-                if score >= THRESHOLD and (best is None or (-score, name) < (-best[0], best[1])):
+                numbers = {t for t in v if t.isdigit()} <= set(w)
+                if score >= THRESHOLD and numbers and (best is None or (-score, name) < (-best[0], best[1])):
                     best = (score, name)
     return best
 
@@ -30,7 +31,7 @@ def test_scores_against_brute_force(spark):
     rng = random.Random(2)
     filler = [f"w{i}" for i in range(50)]
     texts = [None, "", "no notice", "license", "Licensed", "\n".join([*TEMPLATES.values()])]
-    for notice in TEMPLATES.values():
+    for notice in [*TEMPLATES.values(), *RELATIVES.values()]:
         texts += [notice, notice.upper(), notice.replace(" ", "$$$ "), "x y\n" + notice + "\nz", f"{rng.choice(filler)} {notice}"]
         texts += [" ".join(rng.choices(filler, k=500)) + " " + notice + " " + " ".join(rng.choices(filler, k=100)), notice.replace("the ", "a ")]
     texts.append("word " * 5000 + "Released under the MIT License. " * 40)
@@ -41,7 +42,7 @@ def test_scores_against_brute_force(spark):
         assert (got[i] is None) == (expected is None), t
         if expected:
             assert got[i].template == expected[1] and abs(got[i].score - expected[0]) < 2e-6
-    for name, notice in TEMPLATES.items():
+    for name, notice in {**TEMPLATES, **RELATIVES}.items():
         assert got[texts.index(notice)].template == name
 
 
@@ -68,3 +69,11 @@ def test_inheritance_from_the_nearest_ancestor(spark):
 def test_no_python_on_the_executors(spark):
     plan = spark.createDataFrame([("a", "b")], "p string, text string").select(own_licence(F.col("text")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_clashing_columns_are_kept_or_replaced(spark):
+    df = spark.createDataFrame([("a/LICENSE", TEMPLATES["MIT"], 1, 2, 3, 4), ("a/b.py", "x", 5, 6, 7, 8)], "path string, text string, _above int, _dir int, licence int, _own int")
+    out = scan_licences(df, F.col("path"), keep=df.columns)
+    assert out.columns == ["text", "_above", "_dir", "_own", "path", "own_licence", "own_score", "licence", "licence_dir", "levels_up"]
+    got = {r.path: (r._above, r._dir, r._own, r.licence, r.licence_dir, r.levels_up) for r in out.collect()}
+    assert got == {"a/LICENSE": (1, 2, 4, "MIT", None, 0), "a/b.py": (5, 6, 8, "MIT", "a", 1)}

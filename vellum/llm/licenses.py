@@ -5,15 +5,21 @@ stem (licen, copyright, rights reserved, spdx, public domain); it is cut into
 windows of at most 64 words that overlap by half, so that long lines are
 covered whole. A window's sparse vector has the weight count * idf for each
 of its terms, idf = ln((1 + N) / (1 + df)) + 1 over the N templates (a term of no
-template has df 0); the cosine to each template comes from the template's own
-sparse weights, held as constant maps. Scanning is a narrow pass without a
+template has df 0); the cosines come from the templates' own sparse weights, as
+postings of terms in a constant map. Scanning is a narrow pass without a
 shuffle. A file's own licence is the template of its best window if that
-reaches the threshold (ties to the smaller template name).
+reaches the threshold and holds the template's numbers (ties to the smaller
+template name). Near relatives of the templates (other versions and clauses) are
+compared by the same weights, so that they are told from them. What a text says
+it is not licensed under, up to 14 words, is taken out before. An SPDX expression
+of several licences is given whole, with its operators.
 
 Beside these one-line notices, the usual wordings (titles, SPDX tags, standard
 headers, the characteristic passages of full texts) are looked for: titles as
 whole lines, all others in the words of the text, whose lines are joined for it,
-by windows of about the wording's own length around each anchor. A wording also
+by windows of about the wording's own length around each anchor. Around an anchor
+only wordings are compared whose weights lie to the threshold's square or more on
+words that are there at all: no other can reach the cosine. A wording also
 needs its numbers and names (2, 0, apache) in the window, and no rival's
 (lesser, affero). A stated licence goes before a family without a version
 (GPL-1.0-or-later) or a text that others include (BSD-2-Clause), and these
@@ -26,7 +32,9 @@ the deepest ancestor with a licence is inherited by files without their own.
 
 Defined results: a NULL or empty text has no own licence; a NULL path has no
 directory, so nothing is inherited; repeated rows are scanned alike, row by
-row; an empty table gives no rows; further columns are kept where asked.
+row; an empty table gives no rows; further columns are kept where asked, whatever
+their names, but for those called like a result, which are replaced. Long texts
+are scanned whole; the work grows with their lines and anchors.
 """
 
 from __future__ import annotations
@@ -57,6 +65,24 @@ TEMPLATES = {
     "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
     "proprietary": "All rights reserved.",
 }
+_GPL_NOTICE = "This work is licensed under the GNU {}General Public License, version {}."
+#: Near relatives of the templates, in the same wordings.
+RELATIVES = {
+    "BSD-2-Clause": "Redistribution and use are permitted under the BSD 2-Clause License.",
+    "GPL-1.0": _GPL_NOTICE.format("", "1"),
+    "LGPL-2.0": _GPL_NOTICE.format("Lesser ", "2"),
+    "LGPL-2.1": _GPL_NOTICE.format("Lesser ", "2.1"),
+    "MIT-0": "Released under the MIT-0 License.",
+    **{f"CC-{terms}-{version}": f"Licensed under CC {terms} {version}."
+       for terms in ("BY", "BY-NC", "BY-NC-ND", "BY-NC-SA", "BY-ND", "BY-SA") for version in ("1.0", "2.0", "2.5", "3.0", "4.0")
+       if f"CC-{terms}-{version}" not in TEMPLATES},
+}
+#: What is denied: up to 14 words after "not licensed under", cut short by a stop, a semicolon or "but".
+_BUT = r"\bbut\b"
+DENIED = (
+    r"\b(not|never|no longer)\s+(\w+\s+){0,2}(licen[cs]ed|released|distributed|available|published|provided|covered)\s+(under|by)\b"
+    r"([^\w.;]+\w+(\.\d+)*){0,14}"
+)
 #: Names by which licences go, in the notation of the templates' keys.
 CALLED = {
     "AGPL-3.0": ("GNU Affero General Public License, version 3", "GNU AGPL version 3", "AGPL v3 License"),
@@ -73,6 +99,7 @@ CALLED = {
     "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "GNU LGPL version 2.1", "LGPL v2.1 License"),
     "LGPL-3.0": ("GNU Lesser General Public License, version 3", "GNU LGPL version 3", "LGPL v3 License"),
     "MIT": ("MIT License", "The MIT License (MIT)"),
+    "MIT-0": ("MIT-0 License", "MIT No Attribution License"),
     "MPL-2.0": ("Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "MPL 2.0 License"),
     "Unlicense": ("The Unlicense", "Unlicense License"),
 }
@@ -140,6 +167,10 @@ WORDINGS = (
 ANCHORS = ("licen", "copyright", "rights reserved", "spdx", "public domain")
 THRESHOLD = 0.75
 WINDOW = 64
+#: No window around an anchor reaches further: 50 words, 15 before them, and 16 after.
+REACH = 66
+_TAG = r"\(*\s*[A-Za-z0-9][A-Za-z0-9.+-]*(?:\s*\))*"
+SPDX_EXPRESSION = rf"(?i:spdx(?:-license-identifier)?):\s*({_TAG}(?:\s+(?:AND|OR|WITH)\s+{_TAG})*)"
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)(\.[a-z0-9]+)?$"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -148,18 +179,28 @@ def terms_of(text: str) -> list[str]:
     return [t for t in re.split(r"[^a-z0-9]+", text.lower()) if t]
 
 
-def weights(templates: dict[str, str]) -> tuple[dict[str, float], float, dict[str, dict[str, float]]]:
-    """(idf of each template term, idf of any other term, unit TF-IDF vector of each template)."""
-    counts = {name: Counter(terms_of(text)) for name, text in templates.items()}
-    df = Counter(t for c in counts.values() for t in c)
+def weights(templates: dict[str, str], relatives: dict[str, str] | None = None) -> tuple[dict[str, float], float, dict[str, dict[str, float]]]:
+    """(idf of each template term, idf of any other term, unit TF-IDF vector of each template and relative)."""
+    counts = {name: Counter(terms_of(text)) for name, text in {**templates, **(relatives or {})}.items()}
+    df = Counter(t for name in templates for t in counts[name])
     n = len(templates)
     idf = {t: math.log((1 + n) / (1 + d)) + 1 for t, d in sorted(df.items())}
+    other = math.log(1 + n) + 1
     vectors = {}
     for name in sorted(counts):
-        raw = {t: c * idf[t] for t, c in sorted(counts[name].items())}
+        raw = {t: c * idf.get(t, other) for t, c in sorted(counts[name].items())}
         norm = math.sqrt(sum(w * w for w in raw.values()))
         vectors[name] = {t: w / norm for t, w in raw.items()}
-    return idf, math.log(1 + n) + 1, vectors
+    return idf, other, vectors
+
+
+def numbers_of(vector: dict[str, float]) -> list[str]:
+    return sorted(t for t in vector if t.isdigit())
+
+
+def stated(low: Column) -> Column:
+    """A lower-cased text without what it denies."""
+    return F.regexp_replace(F.regexp_replace(low, _BUT, ";"), DENIED, " ; ")
 
 
 def _map(values: dict[str, float]) -> Column:
@@ -173,48 +214,64 @@ def _windows(words: Column, window: int) -> Column:
     return F.transform(starts, lambda s: F.slice(words, s + 1, F.lit(window)))
 
 
-def _dot(window: Column, terms: Column, values: dict[str, float]) -> Column:
-    """Sum over the distinct terms of (count in the window) * value."""
-    known = _map(values)
-    each = F.transform(
-        F.filter(terms, lambda t: F.map_contains_key(known, t)),
-        lambda t: F.size(F.filter(window, lambda x: x == t)) * F.element_at(known, t),
-    )
-    return F.aggregate(each, F.lit(0.0), lambda a, x: a + x)
+def _counts(window: Column) -> Column:
+    """struct(t, n) of the distinct terms of a window."""
+    return F.transform(F.array_distinct(window), lambda t: F.struct(t.alias("t"), F.size(F.filter(window, lambda x: x == t)).alias("n")))
 
 
-def _best_match(window: Column, templates: dict[str, str]) -> Column:
-    """struct(score, template) of the template nearest to the words of one window."""
-    idf, other, vectors = weights(templates)
-    terms = F.array_distinct(window)
-    known = _map(idf)
+def _length(counts: Column, known: Column, other: float) -> Column:
+    """The length of a window's vector."""
 
-    def squared(t: Column) -> Column:
-        w = F.size(F.filter(window, lambda x: x == t)) * F.coalesce(F.try_element_at(known, t), F.lit(other))
+    def squared(c: Column) -> Column:
+        w = c["n"] * F.coalesce(F.try_element_at(known, c["t"]), F.lit(other))
         return w * w
 
-    norm = F.sqrt(F.aggregate(F.transform(terms, squared), F.lit(0.0), lambda a, x: a + x))
-    scored = [
-        F.struct(
-            F.round(_dot(window, terms, {t: w * idf[t] for t, w in v.items()}) / norm, 6).alias("score"),
-            F.lit(-i).alias("order"),
-            F.lit(name).alias("template"),
-        )
-        for i, (name, v) in enumerate(vectors.items())
-    ]
-    return F.array_max(F.array(*scored))
+    return F.sqrt(F.aggregate(F.transform(counts, squared), F.lit(0.0), lambda a, x: a + x))
+
+
+def _postings(columns: list[dict[str, float]]) -> Column:
+    """A constant map from each term to its value in every one of the columns."""
+    dense = {t: [c.get(t, 0.0) for c in columns] for t in sorted({t for c in columns for t in c})}
+    return F.from_json(F.lit(json.dumps(dense)), "map<string,array<double>>")
+
+
+def _best_match(window: Column, templates: dict[str, str], relatives: dict[str, str], threshold: float) -> Column:
+    """struct(score, order, template) of the template nearest to the words of one window; NULL below the threshold."""
+    idf, other, vectors = weights(templates, relatives)
+    known = _map(idf)
+    postings = _postings([{t: w * idf.get(t, other) for t, w in v.items()} for v in vectors.values()])
+    names = F.from_json(F.lit(json.dumps([{"name": n, "numbers": numbers_of(v)} for n, v in vectors.items()])), "array<struct<name:string,numbers:array<string>>>")
+    zeros = F.array_repeat(F.lit(0.0), len(vectors))
+
+    def scored(counts: Column) -> Column:
+        hit = F.filter(counts, lambda c: F.map_contains_key(postings, c["t"]))
+        sums = F.aggregate(hit, zeros, lambda a, c: F.zip_with(a, F.element_at(postings, c["t"]), lambda x, y: x + c["n"] * y))
+
+        def told(norm: Column) -> Column:
+            each = F.transform(
+                sums,
+                lambda x, i: F.struct(F.round(x / norm, 6).alias("score"), (-i).alias("order"), F.get(names, i)["name"].alias("template"), F.get(names, i)["numbers"].alias("numbers")),
+            )
+            return F.array_max(
+                F.filter(each, lambda m: (m["score"] >= threshold) & F.forall(m["numbers"], lambda t: F.array_contains(window, t)))
+            )
+
+        return F.when(F.size(hit) > 0, _let(_length(counts, known, other), told))
+
+    return _let(_counts(window), scored)
 
 
 def own_licence(text: Column, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, window: int = WINDOW) -> Column:
     """struct(score, template) of the best header of a text; NULL below the threshold."""
-    plain = lambda line: F.translate(line, _UPPER, _LOWER)
+    relatives = RELATIVES if templates is TEMPLATES else {}
+    low = F.translate(text, _UPPER, _LOWER)
     anchored = lambda line: F.array_contains(F.array(*[F.contains(line, F.lit(a)) for a in ANCHORS]), True)
     # Texts without any anchor are passed over before anything is split.
-    lines = F.when(anchored(F.lower(text)), F.filter(F.transform(F.split(text, "\n"), plain), anchored))
+    lines = F.when(anchored(low), F.filter(F.split(stated(low), "\n"), anchored))
     words = lambda line: F.filter(F.split(line, "[^a-z0-9]+"), lambda w: w != "")
     windows = F.flatten(F.transform(lines, lambda line: _windows(words(line), window)))
-    best = F.array_max(F.transform(windows, lambda w: _best_match(w, templates)))
-    return F.when(best["score"] >= threshold, F.struct(best["score"].alias("score"), best["template"].alias("template")))
+    best = F.array_max(F.transform(windows, lambda w: _best_match(w, templates, relatives, threshold)))
+    return _let(best, lambda m: F.when(m.isNotNull(), F.struct(m["score"].alias("score"), m["template"].alias("template"))))
 
 
 def _let(value: Column, use) -> Column:
@@ -243,22 +300,15 @@ def _matches(window: Column, wordings: Column, known: Column, other: float, thre
     """The greatest struct(rank, score, order, template) of the wordings that a window's words reach the threshold with."""
 
     def scored(told: Column) -> Column:
-        counts = F.transform(F.array_distinct(window), lambda t: F.struct(t.alias("t"), F.size(F.filter(window, lambda x: x == t)).alias("n")))
-
-        def squared(c: Column) -> Column:
-            w = c["n"] * F.coalesce(F.try_element_at(known, c["t"]), F.lit(other))
-            return w * w
-
         def one(cs: Column, norm: Column, wording: Column) -> Column:
             products = F.transform(cs, lambda c: c["n"] * F.coalesce(F.try_element_at(wording["weights"], c["t"]), F.lit(0.0)))
             score = F.round(F.aggregate(products, F.lit(0.0), lambda a, x: a + x) / norm, 6)
             return F.struct(wording["rank"].alias("rank"), score.alias("score"), wording["order"].alias("order"), wording["name"].alias("template"))
 
         def all_of(cs: Column) -> Column:
-            norm = F.sqrt(F.aggregate(F.transform(cs, squared), F.lit(0.0), lambda a, x: a + x))
-            return _let(norm, lambda v: F.array_max(F.filter(F.transform(told, lambda wording: one(cs, v, wording)), lambda m: m["score"] >= threshold)))
+            return _let(_length(cs, known, other), lambda v: F.array_max(F.filter(F.transform(told, lambda wording: one(cs, v, wording)), lambda m: m["score"] >= threshold)))
 
-        return F.when(F.size(told) > 0, _let(counts, all_of))
+        return F.when(F.size(told) > 0, _let(_counts(window), all_of))
 
     # Most windows lack the telling terms of every wording and are done here.
     told = F.filter(
@@ -288,22 +338,48 @@ def _anchors(words: Column) -> Column:
 def _worded(words: Column, all_wordings: tuple[tuple[str, str], ...], threshold: float) -> Column:
     """The best match of all wordings in the windows around the anchors of a text's words."""
     known, other, rows = _constants(all_wordings)
-    by_length: dict[int, list[dict]] = {}
     for (_, text), row in zip(all_wordings, rows, strict=True):
-        by_length.setdefault(_about(len(terms_of(text))), []).append(row)
-    # Short wordings hold an anchor themselves, longer ones lie beside one.
-    groups = [
-        {"length": n, "steps": list(range(1 - n, 1)) if n <= 16 else list(range(-n - 15, 17, n // 8)), "wordings": of} for n, of in sorted(by_length.items())
-    ]
-    constant = F.from_json(F.lit(json.dumps(groups)), f"array<struct<length:int,steps:array<int>,wordings:array<{_WORDING}>>>")
-
-    def around(anchors: Column, group: Column) -> Column:
-        starts = F.flatten(F.transform(anchors, lambda p: F.transform(group["steps"], lambda d: F.greatest(p + d, F.lit(0)))))
-        starts = F.filter(F.array_distinct(starts), lambda s: s < F.size(words))
-        window = lambda s: F.slice(words, s + 1, group["length"])
-        return F.array_max(F.transform(starts, lambda s: _let(window(s), lambda w: _matches(w, group["wordings"], known, other, threshold))))
-
-    return _let(_anchors(words), lambda anchors: F.array_max(F.transform(constant, lambda group: around(anchors, group))))
+        # Short wordings hold an anchor themselves, longer ones lie beside one.
+        n = row["length"] = _about(len(terms_of(text)))
+        row["steps"] = list(range(1 - n, 1)) if n <= 16 else list(range(-n - 15, 17, n // 8))
+    constant = F.from_json(F.lit(json.dumps(rows)), f"array<{_WORDING[:-1]},length:int,steps:array<int>>>")
+    _, _, vectors = weights({i: text for i, (_, text) in enumerate(all_wordings)})
+    masses = _postings([{t: round(w * w, 6) for t, w in vectors[i].items()} for i in range(len(all_wordings))])
+    zeros = F.array_repeat(F.lit(0.0), len(all_wordings))
+    least = threshold * threshold - 1e-3  # below the rounding of the masses
+
+    def of_wording(p: Column, wording: Column) -> Column:
+        starts = F.array_distinct(F.transform(wording["steps"], lambda d: F.greatest(p + d, F.lit(0))))
+        starts = F.filter(starts, lambda s: s < F.size(words))
+        window = lambda s: F.slice(words, s + 1, wording["length"])
+        return F.array_max(F.transform(starts, lambda s: _let(window(s), lambda w: _matches(w, F.array(wording), known, other, threshold))))
+
+    def around(p: Column) -> Column:
+        def alive(near: Column) -> Column:
+            each = F.filter(F.transform(near, lambda t: F.try_element_at(masses, t)), lambda m: m.isNotNull())
+            mass = F.aggregate(each, zeros, lambda a, m: F.zip_with(a, m, lambda x, y: x + y))
+            return _let(
+                mass,
+                lambda m: F.filter(
+                    constant, lambda w, i: (F.get(m, i) >= least) & F.forall(w["telling"], lambda t: F.array_contains(near, t))
+                ),
+            )
+
+        first = F.greatest(p - REACH, F.lit(0))
+        near = F.array_distinct(F.slice(words, first + 1, p - first + REACH + 1))
+        return _let(_let(near, alive), lambda ws: F.array_max(F.transform(ws, lambda w: of_wording(p, w))))
+
+    return F.array_max(F.transform(_anchors(words), around))
+
+
+def spdx_expression(text: Column) -> Column:
+    """The licences of a text's first SPDX tag, joined by AND, OR and WITH, if one of them is known; else NULL."""
+    expression = F.regexp_extract(text, SPDX_EXPRESSION, 1)
+    canonical = F.from_json(F.lit(json.dumps({tag.lower(): name for name, tags in SPDX.items() for tag in tags})), "map<string,string>")
+    parts = F.filter(F.split(F.regexp_replace(expression, r"([()])", " $1 "), r"\s+"), lambda x: x != "")
+    known = lambda x: F.map_contains_key(canonical, F.lower(x))
+    spelt = F.array_join(F.transform(parts, lambda x: F.coalesce(F.try_element_at(canonical, F.lower(x)), x)), " ")
+    return F.when((expression != "") & F.exists(parts, known), F.regexp_replace(F.regexp_replace(spelt, r"\( ", "("), r" \)", ")"))
 
 
 def header_licence(
@@ -320,18 +396,25 @@ def header_licence(
         wordings = WORDINGS if templates is TEMPLATES else tuple(templates.items())
     if titles is None:
         titles = TITLES if templates is TEMPLATES else ()
-    low = F.translate(text, _UPPER, _LOWER)
+    low = stated(F.translate(text, _UPPER, _LOWER))
     split = lambda t: F.filter(F.split(t, "[^a-z0-9]+"), lambda w: w != "")
     anchored = lambda t: F.array_contains(F.array(*[F.contains(t, F.lit(a)) for a in ("licen", "copyright", "reserved", "spdx", "domain")]), True)
     ranked = lambda m: F.struct(
         F.when(m["template"] == "proprietary", F.lit(0)).otherwise(F.lit(2)).alias("rank"), m["score"].alias("score"), F.lit(0).alias("order"), m["template"].alias("template")
     )
-    found = [_let(own_licence(text, templates, threshold), lambda notice: F.when(notice.isNotNull(), ranked(notice))), F.when(anchored(low), _let(split(low), lambda ws: _worded(ws, wordings, threshold)))]
+    may_hold = anchored(F.translate(text, _UPPER, _LOWER))
+    found = [
+        _let(own_licence(text, templates, threshold), lambda notice: F.when(notice.isNotNull(), ranked(notice))),
+        F.when(may_hold, _let(split(low), lambda ws: _worded(ws, wordings, threshold))),
+    ]
+    if templates is TEMPLATES:
+        told = lambda e: F.when(e.isNotNull(), F.struct(F.lit(3).alias("rank"), F.lit(1.0).alias("score"), F.lit(0).alias("order"), e.alias("template")))
+        found.append(F.when(may_hold, _let(spdx_expression(text), told)))
     if titles:
         known, other, rows = _constants(titles)
         constant = F.from_json(F.lit(json.dumps(rows)), f"array<{_WORDING}>")
         lines = F.filter(F.transform(F.filter(F.split(low, "\n"), anchored), split), lambda ws: F.size(ws) <= 16)
-        found.append(F.when(anchored(low), F.array_max(F.transform(lines, lambda ws: _matches(ws, constant, known, other, threshold)))))
+        found.append(F.when(may_hold, F.array_max(F.transform(lines, lambda ws: _matches(ws, constant, known, other, threshold)))))
     return _let(
         F.array_max(F.array(*found)), lambda best: F.when(best.isNotNull(), F.struct(best["score"].alias("score"), best["template"].alias("template")))
     )
@@ -353,17 +436,23 @@ def inherited(files: DataFrame, is_licence_file: Column | None = None) -> DataFr
     (path, own_licence, own_score, ...)."""
     if is_licence_file is None:
         is_licence_file = F.regexp_extract("path", r"([^/]*)$", 1).rlike(LICENCE_FILE)
-    files = checkpointed(files.withColumn("_dir", parent(F.col("path"))).withColumn("_states", F.coalesce(is_licence_file, F.lit(False))))
-    stated = (
+    made = ("path", "own_licence", "own_score", "licence", "licence_dir", "levels_up")
+    order = [c for c in files.columns if c not in made[3:]]
+    rest = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(order)]
+    files = checkpointed(
+        files.select("path", "own_licence", "own_score", F.struct(*rest).alias("_rest"), parent(F.col("path")).alias("_dir"),
+                     F.coalesce(is_licence_file, F.lit(False)).alias("_states"))
+    )
+    holding = (
         files.where("_states AND own_licence IS NOT NULL AND _dir IS NOT NULL")
         .groupBy(F.col("_dir").alias("_above"))
         .agg(F.max(F.struct("own_score", "own_licence")).alias("_s"))
         .select("_above", F.col("_s.own_licence").alias("_licence"))
     )
-    stated = checkpointed(stated)
+    holding = checkpointed(holding)
     climbing = checkpointed(files.where("_dir IS NOT NULL").select("_dir").distinct().select("_dir", F.explode(ancestors(F.col("_dir"))).alias("_above")))
     nearest = (
-        climbing.join(stated, "_above")
+        climbing.join(holding, "_above")
         .groupBy("_dir")
         .agg(F.max_by(F.struct("_above", "_licence"), F.length("_above")).alias("_n"))
         .select("_dir", F.col("_n._above").alias("_above"), F.col("_n._licence").alias("_licence"))
@@ -371,12 +460,11 @@ def inherited(files: DataFrame, is_licence_file: Column | None = None) -> DataFr
     nearest = checkpointed(nearest)
     depth = lambda d: F.size(F.filter(F.split(d, "/"), lambda x: x != ""))
     own = F.col("own_licence").isNotNull()
-    return (
-        files.join(nearest, "_dir", "left")
-        .withColumn("licence", F.coalesce("own_licence", "_licence"))
-        .withColumn("licence_dir", F.when(~own, F.col("_above")))
-        .withColumn("levels_up", F.when(own, F.lit(0)).when(F.col("_above").isNotNull(), depth(F.col("_dir")) - depth(F.col("_above")) + 1))
-        .drop("_dir", "_above", "_licence", "_states")
+    return files.join(nearest, "_dir", "left").select(
+        *[F.col(f"_rest.c{i}").alias(c) for i, c in enumerate(order)],
+        F.coalesce("own_licence", "_licence").alias("licence"),
+        F.when(~own, F.col("_above")).alias("licence_dir"),
+        F.when(own, F.lit(0)).when(F.col("_above").isNotNull(), depth(F.col("_dir")) - depth(F.col("_above")) + 1).alias("levels_up"),
     )
 
 
@@ -391,9 +479,10 @@ def scan_licences(
 ) -> DataFrame:
     """Per file: kept columns, path, own_licence, own_score, licence, licence_dir, levels_up."""
     prepare(files.sparkSession)
-    kept = [F.col(f"`{c}`") for c in (keep or [])]
-    scanned = files.select(*kept, path.alias("path"), header_licence(F.col(text_col), templates, threshold).alias("_own"))
-    scanned = scanned.select(*kept, "path", F.col("_own.template").alias("own_licence"), F.col("_own.score").alias("own_score"))
+    made = ("path", "own_licence", "own_score", "licence", "licence_dir", "levels_up")
+    kept = [F.col(f"`{c}`") for c in (keep or []) if c not in made]
+    scanned = files.select(F.struct(*kept, path.alias("path")).alias("_file"), header_licence(F.col(text_col), templates, threshold).alias("_own"))
+    scanned = scanned.select("_file.*", F.col("_own.template").alias("own_licence"), F.col("_own.score").alias("own_score"))
     return inherited(scanned, is_licence_file)
 
 
@@ -423,15 +512,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    idf, other, vectors = weights(TEMPLATES)
+    idf, other, vectors = weights(TEMPLATES, RELATIVES)
+    numbers = ", ".join(f"('{name}', {numbers_of(v)}::VARCHAR[])" for name, v in vectors.items())
     terms = ", ".join(f"('{t}', {w!r})" for t, w in idf.items())
-    parts = ", ".join(f"('{name}', '{t}', {w * idf[t]!r})" for name, v in vectors.items() for t, w in v.items())
+    parts = ", ".join(f"('{name}', '{t}', {w * idf.get(t, other)!r})" for name, v in vectors.items() for t, w in v.items())
     anchors = " OR ".join(f"contains(line, '{a}')" for a in ANCHORS)
     half = WINDOW // 2
     return f"""
-WITH idf(term, w) AS (VALUES {terms}), tpl(template, term, w) AS (VALUES {parts}),
+WITH idf(term, w) AS (VALUES {terms}), tpl(template, term, w) AS (VALUES {parts}), need(template, numbers) AS (VALUES {numbers}),
+low AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS line FROM documents),
 lines AS (
-  SELECT doc_id, translate(unnest(string_split(coalesce(text, ''), chr(10))), '{_UPPER}', '{_LOWER}') AS line FROM documents
+  SELECT doc_id, unnest(string_split(regexp_replace(regexp_replace(line, '{_BUT}', ';', 'g'), '{DENIED}', ' ; ', 'g'), chr(10))) AS line
+  FROM low WHERE {anchors}
 ), words AS (
   SELECT doc_id, row_number() OVER () AS line_id, list_filter(regexp_split_to_array(line, '[^a-z0-9]+'), lambda w: w <> '') AS ws
   FROM lines WHERE {anchors}
@@ -447,7 +539,8 @@ lines AS (
   SELECT doc_id, line_id, pos, template, round(sum(n * w) / any_value(norm), 6) AS score
   FROM tf JOIN tpl USING (term) JOIN norm USING (doc_id, line_id, pos) GROUP BY ALL
 ), best AS (
-  SELECT doc_id, score, template FROM score WHERE score >= {THRESHOLD}
+  SELECT doc_id, score, template FROM score JOIN need USING (template) JOIN win USING (doc_id, line_id, pos)
+  WHERE score >= {THRESHOLD} AND list_has_all(ws, numbers)
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, template) = 1
 ), files AS (
   SELECT d.doc_id, concat_ws('/', source, lang) AS dir, source, concat_ws('/', source, lang, CAST(d.doc_id AS VARCHAR)) AS path,
