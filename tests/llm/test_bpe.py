@@ -92,3 +92,29 @@ def test_operators_round_trip_with_clashing_columns(spark, exact):
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(raw).hexdigest()
     assert bpe.encode_digests(df.limit(0), PATH).count() == 0 and bpe.encode(df.limit(0), PATH).count() == 0
+
+
+def test_decoding_places_tokens_by_their_offsets(own):
+    texts = ["", "Hello wörld's 42 tests", None, "\n\n  end 中🙂", ""]
+    for _, _, ids, bounds in own.encode_rows(pa.array(texts, pa.string())):
+        starts = own.token_offsets(ids, bounds)
+        whole, ends = own.decode_at(ids, starts, bounds)
+        assert [whole[a:b].tobytes().decode() for a, b in zip(ends[:-1], ends[1:])] == [t or "" for t in texts]
+        # The tokens' order does not matter, their offsets do.
+        a, b = bounds[1:3]
+        back = np.arange(len(ids))
+        back[a : b - 1] = back[a : b - 1][::-1]
+        assert own.decode_at(ids[back], starts[back], bounds)[0].tobytes() == whole.tobytes()
+        shifted = starts.copy()
+        shifted[bounds[1] + 1] += 1
+        assert own.decode_at(ids, shifted, bounds)[0].tobytes() != whole.tobytes()
+
+
+def test_the_digests_depend_on_the_offsets(spark):
+    df = spark.createDataFrame([(1, "Hello wörld's 42 tests")], "doc_id long, text string")
+    right = bpe.encode_digests(df, PATH).first()
+    plain = bpe.ByteBPE(PATH)
+    ids, bounds = next((i, b) for _, _, i, b in plain.encode_rows(pa.array(["Hello wörld's 42 tests"])))
+    starts = plain.token_offsets(ids, bounds)
+    assert right.decoded_sha256 == hashlib.sha256(plain.decode_at(ids, starts, bounds)[0].tobytes()).hexdigest()
+    assert right.decoded_sha256 != hashlib.sha256(plain.decode_at(ids, np.append(starts[:1], starts[1:] + 1), bounds)[0].tobytes()).hexdigest()

@@ -342,6 +342,17 @@ class ByteBPE:
         """The tokens' bytes, one after another."""
         return spell(ids, self.bytes_table)
 
+    def decode_at(self, ids: np.ndarray, starts: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of the rows, bounds of the rows in them): each token's bytes are put at its offset in its text."""
+        lengths = self.bytes_table[2][ids]
+        sizes, filled = np.zeros(len(bounds) - 1, np.int64), np.flatnonzero(np.diff(bounds))
+        last = bounds[1:][filled] - 1
+        sizes[filled] = starts[last] + lengths[last]
+        ends = np.append(0, np.cumsum(sizes))
+        out = np.zeros(ends[-1], np.uint8)
+        out[concat_ranges(starts + np.repeat(ends[:-1], np.diff(bounds)), lengths)] = self.decode(ids)
+        return out, ends
+
 
 def spelling_table(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lengths = np.array([len(w) for w in words], np.int64)
@@ -415,7 +426,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", keep: list[str] | Non
 
 
 def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode, decode, and return per row the number of ids and digests of the ids and of the decoded bytes."""
+    """Encode, decode by the tokens' offsets, and return per row the number of ids and digests of the ids and of the decoded bytes."""
     prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,10 +434,12 @@ def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         for batch in batches:
             counts, of_ids, of_bytes = [], [], []
             for _, _, ids, bounds in bpe.encode_rows(batch.column(1)):
-                for table_, digests, trim in ((bpe.decimal_table, of_ids, 1), (bpe.bytes_table, of_bytes, 0)):
-                    whole = spell(ids, table_)
-                    ends = np.append(0, np.cumsum(table_[2][ids]))[bounds].tolist()
-                    for a, b in zip(ends[:-1], ends[1:], strict=True):
+                decimal = spell(ids, bpe.decimal_table)
+                decimal_ends = np.append(0, np.cumsum(bpe.decimal_table[2][ids]))[bounds]
+                decoded, decoded_ends = bpe.decode_at(ids, bpe.token_offsets(ids, bounds), bounds)
+                for whole, ends, digests, trim in ((decimal, decimal_ends, of_ids, 1), (decoded, decoded_ends, of_bytes, 0)):
+                    at = ends.tolist()
+                    for a, b in zip(at[:-1], at[1:], strict=True):
                         digests.append(hashlib.sha256(whole[a : max(a, b - trim)]).hexdigest())
                 counts.append(np.diff(bounds))
             n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
