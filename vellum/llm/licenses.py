@@ -43,6 +43,8 @@ import json
 import math
 import re
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -219,11 +221,11 @@ def _counts(window: Column) -> Column:
     return F.transform(F.array_distinct(window), lambda t: F.struct(t.alias("t"), F.size(F.filter(window, lambda x: x == t)).alias("n")))
 
 
-def _length(counts: Column, known: Column, other: float) -> Column:
-    """The length of a window's vector."""
+def _length(counts: Column, known: Column, other: float, vocabulary: list[str]) -> Column:
+    """The length of a window's vector. The vocabulary is looked up by hash; only its terms look into the map, which is searched through."""
 
     def squared(c: Column) -> Column:
-        w = c["n"] * F.coalesce(F.try_element_at(known, c["t"]), F.lit(other))
+        w = c["n"] * F.when(c["t"].isin(vocabulary), F.try_element_at(known, c["t"])).otherwise(F.lit(other))
         return w * w
 
     return F.sqrt(F.aggregate(F.transform(counts, squared), F.lit(0.0), lambda a, x: a + x))
@@ -242,9 +244,10 @@ def _best_match(window: Column, templates: dict[str, str], relatives: dict[str,
     postings = _postings([{t: w * idf.get(t, other) for t, w in v.items()} for v in vectors.values()])
     names = F.from_json(F.lit(json.dumps([{"name": n, "numbers": numbers_of(v)} for n, v in vectors.items()])), "array<struct<name:string,numbers:array<string>>>")
     zeros = F.array_repeat(F.lit(0.0), len(vectors))
+    vocabulary, used = list(idf), sorted({t for v in vectors.values() for t in v})
 
     def scored(counts: Column) -> Column:
-        hit = F.filter(counts, lambda c: F.map_contains_key(postings, c["t"]))
+        hit = F.filter(counts, lambda c: c["t"].isin(used))
         sums = F.aggregate(hit, zeros, lambda a, c: F.zip_with(a, F.element_at(postings, c["t"]), lambda x, y: x + c["n"] * y))
 
         def told(norm: Column) -> Column:
@@ -256,18 +259,25 @@ def _best_match(window: Column, templates: dict[str, str], relatives: dict[str,
                 F.filter(each, lambda m: (m["score"] >= threshold) & F.forall(m["numbers"], lambda t: F.array_contains(window, t)))
             )
 
-        return F.when(F.size(hit) > 0, _let(_length(counts, known, other), told))
+        return F.when(F.size(hit) > 0, _let(_length(counts, known, other, vocabulary), told))
 
     return _let(_counts(window), scored)
 
 
 def own_licence(text: Column, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, window: int = WINDOW) -> Column:
     """struct(score, template) of the best header of a text; NULL below the threshold."""
+    # Texts without any anchor are passed over before anything is rewritten or split.
+    return F.when(_anchored(F.lower(text), ANCHORS), _let(stated(F.translate(text, _UPPER, _LOWER)), lambda low: _noticed(low, templates, threshold, window)))
+
+
+def _anchored(low: Column, anchors: tuple[str, ...]) -> Column:
+    return reduce(or_, [F.contains(low, F.lit(a)) for a in anchors])
+
+
+def _noticed(low: Column, templates: dict[str, str], threshold: float, window: int) -> Column:
+    """struct(score, template) of the best header line of a lower-cased text; NULL below the threshold."""
     relatives = RELATIVES if templates is TEMPLATES else {}
-    low = F.translate(text, _UPPER, _LOWER)
-    anchored = lambda line: F.array_contains(F.array(*[F.contains(line, F.lit(a)) for a in ANCHORS]), True)
-    # Texts without any anchor are passed over before anything is split.
-    lines = F.when(anchored(low), F.filter(F.split(stated(low), "\n"), anchored))
+    lines = F.filter(F.split(low, "\n"), lambda line: _anchored(line, ANCHORS))
     words = lambda line: F.filter(F.split(line, "[^a-z0-9]+"), lambda w: w != "")
     windows = F.flatten(F.transform(lines, lambda line: _windows(words(line), window)))
     best = F.array_max(F.transform(windows, lambda w: _best_match(w, templates, relatives, threshold)))
@@ -282,8 +292,8 @@ def _let(value: Column, use) -> Column:
 _WORDING = "struct<name:string,rank:int,order:int,weights:map<string,double>,telling:array<string>,rivals:array<string>>"
 
 
-def _constants(wordings: tuple[tuple[str, str], ...]) -> tuple[Column, float, list[dict]]:
-    """(idf map, idf of any other term, what is compared of each wording); as JSON, a constant stays small in a plan."""
+def _constants(wordings: tuple[tuple[str, str], ...]) -> tuple[tuple[Column, float, list[str]], list[dict]]:
+    """((idf map, idf of any other term, vocabulary), what is compared of each wording); as JSON, a constant stays small in a plan."""
     idf, other, vectors = weights({i: text for i, (_, text) in enumerate(wordings)})
     order = {name: -i for i, name in enumerate(sorted({name for name, _ in wordings}))}
     rows = [
@@ -293,10 +303,10 @@ def _constants(wordings: tuple[tuple[str, str], ...]) -> tuple[Column, float, li
         }
         for i, (name, _) in enumerate(wordings)
     ]
-    return F.from_json(F.lit(json.dumps(idf)), "map<string,double>"), other, rows
+    return (F.from_json(F.lit(json.dumps(idf)), "map<string,double>"), other, list(idf)), rows
 
 
-def _matches(window: Column, wordings: Column, known: Column, other: float, threshold: float) -> Column:
+def _matches(window: Column, wordings: Column, idf: tuple[Column, float, list[str]], threshold: float) -> Column:
     """The greatest struct(rank, score, order, template) of the wordings that a window's words reach the threshold with."""
 
     def scored(told: Column) -> Column:
@@ -306,7 +316,7 @@ def _matches(window: Column, wordings: Column, known: Column, other: float, thre
             return F.struct(wording["rank"].alias("rank"), score.alias("score"), wording["order"].alias("order"), wording["name"].alias("template"))
 
         def all_of(cs: Column) -> Column:
-            return _let(_length(cs, known, other), lambda v: F.array_max(F.filter(F.transform(told, lambda wording: one(cs, v, wording)), lambda m: m["score"] >= threshold)))
+            return _let(_length(cs, *idf), lambda v: F.array_max(F.filter(F.transform(told, lambda wording: one(cs, v, wording)), lambda m: m["score"] >= threshold)))
 
         return F.when(F.size(told) > 0, _let(_counts(window), all_of))
 
@@ -337,7 +347,7 @@ def _anchors(words: Column) -> Column:
 
 def _worded(words: Column, all_wordings: tuple[tuple[str, str], ...], threshold: float) -> Column:
     """The best match of all wordings in the windows around the anchors of a text's words."""
-    known, other, rows = _constants(all_wordings)
+    idf, rows = _constants(all_wordings)
     for (_, text), row in zip(all_wordings, rows, strict=True):
         # Short wordings hold an anchor themselves, longer ones lie beside one.
         n = row["length"] = _about(len(terms_of(text)))
@@ -352,11 +362,11 @@ def _worded(words: Column, all_wordings: tuple[tuple[str, str], ...], threshold:
         starts = F.array_distinct(F.transform(wording["steps"], lambda d: F.greatest(p + d, F.lit(0))))
         starts = F.filter(starts, lambda s: s < F.size(words))
         window = lambda s: F.slice(words, s + 1, wording["length"])
-        return F.array_max(F.transform(starts, lambda s: _let(window(s), lambda w: _matches(w, F.array(wording), known, other, threshold))))
+        return F.array_max(F.transform(starts, lambda s: _let(window(s), lambda w: _matches(w, F.array(wording), idf, threshold))))
 
     def around(p: Column) -> Column:
         def alive(near: Column) -> Column:
-            each = F.filter(F.transform(near, lambda t: F.try_element_at(masses, t)), lambda m: m.isNotNull())
+            each = F.transform(F.filter(near, lambda t: t.isin(idf[2])), lambda t: F.element_at(masses, t))
             mass = F.aggregate(each, zeros, lambda a, m: F.zip_with(a, m, lambda x, y: x + y))
             return _let(
                 mass,
@@ -396,28 +406,29 @@ def header_licence(
         wordings = WORDINGS if templates is TEMPLATES else tuple(templates.items())
     if titles is None:
         titles = TITLES if templates is TEMPLATES else ()
-    low = stated(F.translate(text, _UPPER, _LOWER))
     split = lambda t: F.filter(F.split(t, "[^a-z0-9]+"), lambda w: w != "")
-    anchored = lambda t: F.array_contains(F.array(*[F.contains(t, F.lit(a)) for a in ("licen", "copyright", "reserved", "spdx", "domain")]), True)
+    anchors = ("licen", "copyright", "reserved", "spdx", "domain")
     ranked = lambda m: F.struct(
         F.when(m["template"] == "proprietary", F.lit(0)).otherwise(F.lit(2)).alias("rank"), m["score"].alias("score"), F.lit(0).alias("order"), m["template"].alias("template")
     )
-    may_hold = anchored(F.translate(text, _UPPER, _LOWER))
-    found = [
-        _let(own_licence(text, templates, threshold), lambda notice: F.when(notice.isNotNull(), ranked(notice))),
-        F.when(may_hold, _let(split(low), lambda ws: _worded(ws, wordings, threshold))),
-    ]
-    if templates is TEMPLATES:
-        told = lambda e: F.when(e.isNotNull(), F.struct(F.lit(3).alias("rank"), F.lit(1.0).alias("score"), F.lit(0).alias("order"), e.alias("template")))
-        found.append(F.when(may_hold, _let(spdx_expression(text), told)))
-    if titles:
-        known, other, rows = _constants(titles)
-        constant = F.from_json(F.lit(json.dumps(rows)), f"array<{_WORDING}>")
-        lines = F.filter(F.transform(F.filter(F.split(low, "\n"), anchored), split), lambda ws: F.size(ws) <= 16)
-        found.append(F.when(may_hold, F.array_max(F.transform(lines, lambda ws: _matches(ws, constant, known, other, threshold)))))
-    return _let(
-        F.array_max(F.array(*found)), lambda best: F.when(best.isNotNull(), F.struct(best["score"].alias("score"), best["template"].alias("template")))
-    )
+    tagged = lambda e: F.when(e.isNotNull(), F.struct(F.lit(3).alias("rank"), F.lit(1.0).alias("score"), F.lit(0).alias("order"), e.alias("template")))
+
+    def best_of(low: Column) -> Column:
+        found = [
+            _let(_noticed(low, templates, threshold, WINDOW), lambda notice: F.when(notice.isNotNull(), ranked(notice))),
+            _let(split(low), lambda ws: _worded(ws, wordings, threshold)),
+        ]
+        if templates is TEMPLATES:
+            found.append(F.when(F.contains(low, F.lit("spdx")), _let(spdx_expression(text), tagged)))
+        if titles:
+            idf, rows = _constants(titles)
+            constant = F.from_json(F.lit(json.dumps(rows)), f"array<{_WORDING}>")
+            lines = F.filter(F.transform(F.filter(F.split(low, "\n"), lambda line: _anchored(line, anchors)), split), lambda ws: F.size(ws) <= 16)
+            found.append(F.array_max(F.transform(lines, lambda ws: _matches(ws, constant, idf, threshold))))
+        return _let(F.array_max(F.array(*found)), lambda m: F.when(m.isNotNull(), F.struct(m["score"].alias("score"), m["template"].alias("template"))))
+
+    # Other case rules than A-Z alone only make more texts pass here.
+    return F.when(_anchored(F.lower(text), anchors), _let(stated(F.translate(text, _UPPER, _LOWER)), best_of))
 
 
 def parent(path: Column) -> Column:
