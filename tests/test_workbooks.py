@@ -108,3 +108,26 @@ def test_write_then_read_round_trip(spark, workdir):
     assert write_workbooks(df, folder).groupBy().sum("rows").first()[0] == 2
     back = read_workbooks(spark, folder, contract={"id": "UInt32", "s": "String", "x": "Float64", "d": "Date"})
     assert sorted(tuple(r) for r in back.collect()) == [(1, "a", 2.5, dt.date(2024, 2, 29)), (2, None, None, None)]
+
+
+def _in_1904(book: bytes) -> bytes:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(book)) as old, zipfile.ZipFile(buf, "w") as z:
+        for name in old.namelist():
+            part = old.read(name)
+            z.writestr(name, part.replace(b"<sheets>", b'<workbookPr date1904="1"/><sheets>') if name == "xl/workbook.xml" else part)
+    return buf.getvalue()
+
+
+def test_dates_of_the_1904_system(spark, workdir):
+    folder = workdir("books-1904")
+    os.makedirs(local_path(folder))
+    book = workbook_bytes(["d", "t"], [(dt.date(2020, 2, 27), dt.datetime(2020, 2, 27, 6, 30)), (None, None)])
+    # The same serials lie 1,462 days later there.
+    for name, content in (("a.xlsx", book), ("b.xlsx", _in_1904(book))):
+        with open(os.path.join(local_path(folder), name), "wb") as f:
+            f.write(content)
+    got = [tuple(r) for r in read_workbooks(spark, folder).where("d IS NOT NULL").orderBy("d").collect()]
+    later = dt.timedelta(days=1462)
+    first = (dt.date(2020, 2, 27), dt.datetime(2020, 2, 27, 6, 30))
+    assert got == [first, (first[0] + later, first[1] + later)]

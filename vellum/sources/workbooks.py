@@ -66,9 +66,17 @@ def _date_styles(z: zipfile.ZipFile) -> set[str]:
     return {str(i) for i, x in enumerate(styles) if x.get("numFmtId") in custom or int(x.get("numFmtId", 0)) in _DATE_FORMATS}
 
 
-def _date_text(serial: str) -> str:
+def _first_day(z: zipfile.ZipFile) -> _dt.datetime:
+    """Day 0 of the workbook's serials: of the 1904 date system where the workbook says so."""
+    props = ET.fromstring(z.read("xl/workbook.xml")).find(f"{_M}workbookPr")
+    if props is not None and props.get("date1904", "0").lower() in ("1", "true", "on"):
+        return _dt.datetime(1904, 1, 1)
+    return _dt.datetime.combine(_EXCEL_EPOCH, _dt.time())
+
+
+def _date_text(serial: str, first_day: _dt.datetime) -> str:
     """A day serial as ISO text, with the time where there is one."""
-    t = _dt.datetime(1899, 12, 30) + _dt.timedelta(seconds=round(float(serial) * 86400))
+    t = first_day + _dt.timedelta(seconds=round(float(serial) * 86400))
     return t.date().isoformat() if t.time() == _dt.time() else t.isoformat(sep=" ")
 
 
@@ -97,7 +105,7 @@ def iter_sheet_rows(content: bytes, sheet: str | int | None = None) -> Iterator[
     """Rows of a sheet (default: the first) as lists of cell text (None for
     empty cells)."""
     z = zipfile.ZipFile(io.BytesIO(content))
-    dates = _date_styles(z)
+    dates, first_day = _date_styles(z), _first_day(z)
     shared: list[str] = []
     if "xl/sharedStrings.xml" in z.namelist():
         for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_M}si"):
@@ -124,7 +132,7 @@ def iter_sheet_rows(content: bytes, sheet: str | int | None = None) -> Iterator[
                 else:
                     val = v.text if v is not None else None
                     if val is not None and kind == "n" and c.get("s") in dates:
-                        val = _date_text(val)
+                        val = _date_text(val, first_day)
                 cells[idx] = val
             width = max(cells) + 1 if cells else 0
             yield [cells.get(i) for i in range(width)]
@@ -234,7 +242,9 @@ def read_workbooks(
     1-based position, or a name. Columns: ``contract`` (typed), else
     ``columns`` (text), else the union of the headers found (a pass over the
     files' header rows), with types inferred from all values (one aggregation).
-    Dates come as dates by their cells' number format. A header row with
+    Dates come as dates by their cells' number format, counted from 1904 in
+    workbooks of that date system; plain numbers in a contract's date column
+    are taken as serials of the 1900 system. A header row with
     repeated or empty names is an error.
     """
     ship_package(spark)
