@@ -4,7 +4,9 @@ import random
 import numpy as np
 
 from llm_brute import components
-from vellum.llm.embeddings import cells_of, embedding_links, spherical_kmeans
+from pyspark.sql import functions as F
+
+from vellum.llm.embeddings import cells_of, embedding_links, placed_points, sends, spherical_kmeans
 from vellum.llm.components import forest
 
 
@@ -79,6 +81,67 @@ def test_visits_reach_every_partner():
         assert native[i] == native[j] or visits[i, native[j]]
 
 
+def test_of_two_cells_one_sends_visitors():
+    to = sends(np.arange(9), np.arange(9))
+    assert all(to[a, b] != to[b, a] for a in range(9) for b in range(9) if a != b) and not to.diagonal().any()
+    assert set(to.sum(1)) == {4}
+
+
+def test_cells_that_are_split_again_lose_no_link_and_count_none_twice(spark):
+    rows = near_rows(3, n=150)
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    for most in (2, 5):
+        got = embedding_links(df, cell_target=8, most_cells=most, split_above=12, block=7)
+        assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
+
+
+def test_double_precision_vectors_are_compared_as_they_are(spark):
+    rows = near_rows(5, n=40)
+    rows = [(i, [x + 1e-12 * i for x in v], label) for i, v, label in rows]
+    schema = SCHEMA.replace("array<float>", "array<double>")
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], schema)
+    assert sorted(map(tuple, embedding_links(df, cell_target=10, block=16).collect()), key=str) == brute(rows)
+
+
+def themes(n, dims=64, size=25, seed=8):
+    """Vectors of n / size themes: what a table of embeddings looks like that grows by new themes."""
+    rng = np.random.default_rng(seed)
+    areas = np.repeat(rng.normal(size=(-(-n // (size * 8)), dims)), 8, axis=0)
+    centres = areas + 0.45 * rng.normal(size=areas.shape)
+    x = np.repeat(centres, size, axis=0)[:n]
+    return x + 0.2 * rng.normal(size=x.shape)
+
+
+def points_frame(spark, x):
+    rows = [(1, i, 1, [float(v) for v in r]) for i, r in enumerate(x)]
+    return spark.createDataFrame(rows, "_g long, _p long, _m long, _v array<float>").repartition(4)
+
+
+def sent(spark, x, **options):
+    placed = placed_points(points_frame(spark, x), **options)
+    cells = placed.groupBy("_cell", "_sub").agg(F.count_if("_native").alias("n"), F.count("*").alias("rows"))
+    compared = cells.agg(F.sum(F.col("n") * F.col("rows"))).first()[0]
+    assert placed.where("_native").count() == len(x) == placed.where("_native").select("_p").distinct().count()
+    return placed.count() / len(x), compared / len(x), cells.agg(F.max("n")).first()[0]
+
+
+def test_rows_sent_follow_the_input_and_rows_compared_nearly_at_64_dimensions(spark):
+    options = {"cell_target": 50, "most_cells": 32, "split_above": 100, "sample": 2000}
+    small, large = sent(spark, themes(1600), **options), sent(spark, themes(12800), **options)
+    # Of eight times the points each is sent as often; it meets twice as many (eight times, were there no index).
+    assert large[0] < 1.5 * small[0] and large[1] < 3 * small[1]
+    # With one level of cells they are as many at every size, and larger at a larger one.
+    flat = sent(spark, themes(12800), **{**options, "split_above": 10**9})
+    assert flat[1] > 2 * large[1] and flat[2] > large[2]
+
+
+def test_a_dense_clump_is_not_split_again(spark):
+    rng = np.random.default_rng(9)
+    x = 1.0 + 0.05 * rng.normal(size=(900, 64))
+    once = sent(spark, x, cell_target=100, most_cells=2, split_above=10**9, sample=400)
+    assert sent(spark, x, cell_target=100, most_cells=2, split_above=150, sample=400) == once
+
+
 def test_forest_connects_what_the_links_connect():
     rng = np.random.default_rng(6)
     links = rng.random((30, 40)) < 0.04
