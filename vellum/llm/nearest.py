@@ -180,9 +180,10 @@ def nearest(
     prepare(spark)
     rows = df.select(F.col(id_col).cast("long").alias("_id"), F.col(vector_col).alias("_v"), F.coalesce(is_query, F.lit(False)).alias("_q"))
     rows = rows.where(F.col("_id").isNotNull() & usable(F.col("_v")))
-    # Vectors are compared as they are, with -0.0 as 0.0.
+    # Vectors are compared as they are, with -0.0 as 0.0. The vector comes last: a column's hash is the next one's seed,
+    # so only different seeds before it make two hashes independent.
     zeroed = F.transform("_v", lambda x: x.cast("double") + F.lit(0.0))
-    rows = rows.withColumns({"_h1": F.xxhash64(zeroed), "_h2": F.xxhash64(zeroed, F.lit(7)), "_d": F.size("_v")})
+    rows = rows.withColumns({"_h1": F.xxhash64(zeroed), "_h2": F.xxhash64(F.lit(7), zeroed), "_d": F.size("_v")})
     rows = checkpointed(rows.withColumn("_row", F.monotonically_increasing_id()))
     sizes = rows.groupBy("_d").agg(F.count("*").alias("_n"), F.count_if("_q").alias("_nq"))
     aim = max(-(-rows.count() // session_partitions(spark)), candidate_block[0])
