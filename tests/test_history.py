@@ -90,6 +90,31 @@ def test_interval_join_has_no_nested_loop(spark, plan, without_broadcast):
         assert "NestedLoop" not in text and "Cartesian" not in text and "SortMergeJoin" in text
 
 
+def test_interval_join_looks_a_fact_up_once_for_neighbouring_lengths(spark, plan, without_broadcast):
+    """Lengths from 1 to 64 lie on seven powers of two: a fact moves for two of them (before: for all seven)."""
+    for levels in ([], [3], [0, 1, 5, 9, 62], list(range(63))):
+        shared = temporal.shared_levels(levels)
+        assert sorted(shared) == levels and all(0 <= top - x < temporal.MERGED and top in levels for x, top in shared.items())
+    assert len(set(temporal.shared_levels(range(63)).values())) == 16
+    p = spark.range(1, 65).selectExpr("id % 2 AS k", "id AS p", "100 - id AS fd", "100 AS fh")
+    f = spark.range(200).selectExpr("id AS f", "id % 2 AS k", "id AS at")
+    met = temporal.interval_join(f, p, "k", "at")
+    text = plan(met)
+    assert text.count("shiftleft(shiftright(") // text.count("explode(array(") == 2
+    assert rows(met.select("f", "p")) == sorted(((a, b) for a in range(200) for b in range(1, 65) if a % 2 == b % 2 and 100 - b <= a < 100), key=str)
+
+
+def test_interval_join_on_numbers_near_the_ends_of_long(spark):
+    ends = [-(1 << 62), -(1 << 61) - 1, -65, -64, -1, 0, 1, 63, 1 << 40, (1 << 61) + 3, (1 << 62) - 2]
+    rng = random.Random(9)
+    f = [(i, x + d) for i, (x, d) in enumerate((x, d) for x in ends[1:-1] for d in (-1, 0, 1))]
+    p = [(i, s, s + n) for i, (s, n) in enumerate((x + rng.randrange(-3, 3), n) for x in ends[1:-1] for n in (1, 2, 7, 8, 9, 100, 1 << 45, 1 << 60)) if s + n < 1 << 62]
+    want = sorted(((a, b) for a, at in f for b, s, e in p if s <= at < e), key=str)
+    facts = spark.createDataFrame(f, "f int, at long").withColumn("k", F.lit(1))
+    periods = spark.createDataFrame(p, "p int, fd long, fh long").withColumn("k", F.lit(1))
+    assert rows(temporal.interval_join(facts, periods, "k", "at").select("f", "p")) == want
+
+
 # --- as-of join
 
 

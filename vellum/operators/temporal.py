@@ -1,12 +1,13 @@
 """Joins on time: facts with the periods that are valid at their date, and with the last earlier row.
 
 ``interval_join`` matches a fact's instant with closed-open periods ``[start, end)``. Each
-period lies on one level, the power of two just above its length, so it meets at
-most two buckets of that width, however long it is; a fact looks up one
-bucket a level. The join is then an equi-join on (key, level, bucket) with the
-exact comparison as a residual test: no nested loop, no cartesian product, and a
+period lies on one level, a power of two no less than its length and less than ``2 ** MERGED``
+times it, so it meets at most two buckets of that width, however long it is; a fact looks up one
+bucket a level. The join is then an equi-join on (key, cell), a cell being a bucket of a
+level, with the exact comparison as a residual test: no nested loop, no cartesian product, and a
 hot key is spread over its buckets. Only the levels that occur (at most 63
-numbers) come to the driver.
+numbers) come to the driver; up to ``MERGED`` neighbours share the highest's buckets, so that a fact moves
+once for all of them. Nothing moves that the columns tell again after the join.
 
 ``asof_join`` gives each row the last row of the other table before it. Both
 tables are laid in one order by range partitioning, so a hot key spreads over many
@@ -25,6 +26,8 @@ from pyspark.sql import types as T
 from vellum.session import ensure_checkpoint_dir
 
 _OPEN = (1 << 62) - 1
+#: Powers of two in a row that share buckets: a period is compared with the instants of less than twice 2 ** MERGED times its length.
+MERGED = 4
 
 
 def _names(key: str | Sequence[str]) -> list[str]:
@@ -48,6 +51,17 @@ def position(df: DataFrame, name: str) -> Column:
     raise TypeError(f"{name} is {kind.simpleString()}: a date, timestamp or integer is needed")
 
 
+def shared_levels(levels: Sequence[int]) -> dict[int, int]:
+    """For every level the one whose buckets it shares: the highest first, with the next ``MERGED - 1`` below it."""
+    out: dict[int, int] = {}
+    top = None
+    for level in sorted(levels, reverse=True):
+        if top is None or level <= top - MERGED:
+            top = level
+        out[level] = top
+    return out
+
+
 def interval_join(
     facts: DataFrame,
     periods: DataFrame,
@@ -73,14 +87,17 @@ def interval_join(
     # The number of binary digits of length - 1: buckets of this power of two are at least as wide as the period.
     level = F.length(F.bin(last - first - 1))
     valid = periods.withColumns({"_s": first, "_e": last}).where("_s IS NOT NULL AND _e > _s").withColumn("_level", level)
-    levels = sorted(r[0] for r in valid.select("_level").distinct().collect())
-    # A shift by a column's value, so through SQL.
-    buckets = F.expr("sequence(shiftright(_s, _level), shiftright(_e - 1, _level))")
-    cut = valid.withColumn("_bucket", F.explode(buckets))
-    points = facts.withColumn("_at", position(facts, at)).where("_at IS NOT NULL")
-    points = points.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]) if levels else F.array().cast("array<int>")))
-    points = points.withColumn("_bucket", F.expr("shiftright(_at, _level)"))
-    met = points.join(cut, [*keys, "_level", "_bucket"]).where("_s <= _at AND _at < _e")
+    shared = shared_levels([r[0] for r in valid.select("_level").distinct().collect()])
+    levels = sorted(set(shared.values()))
+    # The lowest level that holds the period: a level between two that occur is none.
+    valid = valid.withColumn("_level", F.coalesce(*[F.when(F.col("_level") <= x, F.lit(x)) for x in levels]) if levels else F.lit(0))
+    # Shifts by a column's value, so through SQL. A level has less than 7 digits; bits that a shift drops only add pairs to be tested.
+    cells = F.expr("transform(sequence(shiftright(_s, _level), shiftright(_e - 1, _level)), b -> shiftleft(b, 6) | _level)")
+    cut = valid.withColumn("_cell", F.explode(cells)).drop("_s", "_e", "_level")
+    instant = position(facts, at)
+    looked_up = F.array(*[F.shiftleft(F.shiftright(instant, x), 6).bitwiseOR(F.lit(x)) for x in levels]) if levels else F.array().cast("array<bigint>")
+    points = facts.where(instant.isNotNull()).withColumn("_cell", F.explode(looked_up))
+    met = points.join(cut, [*keys, "_cell"]).where((first <= instant) & (instant < last))
     met = met.select(*facts.columns, *extra)
     if how == "inner":
         return met
