@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from vellum.llm.common import checkpointed, held_out, in_training, prepare, table
 
 SAMPLE = 20_000
+#: Of the sample; every pass of the fits is a task a partition, so they follow the sample's bound and not the session's shuffles.
+ROWS_A_TASK = 2_500
 THRESHOLD = 0.5
 TREES, DEPTH, LASSO = 12, 4, 0.002
 SEED = 7
@@ -171,7 +173,8 @@ def fit(
     """Learn the rule ensemble from at most ``sample`` labelled rows."""
     prepare(docs.sparkSession)
     # Written first: over an aggregation the statistics would be folded into it, and computed again wherever one is used.
-    rows = with_statistics(checkpointed(training_sample(docs, labels, label, sample, id_col, text_col)), "text", [F.col("_y")])
+    written = checkpointed(training_sample(docs, labels, label, sample, id_col, text_col), sample, ROWS_A_TASK)
+    rows = with_statistics(written, "text", [F.col("_y")])
     rows = rows.select(F.col("_k0").alias("label"), "_s").withColumn(
         "features", array_to_vector(F.array(*[F.col(f"_s.{n}") for n in STATISTICS]))
     )

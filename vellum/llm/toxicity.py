@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.llm.common import checkpointed, held_out, prepare, row_slices, table, utf8_rows
-from vellum.llm.quality import training_sample
+from vellum.llm.quality import ROWS_A_TASK, training_sample
 
 SAMPLE = 20_000
 THRESHOLD = 0.7
@@ -158,12 +158,13 @@ def _vectors(hashes: np.ndarray, ratios: np.ndarray, bits: int, orders):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lookup = np.full(1 << bits, -1, np.int32)
         lookup[hashes] = np.arange(len(hashes))
+        vector = VectorUDT()
         for pdf in batches:
             found = [*distinct_features(pa.array(pdf["text"], pa.string()), lookup, orders, bits)]
             rows, at = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found, strict=True) if found else ([], [])))
             cut = np.searchsorted(rows, np.arange(len(pdf) + 1))
             held = [at[a:b].astype(np.int32) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-            yield pd.DataFrame({"label": pdf["_y"], "held": held, "values": [ratios[h] for h in held]})
+            yield pd.DataFrame({"label": pdf["_y"], "features": [vector.serialize(SparseVector(len(hashes), h, ratios[h])) for h in held]})
 
     return run
 
@@ -184,7 +185,7 @@ def fit(
 ) -> ToxicityModel:
     """Learn the classifier from at most ``sample`` labelled rows."""
     prepare(docs.sparkSession)
-    rows = checkpointed(training_sample(docs, labels, label, sample, id_col, text_col))
+    rows = checkpointed(training_sample(docs, labels, label, sample, id_col, text_col), sample, ROWS_A_TASK)
     n, positive = rows.agg(F.count("*"), F.sum("_y")).first()
     positive = float(positive or 0.0)
     prior = math.log((positive + 1) / (n - positive + 1))
@@ -217,10 +218,9 @@ def fit(
     if not chosen:
         return nothing
     hashes, ratios = np.array([x.h for x in chosen], np.int64), np.array([x.r for x in chosen])
-    size = len(hashes)
-    sparse = F.udf(lambda held, values: SparseVector(size, held, values), VectorUDT(), useArrow=False)
-    vectors = rows.mapInPandas(_vectors(hashes, ratios, bits, orders), "label double, held array<int>, values array<double>")
-    vectors = checkpointed(vectors.select("label", sparse("held", "values").alias("features")))
+    # The vectors are made where the texts are hashed: a second Python step would hold a second worker a core.
+    fields = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())])
+    vectors = checkpointed(rows.mapInPandas(_vectors(hashes, ratios, bits, orders), fields))
     lr = LogisticRegression(maxIter=60, regParam=ridge, elasticNetParam=0.0, standardization=False, tol=1e-5).fit(vectors)
     weights = lr.coefficients.toArray() * ratios
     kept = np.flatnonzero(np.abs(weights) > 1e-6)
