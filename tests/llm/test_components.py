@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from vellum.llm.components import connected_components
 
 
@@ -32,3 +34,15 @@ def test_chain_hub_repeats_loops_and_nulls(spark):
 def test_no_edges(spark):
     df = spark.createDataFrame([], "a long, b long")
     assert connected_components(df).count() == 0
+
+
+def test_the_estimated_size_does_not_grow_with_the_rounds(spark):
+    """A join's estimated bytes are the product of its sides'; carried from round to round the number filled the driver."""
+    df = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    estimate = lambda t: int(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    comp = connected_components(df)
+    assert estimate(comp) < 2**80
+    more = spark.createDataFrame([(40, 50), (50, 51)], "a long, b long")
+    comp = connected_components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    assert estimate(comp) < 2**80
+    assert {r.node: r.component for r in comp.collect()} == {i: 0 for i in [*range(41), 50, 51]}

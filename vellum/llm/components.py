@@ -3,7 +3,8 @@
 Each round re-hangs every node's larger neighbours on its smallest neighbour
 (large star), then its smaller ones (small star). The table stays in Spark
 throughout; only two numbers a round, to see that nothing changed, reach the
-driver. Each round's table is checkpointed, so lost executors cost no rounds.
+driver. Each round's table is checkpointed, so lost executors cost no rounds; its
+estimated size goes no further, as a product of all joins before it has no bound.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import checkpointed
+from vellum.llm.common import checkpointed, without_estimate
 
 
 def forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -44,7 +45,7 @@ def forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.n
 
 def _smallest(edges: DataFrame, rows: int) -> DataFrame:
     """(u, m): the smallest neighbour of u, written once so that a hub's rows can be split in the join."""
-    return checkpointed(edges.groupBy("u").agg(F.min("v").alias("m")), rows)
+    return without_estimate(checkpointed(edges.groupBy("u").agg(F.min("v").alias("m")), rows))
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -57,17 +58,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     NULL ends and loops are ignored; repeated edges count once; no edges give no rows.
     """
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = checkpointed(e)
+    e = without_estimate(checkpointed(e))
     state = _state(e)
     while state[0]:
         rows = 2 * state[0]
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         m = _smallest(both, rows)
         hung = both.join(m, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        e = checkpointed(hung.distinct(), rows)
+        e = without_estimate(checkpointed(hung.distinct(), rows))
         m = _smallest(e, rows)
         hung = e.join(m, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = checkpointed(hung.unionByName(m.select("u", F.col("m").alias("v"))).distinct(), rows)
+        e = without_estimate(checkpointed(hung.unionByName(m.select("u", F.col("m").alias("v"))).distinct(), rows))
         before, state = state, _state(e)
         if state == before:
             break
